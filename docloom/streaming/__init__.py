@@ -1,0 +1,5 @@
+"""No streaming operators: the data model is batch only.
+
+The column functions in ``docloom.functions`` are plain expressions, so they can be
+used unchanged inside a streaming query, but nothing stateful is defined here.
+"""
