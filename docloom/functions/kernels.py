@@ -115,8 +115,12 @@ def pair_hits(homes: pd.DataFrame, members: pd.DataFrame, eps: float):
 def bipartite_roots(hit: np.ndarray, left: np.ndarray, right: np.ndarray):
     """(node, smallest node of its component) for all nodes that have an edge in ``hit``.
 
-    At most one row per node leaves the block, however many edges it holds.
+    At most one row per node leaves the block, however many edges it holds. A node on both
+    sides is one node.
     """
+    _, i, j = np.intersect1d(left, right, return_indices=True)
+    linked = hit[i].any(axis=1) | hit[:, j].any(axis=0)
+    hit[i[linked], j[linked]] = True
     nodes, roots = [], []
     left_free = hit.any(axis=1)
     right_free = hit.any(axis=0)

@@ -23,6 +23,14 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 WHITESPACE_RUN = r"[\s\p{Z}]+"
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and return ``body`` of the bound name.
+
+    A column used inside a lambda is evaluated again for every element; a bound one is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def flatten_sections(sections: Column) -> Column:
     """Join the ``text`` of every section with newlines; no section gives ''."""
     return F.array_join(F.transform(sections, lambda s: s["text"]), "\n")
@@ -120,11 +128,16 @@ def tokenize(text: Column) -> Column:
     Leading and inner empty tokens stay, trailing ones go. The empty text is one empty
     token; text of nothing but whitespace has no token.
     """
-    lowered = F.lower(text)
-    stripped = F.regexp_replace(lowered, r"\s+$", "")
-    return F.when(
-        (stripped == "") & (lowered != ""), F.array().cast("array<string>")
-    ).otherwise(F.split(stripped, r"\s", -1))
+
+    def split(lowered: Column) -> Column:
+        return let(
+            F.regexp_replace(lowered, r"\s+$", ""),
+            lambda stripped: F.when(
+                (stripped == "") & (lowered != ""), F.array().cast("array<string>")
+            ).otherwise(F.split(stripped, r"\s", -1)),
+        )
+
+    return let(F.lower(text), split)
 
 
 def default_stop_words() -> list[str]:
@@ -174,16 +187,19 @@ def char_ngrams(word: Column, low: int, high: int) -> Column:
     Works on an array of characters: slicing it costs n, while substring would scan the
     word from its start every time.
     """
-    chars = F.filter(F.split(F.concat(F.lit(" "), word, F.lit(" ")), "", -1), lambda c: c != "")
+    padded = F.split(F.concat(F.lit(" "), word, F.lit(" ")), "", -1)
 
-    def grams(n: int) -> Column:
+    def grams(chars: Column, n: int) -> Column:
         last = F.size(chars) - (n - 1)
         return F.when(
             last >= 1,
             F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(chars, i, n), "")),
         ).otherwise(F.array().cast("array<string>"))
 
-    merged = F.concat(*[grams(n) for n in range(low, high + 1)])
+    merged = let(
+        F.filter(padded, lambda c: c != ""),
+        lambda chars: F.concat(*[grams(chars, n) for n in range(low, high + 1)]),
+    )
     return F.filter(merged, lambda g: g != " ")
 
 

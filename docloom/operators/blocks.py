@@ -78,13 +78,33 @@ def rectangle(
     lefts, rights = block_count(left_rows, block_rows), block_count(right_rows, block_rows)
     a = left.withColumn("_l", block_of("id", lefts)).withColumn("_r", F.explode(_range(rights)))
     b = right.withColumn("_r", block_of("id", rights)).withColumn("_l", F.explode(_range(lefts)))
+    return _two_sided(a, b, ["_l", "_r"], kernel, schema)
 
-    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        return kernel(x.sort_values("id"), y.sort_values("id"))
 
-    return (
-        a.groupBy("_l", "_r").cogroup(b.groupBy("_l", "_r")).applyInPandas(run, schema)
+def _two_sided(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    kernel: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: str,
+) -> DataFrame:
+    """One grouped-map call per key with the rows of both sides, if both have any.
+
+    A tagged union instead of a cogroup: both sides may come from the same frame. A column
+    that only one side has arrives as float64.
+    """
+    tagged = left.withColumn("_right", F.lit(False)).unionByName(
+        right.withColumn("_right", F.lit(True)), allowMissingColumns=True
     )
+    names = [field.strip().split(" ")[0] for field in schema.split(",")]
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        side = group["_right"].to_numpy(bool)
+        if side.all() or not side.any():
+            return pd.DataFrame({name: [] for name in names})
+        return kernel(group[~side].sort_values("id"), group[side].sort_values("id"))
+
+    return tagged.groupBy(*keys).applyInPandas(run, schema)
 
 
 def anchor_count(rows: int, anchors: int | None = None) -> int:
@@ -125,31 +145,39 @@ def anchored(
     )
 
 
+def anchor_blocks(
+    placed: DataFrame, rows: int, anchors: int | None = None, block_rows: int = BLOCK_ROWS
+) -> tuple[list[int], list[int]]:
+    """Per anchor the number of blocks for its own rows and for all rows that reach it."""
+    wanted = anchor_count(rows, anchors)
+    if wanted == 1:
+        return [block_count(rows, block_rows)], [block_count(rows, block_rows)]
+    sizes = (
+        placed.select("home", F.explode(F.concat(F.array("home"), F.col("reach"))).alias("anchor"))
+        .groupBy("anchor")
+        .agg(F.count_if(F.col("anchor") == F.col("home")).alias("homes"), F.count("*").alias("all"))
+        .collect()
+    )
+    home_blocks, member_blocks = [1] * wanted, [1] * wanted
+    for row in sizes:
+        home_blocks[row["anchor"]] = block_count(row["homes"], block_rows)
+        member_blocks[row["anchor"]] = block_count(row["all"], block_rows)
+    return home_blocks, member_blocks
+
+
 def neighbour_groups(
     placed: DataFrame,
+    sizes: tuple[list[int], list[int]],
     kernel: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Call ``kernel(homes, members)`` so that all pairs within eps meet exactly once.
 
-    ``placed`` comes from ``anchored`` and should be materialized: it is read twice here.
-    A crowded anchor is cut into sub-blocks on both sides, so a hot spot becomes more
+    ``placed`` comes from ``anchored`` and ``sizes`` from ``anchor_blocks``. A crowded anchor is cut into sub-blocks on both sides, so a hot spot becomes more
     groups, never a larger one.
     """
     member = placed.withColumn("anchor", F.explode(F.concat(F.array("home"), F.col("reach"))))
-    sizes = (
-        member.groupBy("anchor")
-        .agg(F.count_if(F.col("anchor") == F.col("home")).alias("homes"), F.count("*").alias("all"))
-        .collect()
-    )
-    if not sizes:
-        return placed.sparkSession.createDataFrame([], schema)
-    width = max(row["anchor"] for row in sizes) + 1
-    home_blocks, member_blocks = [1] * width, [1] * width
-    for row in sizes:
-        home_blocks[row["anchor"]] = block_count(row["homes"], block_rows)
-        member_blocks[row["anchor"]] = block_count(row["all"], block_rows)
+    home_blocks, member_blocks = sizes
 
     def per_anchor(counts: list[int], anchor: str) -> Column:
         return F.element_at(F.lit(counts), F.col(anchor) + 1)
@@ -167,14 +195,4 @@ def neighbour_groups(
         .withColumn("_hb", F.explode(F.sequence(F.lit(0), per_anchor(home_blocks, "anchor") - 1)))
         .drop("reach")
     )
-    empty = pd.DataFrame({name: [] for name in _names(schema)})
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return kernel(a, b) if len(a) and len(b) else empty
-
-    keys = ["anchor", "_hb", "_mb"]
-    return homes.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(run, schema)
-
-
-def _names(schema: str) -> list[str]:
-    return [field.strip().split(" ")[0] for field in schema.split(",")]
+    return _two_sided(homes, members, ["anchor", "_hb", "_mb"], kernel, schema)

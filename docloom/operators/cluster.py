@@ -128,7 +128,8 @@ def lda(
     partitions: int | None = None,
 ) -> Clustering:
     """LDA over TF-IDF of (doc_id, tokens); the cluster is the strongest topic, first on a tie."""
-    vectors, _ = tfidf_vectors(df.select("doc_id", "tokens"), max_terms, min_df)
+    tokens = materialize(df.select("doc_id", "tokens"), "tokens")
+    vectors, _ = tfidf_vectors(tokens, max_terms, min_df)
     data = pinned(vectors, "features", partitions)
     try:
         model, seconds = timed(lambda: LDA(k=k, maxIter=max_iter, seed=seed).fit(data))
@@ -186,13 +187,23 @@ def gmm_sweep(
     column: str = "vec",
     partitions: int | None = None,
 ) -> DataFrame:
-    """(k, log_likelihood, seconds) per k on one persisted frame."""
+    """(k, log_likelihood, seconds) per k on one persisted frame.
+
+    The likelihood is null for a k whose covariances degenerate, as happens when there are
+    few rows per dimension; the other values of k are still tried.
+    """
     data = pinned(df, column, partitions)
     results = []
     try:
         for k in ks:
             fit = GaussianMixture(k=k, tol=tol, seed=seed, maxIter=max_iter)
-            model, seconds = timed(lambda: fit.fit(data))
+            try:
+                model, seconds = timed(lambda: fit.fit(data))
+            except Exception as error:
+                if "MatrixNotSymmetric" not in str(error):
+                    raise
+                results.append((k, None, None))
+                continue
             results.append((k, model.summary.logLikelihood, seconds))
     finally:
         data.unpersist()
@@ -209,7 +220,8 @@ def lda_sweep(
     partitions: int | None = None,
 ) -> DataFrame:
     """(k, log_perplexity, seconds, best) per k; the lowest log-perplexity is the best."""
-    vectors, _ = tfidf_vectors(df.select("doc_id", "tokens"), max_terms, min_df)
+    tokens = materialize(df.select("doc_id", "tokens"), "tokens")
+    vectors, _ = tfidf_vectors(tokens, max_terms, min_df)
     data = pinned(vectors, "features", partitions)
     results = []
     try:

@@ -149,11 +149,13 @@ def union_parts(*parts: DataFrame) -> DataFrame:
 def clean_tokens(df: DataFrame, column: str = "tokens") -> DataFrame:
     """Drop all-digit and empty tokens, then rows left without any token.
 
-    Token order is kept and nothing is shuffled.
+    Token order is kept and nothing is shuffled. Exploding a list of at most one token list
+    drops the empty ones; a filter would make Spark compute the tokens twice, once for the
+    predicate it pushes down and once for the output.
     """
-    return df.withColumn(column, tx.drop_empty(tx.drop_numeric(F.col(column)))).where(
-        F.size(column) > 0
-    )
+    kept = F.filter(F.array(tx.drop_empty(tx.drop_numeric(F.col(column)))), lambda t: F.size(t) > 0)
+    others = [F.col(c) for c in df.columns if c != column]
+    return df.select(*others, F.explode(kept).alias(column))
 
 
 def lemmatize(

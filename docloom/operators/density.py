@@ -25,6 +25,7 @@ def epsilon_join(
     placed = blocks.anchored(rows, eps, total, anchors)
     if blocks.anchor_count(total, anchors) > 1:
         placed = materialize(placed, "anchored")
+    sizes = blocks.anchor_blocks(placed, total, anchors, block_rows)
 
     def kernel(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         a, b, hit = kernels.pair_hits(homes, members, eps)
@@ -39,7 +40,7 @@ def epsilon_join(
         )
 
     schema = "id_a long, id_b long, distance double"
-    return blocks.neighbour_groups(placed, kernel, schema, block_rows)
+    return blocks.neighbour_groups(placed, sizes, kernel, schema)
 
 
 def dbscan(
@@ -70,6 +71,7 @@ def dbscan(
     placed = blocks.anchored(merged, eps, rows, anchors)
     if blocks.anchor_count(rows, anchors) > 1:
         placed = materialize(placed, "anchored")
+    sizes = blocks.anchor_blocks(placed, rows, anchors, block_rows)
 
     def count_kernel(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         _, _, hit = kernels.pair_hits(homes, members, eps)
@@ -78,7 +80,7 @@ def dbscan(
         return pd.DataFrame({"id": ids[seen > 0], "seen": seen[seen > 0]})
 
     counts = (
-        blocks.neighbour_groups(placed, count_kernel, "id long, seen long", block_rows)
+        blocks.neighbour_groups(placed, sizes, count_kernel, "id long, seen long")
         .groupBy("id")
         .agg(F.sum("seen").alias("seen"))
     )
@@ -107,7 +109,7 @@ def dbscan(
         )
 
     edges = materialize(
-        blocks.neighbour_groups(flagged, edge_kernel, "a long, b long, border boolean", block_rows),
+        blocks.neighbour_groups(flagged, sizes, edge_kernel, "a long, b long, border boolean"),
         "edges",
     )
     roots = connected_components(

@@ -27,11 +27,6 @@ from docloom.functions import text as tx
 from docloom.runtime import broadcast_bounded, materialize
 
 
-def _let(value: Column, body) -> Column:
-    """Bind ``value`` once: evaluate it, then ``body`` on the bound name."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def term_counts(tokens: Column) -> Column:
     """array<struct<term, tf>> of one row's tokens, by sorting and run lengths.
 
@@ -43,7 +38,7 @@ def term_counts(tokens: Column) -> Column:
             F.sequence(F.lit(1), F.size(words)),
             lambda i: (i == 1) | (F.get(words, i - 1) != F.get(words, i - 2)),
         )
-        return _let(
+        return tx.let(
             starts,
             lambda s: F.zip_with(
                 s,
@@ -56,7 +51,7 @@ def term_counts(tokens: Column) -> Column:
         )
 
     empty = F.array().cast("array<struct<term:string,tf:bigint>>")
-    return F.when(F.size(tokens) > 0, _let(F.sort_array(tokens), runs)).otherwise(empty)
+    return F.when(F.size(tokens) > 0, tx.let(F.sort_array(tokens), runs)).otherwise(empty)
 
 
 def doc_terms(df: DataFrame, id_cols: Sequence[str] = ("doc_id",), column: str = "tokens") -> DataFrame:
@@ -264,7 +259,7 @@ def embed_text(text: Column, dim: int = 64) -> Column:
         tx.char_ngrams(F.lower(text), 3, 3),
         lambda g: F.conv(F.substring(F.md5(g.cast("binary")), 1, 8), 16, 10).cast("long") % dim,
     )
-    return _let(
+    return tx.let(
         buckets,
         lambda b: F.transform(
             F.sequence(F.lit(0), F.lit(dim - 1)),

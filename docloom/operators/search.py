@@ -105,18 +105,19 @@ def search_batch(
 
     def kernel(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         ids, clusters, scores = [], [], []
-        if len(q) and len(t):
-            matrix = kernels.unit_rows(kernels.stack(t["vec"]))
-            names = t["cluster_id"].to_numpy()
-            for row, found, values in kernels.best_scores(
-                kernels.unit_rows(kernels.stack(q["vec"])), matrix, n
-            ):
-                ids.append(np.full(len(found), q["id"].iloc[row]))
-                clusters.append(names[found])
-                scores.append(values)
-        join = lambda parts: np.concatenate(parts) if parts else []
+        names = t["cluster_id"].to_numpy(np.int32)
+        matrix = kernels.unit_rows(kernels.stack(t["vec"]))
+        units = kernels.unit_rows(kernels.stack(q["vec"]))
+        for row, found, values in kernels.best_scores(units, matrix, n):
+            ids.append(np.full(len(found), q["id"].iloc[row]))
+            clusters.append(names[found])
+            scores.append(values)
         return pd.DataFrame(
-            {"query_id": join(ids), "cluster_id": join(clusters), "score": join(scores)}
+            {
+                "query_id": np.concatenate(ids),
+                "cluster_id": np.concatenate(clusters),
+                "score": np.concatenate(scores),
+            }
         )
 
     local = blocks.rectangle(

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from docloom.functions import kernels
-from docloom.operators import assign, cluster, density, report, som
+from docloom.operators import assign, cluster, density, features, report, som
 from docloom.plans import sql
 from docloom.plans.corpus_queries import _SAMPLE
 from docloom.plans.feature_queries import vectors
@@ -99,14 +100,20 @@ def bisecting_kmeans(spark, folder):
     return cluster.bisecting_kmeans(points(spark, folder), k=10).assignments
 
 
+def components(spark, folder, k=8):
+    """Vectors on their first principal components: mixtures need few dimensions per row."""
+    rows = points(spark, folder).select("doc_id", array_to_vector("vec").alias("features"))
+    return features.pca_project(rows, k).select("doc_id", "vec")
+
+
 @query("gmm")
 def gmm(spark, folder):
-    return cluster.gmm(points(spark, folder), k=5, max_iter=50).assignments.select("doc_id", "cluster_id")
+    return cluster.gmm(components(spark, folder), k=5, max_iter=50).assignments.select("doc_id", "cluster_id")
 
 
 @query("gmm_sweep")
 def gmm_sweep(spark, folder):
-    return cluster.gmm_sweep(points(spark, folder), (2, 4), max_iter=50)
+    return cluster.gmm_sweep(components(spark, folder), (2, 4), max_iter=50)
 
 
 @query("lda_cluster")

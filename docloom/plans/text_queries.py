@@ -9,6 +9,7 @@ from docloom.operators import corpus, language
 from docloom.plans import sql
 from docloom.plans.pipeline import token_table
 from docloom.plans.registry import query, table
+from docloom.runtime import spread
 
 # Lemma table of the check: a null lemma keeps the surface form.
 LEMMAS = [("the", "The "), ("and", "und"), ("thes", "the"), ("les", "le"), ("des", "de"), ("her", None), ("ing", "")]
@@ -18,7 +19,7 @@ _LEMMA_ROWS = ", ".join(
 
 
 def documents(spark, folder):
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"))
 
 
 def tokens(spark, folder):

@@ -8,7 +8,7 @@ from docloom.operators import corpus, features, search, topics
 from docloom.plans import sql
 from docloom.plans.feature_queries import MIN_DF, TERMS, stored_tokens, vectors, vocabulary
 from docloom.plans.pipeline import describe_clusters, search_text
-from docloom.plans.registry import query
+from docloom.plans.registry import query, table
 from docloom.plans.text_queries import documents, tokens
 
 TAGS = 10
@@ -17,7 +17,8 @@ QUERY_TEXT = "nation"
 
 def clusters(spark, folder):
     """(doc_id, cluster_id) from the source column."""
-    return documents(spark, folder).select("doc_id", F.substring("source", 4, 10).cast("int").alias("cluster_id"))
+    docs = table(spark, folder, "documents")
+    return docs.select("doc_id", F.substring("source", 4, 10).cast("int").alias("cluster_id"))
 
 
 def model(spark, folder, language=None):

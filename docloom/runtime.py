@@ -55,6 +55,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when the input has fewer splits than the session has cores.
+
+    Tables of many files already have more splits and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int, row_bytes: int = 64) -> DataFrame:
     """Broadcast ``df`` when its proven row bound makes it small.
 
