@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.runtime import materialize
+from docloom.runtime import broadcast_bounded, materialize
 
 
 def join_metadata(
@@ -168,18 +168,24 @@ def lemmatize(
 
     ``lemmas`` is (token, lemma), one row per token; a token without entry, or whose lemma
     is null (pronouns), keeps its surface form. Rows are brought to their id before they
-    are exploded, so the regrouping needs no second shuffle when the lemma table is small
-    enough for Catalyst to broadcast it.
+    are exploded, so the regrouping needs no second shuffle while the lemma table, which is
+    counted, is small enough to broadcast. A larger one is joined by shuffle, where AQE
+    splits frequent tokens.
     """
+    # exploding an expression: for a bare column Spark would add a filter on its size and
+    # compute the tokens a second time for it
+    pairs = F.transform(column, lambda t: F.struct(t.alias("token"), F.lower(t).alias("low")))
     pieces = (
         df.select(id_col, column)
         .repartition(id_col)
-        .select(id_col, F.posexplode(column).alias("_pos", "token"))
+        .select(id_col, F.posexplode(pairs).alias("_pos", "_p"))
+        .select(id_col, "_pos", "_p.token", "_p.low")
     )
     table = lemmas.select("token", F.trim(F.lower("lemma")).alias("_lemma"))
+    table = broadcast_bounded(table, lemmas.count(), 96)
     return (
         pieces.join(table, "token", "left")
-        .select(id_col, F.struct("_pos", F.coalesce("_lemma", F.lower("token")).alias("w")).alias("p"))
+        .select(id_col, F.struct("_pos", F.coalesce("_lemma", "low").alias("w")).alias("p"))
         .groupBy(id_col)
         .agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["w"]), " ").alias("text"))
     )

@@ -131,12 +131,12 @@ def dbscan(
         .agg(F.min("cluster_id").alias("cluster_id"))
     )
     labels = merged.select("id", "vec").join(inside.unionByName(reached), "id", "left")
-    # Several rows per vector only where vectors repeat; AQE splits a vector that is hot.
-    return (
-        df.select("doc_id", "vec")
-        .join(labels.drop("id"), "vec")
-        .select("doc_id", F.coalesce("cluster_id", F.lit(-1)).cast("int").alias("cluster_id"))
-    )
+    if df.count() > rows:
+        # Copies take the label of their vector; AQE splits a vector that is hot.
+        labels = df.select("doc_id", "vec").join(labels.drop("id"), "vec")
+    else:
+        labels = labels.withColumnRenamed("id", "doc_id")
+    return labels.select("doc_id", F.coalesce("cluster_id", F.lit(-1)).cast("int").alias("cluster_id"))
 
 
 def silhouette_exact(

@@ -25,10 +25,9 @@ def parse_taggings(lines: DataFrame, value: str = "value", line: str = "line") -
     head = F.regexp_extract(text, r"^([+-]?[0-9]+)( |, |$)", 1)
     tags = F.split(F.regexp_replace(text, r"^[+-]?[0-9]+ ?", ""), ", ", -1)
     return (
-        lines.select(line, head.alias("_head"), tags.alias("_tags"))
-        .withColumn("cluster_id", F.col("_head").try_cast("int"))
+        lines.withColumn("cluster_id", head.try_cast("int"))
         .where(F.col("cluster_id").isNotNull())
-        .select(F.posexplode("_tags").alias("position", "tag"), "cluster_id", line)
+        .select(F.posexplode(tags).alias("position", "tag"), "cluster_id", line)
         .where(F.col("tag") != "")
         .select("tag", "cluster_id", line, "position")
     )
