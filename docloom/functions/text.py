@@ -19,6 +19,11 @@ CUSTOM_STOP_WORDS = [
 # The 32 ASCII punctuation characters in code order.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
+# Java's \s. Spelled out, like the class below: a listed ASCII class is one table lookup
+# per character, while ranges and escapes inside a negation are several calls.
+_BLANKS = r" \t\n\x0B\f\r"
+_NOT_KEPT = f"[^abcdefghijklmnopqrstuvwxyz0123456789{_BLANKS}]"
+
 # Whitespace runs as str.split() sees them; the class is understood by Java and RE2 alike.
 WHITESPACE_RUN = r"[\s\p{Z}]+"
 
@@ -119,7 +124,7 @@ def clean_text(text: Column) -> Column:
     lowered = F.lower(text)
     no_rt = F.regexp_replace(lowered, r"^rt ", "")
     no_url = F.regexp_replace(no_rt, r"https?://\S+", "")
-    return F.regexp_replace(no_url, r"[^a-zA-Z0-9\s]", "")
+    return F.regexp_replace(no_url, _NOT_KEPT, "")
 
 
 def tokenize(text: Column) -> Column:
@@ -131,10 +136,10 @@ def tokenize(text: Column) -> Column:
 
     def split(lowered: Column) -> Column:
         return let(
-            F.regexp_replace(lowered, r"\s+$", ""),
+            F.regexp_replace(lowered, f"[{_BLANKS}]+$", ""),
             lambda stripped: F.when(
                 (stripped == "") & (lowered != ""), F.array().cast("array<string>")
-            ).otherwise(F.split(stripped, r"\s", -1)),
+            ).otherwise(F.split(stripped, f"[{_BLANKS}]", -1)),
         )
 
     return let(F.lower(text), split)
@@ -184,23 +189,31 @@ def word_runs(text: Column, at_least: int = 2) -> Column:
 def char_ngrams(word: Column, low: int, high: int) -> Column:
     """All character n-grams of `` word `` (padded with a space), except the bare space.
 
-    Works on an array of characters: slicing it costs n, while substring would scan the
-    word from its start every time.
+    A look-ahead finds overlapping n-grams in one native scan. It steps by UTF-16 units, so
+    words with characters beyond the basic plane are cut from their list of characters.
     """
-    padded = F.split(F.concat(F.lit(" "), word, F.lit(" ")), "", -1)
+    padded = F.concat(F.lit(" "), word, F.lit(" "))
+
+    def scan(n: int) -> Column:
+        if n == 1:
+            return F.regexp_extract_all(padded, F.lit("[^ ]"), F.lit(0))
+        return F.regexp_extract_all(padded, F.lit("(?s)(?=(.{%d}))" % n), F.lit(1))
 
-    def grams(chars: Column, n: int) -> Column:
+    def cut(chars: Column, n: int) -> Column:
         last = F.size(chars) - (n - 1)
         return F.when(
             last >= 1,
             F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(chars, i, n), "")),
         ).otherwise(F.array().cast("array<string>"))
 
-    merged = let(
-        F.filter(padded, lambda c: c != ""),
-        lambda chars: F.concat(*[grams(chars, n) for n in range(low, high + 1)]),
+    sizes = range(low, high + 1)
+    listed = let(
+        F.filter(F.split(padded, "", -1), lambda c: c != ""),
+        lambda chars: F.filter(F.concat(*[cut(chars, n) for n in sizes]), lambda g: g != " "),
+    )
+    return F.when(word.rlike(r"[\x{10000}-\x{10FFFF}]"), listed).otherwise(
+        F.concat(*[scan(n) for n in sizes])
     )
-    return F.filter(merged, lambda g: g != " ")
 
 
 def format_weights(weights: Column) -> Column:

@@ -56,13 +56,13 @@ def test_first_words(one):
 
 
 def test_clean_text(one):
-    values = ["RT Hello", "rt rt x", "see https://a.b/c?d=1 now HTTP://x.y z", "café 12 don't", "a_b-c"]
-    assert one(tx.clean_text, values) == ["hello", "rt x", "see  now  z", "caf 12 dont", "abc"]
+    values = ["RT Hello", "rt rt x", "see https://a.b/c?d=1 now HTTP://x.y z", "café 12 don't", "a_b-c", "A\tB\nÇ"]
+    assert one(tx.clean_text, values) == ["hello", "rt x", "see  now  z", "caf 12 dont", "abc", "a\tb\n"]
 
 
 def test_tokenize_keeps_inner_and_leading_blanks(one):
-    values = ["a  b c ", " a", "", "   ", "A\tB\n", None]
-    assert one(tx.tokenize, values) == [["a", "", "b", "c"], ["", "a"], [""], [], ["a", "b"], None]
+    values = ["a  b c ", " a", "", "   ", "A\tB\n", "a\x0bb\x0c\r", None]
+    assert one(tx.tokenize, values) == [["a", "", "b", "c"], ["", "a"], [""], [], ["a", "b"], ["a", "b"], None]
 
 
 def test_stop_words(one):
@@ -96,7 +96,7 @@ def test_char_ngrams(one):
         p = f" {word} "
         return [g for n in (1, 2, 3) for g in (p[i:i + n] for i in range(len(p) - n + 1)) if g != " "]
 
-    values = ["", "é", "abc", "naïve"]
+    values = ["", "é", "abc", "naïve", "a😀b", "😀"]
     assert one(lambda c: tx.char_ngrams(c, 1, 3), values) == [grams(v) for v in values]
 
 
