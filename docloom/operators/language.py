@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
+from docloom.operators.corpus import union_parts
 from docloom.runtime import broadcast_bounded, materialize
 
 LOW, HIGH = 1, 3
@@ -99,12 +100,13 @@ def detect_language(df: DataFrame, model: LanguageModel, words: int = 50) -> Dat
         tx.space_words(F.col("abstract_summary")),
     ]
     open_docs, found = df, []
-    for number, stage in enumerate(stages):
+    for stage in stages:
         scored = materialize(_score(open_docs, stage, model), "language")
         found.append(scored)
-        if number + 1 < len(stages):
-            open_docs = open_docs.join(scored, "doc_id", "left_anti")
-    labelled = found[0].unionByName(found[1]).unionByName(found[2])
+        open_docs = open_docs.join(scored, "doc_id", "left_anti")
+        if open_docs.select("doc_id").isEmpty():
+            break
+    labelled = union_parts(*found)
     return (
         df.select("doc_id")
         .join(labelled, "doc_id", "left")

@@ -50,8 +50,9 @@ def token_table(df: DataFrame, text: Column | str, words: list[str]) -> DataFram
 
 @dataclass
 class TopicModel:
-    """Topics of a clustering with the vocabulary they rest on."""
+    """Topics of a clustering with the (doc_id, tokens, cluster_id) rows they rest on."""
 
+    tokens: DataFrame
     topics: DataFrame
     taggings: DataFrame
     vocab: DataFrame
@@ -69,7 +70,7 @@ def describe_clusters(
     documents = attached.count()
     vocab = features.build_vocab(features.term_stats(attached), max_terms, min_df)
     table = materialize(topics.cluster_topics(attached, vocab, documents, max_terms), "topics")
-    return TopicModel(table, topics.taggings(table, m), vocab, documents)
+    return TopicModel(attached, table, topics.taggings(table, m), vocab, documents)
 
 
 def search_text(query: str, tags: DataFrame, n: int = 5, dim: int = 64) -> DataFrame:

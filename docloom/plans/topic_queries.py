@@ -93,11 +93,9 @@ def clustered_documents(spark, folder):
              FROM scored)
   SELECT doc_id, cluster_id, rank, round(weight, 6) AS weight FROM placed WHERE rank <= 5""")
 def relevant_documents(spark, folder):
-    rows = stored_tokens(spark, folder)
-    m = describe_clusters(rows, clusters(spark, folder), TAGS, TERMS, MIN_DF)
-    # max_clusters: counted, so that the topic table is broadcast only when it is small
-    n = m.taggings.count()
-    weights = topics.document_weights(rows, m.topics, m.vocab, m.documents, TERMS, n)
+    m = model(spark, folder)
+    # the clusters are counted, so that the topic table is broadcast only when it is small
+    weights = topics.document_weights(m.tokens, m.topics, m.vocab, m.documents, TERMS, m.taggings.count())
     return topics.relevant_documents(weights, 5).withColumn("weight", F.round("weight", 6))
 
 
@@ -144,23 +142,21 @@ def vector_tags(spark, folder):
   q AS (SELECT vec AS qvec FROM v ORDER BY vec_id LIMIT 1),
   s AS (SELECT label, list_cosine_similarity(vec, qvec) AS score FROM v CROSS JOIN q),
   top AS (SELECT * FROM s QUALIFY rank() OVER (ORDER BY score DESC) <= 25)
-  SELECT label AS cluster_id, round(greatest(max(score), 0.0), 6) AS score FROM top GROUP BY label""")
+  SELECT label AS cluster_id, round(greatest(max(score), 0.0), 9) AS score FROM top GROUP BY label""")
 def search_one(spark, folder):
     v = vectors(spark, folder)
     asked = v.orderBy("doc_id").select("vec").first()["vec"]
-    found = search.search(F.lit(asked), vector_tags(spark, folder), 25)
-    return found.withColumn("score", F.round("score", 6))
+    return search.search(F.lit(asked), vector_tags(spark, folder), 25)
 
 
 @query("search_batch", """
   WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS vec FROM embeddings),
   s AS (SELECT q.vec_id AS query_id, t.label, list_cosine_similarity(t.vec, q.vec) AS score FROM v q CROSS JOIN v t),
   top AS (SELECT * FROM s QUALIFY rank() OVER (PARTITION BY query_id ORDER BY score DESC) <= 5)
-  SELECT query_id, label AS cluster_id, round(greatest(max(score), 0.0), 6) AS score FROM top GROUP BY query_id, label""")
+  SELECT query_id, label AS cluster_id, round(greatest(max(score), 0.0), 9) AS score FROM top GROUP BY query_id, label""")
 def search_batch(spark, folder):
     queries = vectors(spark, folder).select(F.col("doc_id").alias("query_id"), "vec")
-    found = search.search_batch(queries, vector_tags(spark, folder), 5)
-    return found.withColumn("score", F.round("score", 6))
+    return search.search_batch(queries, vector_tags(spark, folder), 5)
 
 
 def _english(check: str) -> str:
@@ -176,7 +172,7 @@ def _english(check: str) -> str:
   asked AS (SELECT {sql.embed(sql.quoted(QUERY_TEXT))} AS qvec),
   s AS (SELECT cluster_id, list_cosine_similarity(vec, qvec) AS score FROM embedded CROSS JOIN asked),
   top AS (SELECT * FROM s QUALIFY rank() OVER (ORDER BY round(score, 9) DESC) <= 5)
-  SELECT cluster_id, round(greatest(max(score), 0.0), 6) AS score FROM top GROUP BY cluster_id"""))
+  SELECT cluster_id, round(greatest(max(score), 0.0), 9) AS score FROM top GROUP BY cluster_id"""))
 def search_words(spark, folder):
     tags = topics.tag_table(model(spark, folder, "en").taggings)
-    return search_text(QUERY_TEXT, tags).withColumn("score", F.round("score", 6))
+    return search_text(QUERY_TEXT, tags)

@@ -40,8 +40,9 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/docloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, grouped by application for later clean-up."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/docloom/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
