@@ -36,7 +36,9 @@ def _rough_squared(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Squared distances by matrix product and the rounding error to allow per row."""
     a2 = np.einsum("ij,ij->i", a, a)
     b2 = np.einsum("ij,ij->i", b, b)
-    rough = a2[:, None] + b2[None, :] - 2.0 * (a @ b.T)
+    rough = (-2.0 * a) @ b.T
+    rough += a2[:, None]
+    rough += b2[None, :]
     slack = 1e-10 * (a2 + (b2.max() if len(b2) else 0.0)) + 1e-300
     return rough, slack
 
@@ -76,10 +78,12 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def within(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
     """Boolean matrix: distance at most ``eps``."""
     rough, slack = _rough_squared(a, b)
-    limit = eps * eps
-    hit = rough <= limit
-    i, j = np.nonzero(np.abs(rough - limit) <= slack[:, None])
-    hit[i, j] = np.sqrt(_exact_squared(a, b, i, j)) <= eps
+    limit, margin = eps * eps, slack.max() if len(slack) else 0.0
+    hit = rough <= limit + margin
+    sure = rough <= limit - margin
+    if np.count_nonzero(hit) != np.count_nonzero(sure):
+        i, j = np.nonzero(hit ^ sure)
+        hit[i, j] = np.sqrt(_exact_squared(a, b, i, j)) <= eps
     return hit
 
 
@@ -107,8 +111,9 @@ def pair_hits(homes: pd.DataFrame, members: pd.DataFrame, eps: float):
     a, b = stack(homes["vec"]), stack(members["vec"])
     hit = within(a, b, eps)
     same_home = members["home"].to_numpy() == homes["home"].to_numpy()[0]
-    ahead = homes["id"].to_numpy()[:, None] < members["id"].to_numpy()[None, :]
-    hit &= ahead | ~same_home[None, :]
+    # a member of another home counts as later than every home row
+    later = np.where(same_home, members["id"].to_numpy(), np.iinfo(np.int64).max)
+    hit &= homes["id"].to_numpy()[:, None] < later[None, :]
     return a, b, hit
 
 

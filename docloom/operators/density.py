@@ -76,8 +76,9 @@ def dbscan(
     def count_kernel(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         _, _, hit = kernels.pair_hits(homes, members, eps)
         ids = np.concatenate([homes["id"], members["id"]])
-        seen = np.concatenate([hit @ members["w"].to_numpy(), homes["w"].to_numpy() @ hit])
-        return pd.DataFrame({"id": ids[seen > 0], "seen": seen[seen > 0]})
+        weights = hit.astype(np.float64)
+        seen = np.concatenate([weights @ members["w"].to_numpy(float), homes["w"].to_numpy(float) @ weights])
+        return pd.DataFrame({"id": ids[seen > 0], "seen": seen[seen > 0].astype(np.int64)})
 
     counts = (
         blocks.neighbour_groups(placed, sizes, count_kernel, "id long, seen long")
