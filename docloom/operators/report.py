@@ -33,8 +33,8 @@ def cluster_report(
 ) -> DataFrame:
     """(position, x, y, prediction): two coordinates of each vector next to its prediction.
 
-    For files that carry no id; the rows are matched by position. As in the original report
-    the coordinates are the second and third component.
+    For files that carry no id; the rows are matched by position. The coordinates are the
+    second and third component of the vector.
     """
     points = vectors.withColumn("x", F.get("vec", F.lit(1))).withColumn("y", F.get("vec", F.lit(2)))
     zipped = zip_by_position(

@@ -34,7 +34,7 @@ def test_read_papers(spark, folder):
 
 def test_read_metadata(spark, tmp_path):
     path = tmp_path / "metadata.csv"
-    path.write_text('cord,sha,title,authors,doi,pubmed_id\n1,p1,"A ""b"",\nc",X;Y,0012,0034\n2,p1,late,,,\n3,,none,Z,1,2\n')
+    path.write_text('n,sha,title,authors,doi,pubmed_id\n1,p1,"A ""b"",\nc",X;Y,0012,0034\n2,p1,late,,,\n3,,none,Z,1,2\n')
     rows = readers.read_metadata(spark, str(path)).orderBy("meta_order").collect()
     assert [r["sha"] for r in rows] == ["p1", "p1", None]
     assert rows[0]["title"] == 'A "b",\nc' and rows[0]["doi"] == "0012" and rows[1]["authors"] is None
