@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import url_filter
+from docloom.llm import bpe, secret_scan, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -27,7 +28,49 @@ def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def vocabulary() -> str:
+    """The tokenizer file of the contracts."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query("op1_url_ratio")
 def op1_url_ratio(spark, folder):
     found = url_filter.filter_urls(_table(spark, folder, "pages", "page_id", "url"))
     return found.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op3_bpe_codec")
+def op3_bpe_codec(spark, folder):
+    return bpe.digest_round_trip(_table(spark, folder, "documents", "doc_id", "text"), vocabulary())
+
+
+@query(
+    "op6_warc_archive",
+    """
+    WITH facts AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+            coalesce(html, '') AS payload FROM pages),
+    groups AS (SELECT payload, max(page_id) AS keeper FROM facts GROUP BY payload)
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND keeper <> page_id THEN keeper END AS refers_to
+    FROM facts JOIN groups USING (payload)
+    """,
+)
+def op6_warc_archive(spark, folder):
+    found = warc.archive_pages(_table(spark, folder, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark, folder):
+    found = secret_scan.scan(_table(spark, folder, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["ord"] < len(secret_scan.BASE))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(r.kind) for r in secret_scan.BASE],
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
+    )
