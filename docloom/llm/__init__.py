@@ -1 +1,8 @@
 """Operators for training-data pipelines: filtering, de-duplication, tokens, packing, archives."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,7 +5,7 @@ an entry whose symbols have changed since it was queued is stale and skipped. Te
 the steps that the file states: special tokens are cut out, then NFC, lower case per
 character, the split into pieces, the byte alphabet. Decoding concatenates vocabulary strings.
 
-Words repeat, so every worker keeps the encodings of words it has met; the store has a
+Words repeat, so every task keeps the encodings of words it has met; the store has a
 fixed bound and is cut by half when it is full, which changes nothing but the time.
 
 Edge cases: null and empty texts have no ids and decode to the empty text; a text of any
@@ -21,7 +21,6 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -140,17 +139,11 @@ class Codec:
         return " ".join([self.strings[i] for i in array("I", ids)])
 
 
-@lru_cache(maxsize=4)
-def codec(path: str) -> Codec:
-    """One codec per file and worker process."""
-    return Codec(path)
-
-
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) to (id, ids binary): four bytes an id, little-endian. Map-only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(path)
+        coder = Codec(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
@@ -168,7 +161,7 @@ def digest_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(path)
+        coder = Codec(path)
         for batch in batches:
             n, ids_hash, text_hash = [], [], []
             for text in batch.column(1):

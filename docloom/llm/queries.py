@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, secret_scan, url_filter, warc
+from docloom.llm import bpe, quality_model, quality_rules, secret_scan, url_filter, warc
+
+from docloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -62,6 +64,29 @@ def op6_warc_archive(spark, folder):
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def quality_labels(spark, folder):
+    """(doc_id, label) of the rows that may be learned from."""
+    labels = _table(spark, folder, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
+    return labels.where(crc_mod(F.col("doc_id"), 4) != 2)
+
+
+@query("op8_quality_model")
+def op8_quality_model(spark, folder):
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    scored = quality_model.score(docs, quality_model.fit(docs, quality_labels(spark, folder)))
+    return scored.select(
+        "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark, folder):
+    judged = quality_rules.judge(_table(spark, folder, "documents", "doc_id", "text", "lang", "source"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query("op10_secret_scan")
 def op10_secret_scan(spark, folder):
     found = secret_scan.scan(_table(spark, folder, "documents", "doc_id", "text"))
