@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, quality_model, quality_rules, secret_scan, url_filter, warc
+from docloom.llm import bpe, ngram_join, quality_model, quality_rules, secret_scan, url_filter, warc
 
 from docloom.llm.common import crc_mod
 
@@ -64,6 +64,12 @@ def op6_warc_archive(spark, folder):
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op7_ngram_join")
+def op7_ngram_join(spark, folder):
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    return ngram_join.link_components(docs, n=4, num=85, den=100)
+
+
 def quality_labels(spark, folder):
     """(doc_id, label) of the rows that may be learned from."""
     labels = _table(spark, folder, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")

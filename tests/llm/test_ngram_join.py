@@ -1,0 +1,92 @@
+import random
+
+import numpy as np
+
+from docloom.llm import ngram_join as J
+
+
+def brute(rows, n, num, den):
+    """Shingle sets by strings, all pairs, union-find."""
+    sets = {}
+    for i, text in rows:
+        words = "".join(c.lower() if c.isascii() else c for c in text or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ")
+        words = [w for w in words if w]
+        sets[i] = {tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+                p, q = sorted((find(a), find(b)))
+                root[q] = p
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def corpus(seed, size=260):
+    rng = random.Random(seed)
+    vocab = [f"w{k}é" for k in range(400)]
+    passage = [rng.choice(vocab) for _ in range(50)]
+    texts, rows = [], []
+    for _ in range(size):
+        kind = rng.random()
+        if kind < 0.55 and texts:
+            words = rng.choice(texts).split()
+            for _ in range(rng.randint(0, 1 + len(words) // 25)):
+                at = rng.randrange(len(words) + 1)
+                if rng.random() < 0.5:
+                    words.insert(at, rng.choice(vocab))
+                elif words[at:]:
+                    words[at] = rng.choice(vocab)
+        else:
+            words = [rng.choice(vocab) for _ in range(rng.choice([1, 2, 3, 4, 6, 8, 9, 10, 11, 12, 20, 40, 90, 200]))]
+            if rng.random() < 0.3:
+                words += passage
+        texts.append(" ".join(words) or "w")
+    for i, t in enumerate(texts):
+        rows.append((i * 3 + 1, t.replace("w", rng.choice("wW")).replace(" ", rng.choice([" ", "\n", "\t "]))))
+    return rows + [(0, None), (-5, ""), (5, " \n\t"), (10**12, texts[0]), (10**12 + 1, "\xa0 \x1c"), (10**12 + 2, "x " * 30_000)]
+
+
+def test_against_all_pairs(spark):
+    for seed, n, num, den in ((1, 4, 85, 100), (2, 5, 80, 100), (3, 4, 85, 100)):
+        rows = corpus(seed)
+        docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, segments int").repartition(5)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.link_components(docs, n, num, den).collect()}
+        assert got == brute(rows, n, num, den)
+
+
+def test_tiny_sets_lose_no_link(spark):
+    """All grams of a set may fall into one fragment: then only an empty segment is equal."""
+    rng = random.Random(9)
+    rows = []
+    for g in range(150):
+        words = [f"g{g}w{k}" for k in range(rng.choice([9, 10, 13]))]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join([*words, "end"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.link_components(docs).collect()}
+    assert got == brute(rows, 4, 85, 100)
+
+
+def test_every_linked_pair_shares_a_segment():
+    rng = np.random.default_rng(4)
+    for _ in range(1500):
+        size = int(rng.integers(6, 300))
+        base = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        extra = rng.integers(0, 2**64, int(rng.integers(0, 1 + size * 0.09)), dtype=np.uint64)
+        lost = int(rng.integers(0, 1 + size * 0.09))
+        other = np.unique(np.r_[rng.permutation(base)[lost:], extra])
+        both = len(np.intersect1d(base, other))
+        if both * 100 >= 85 * (len(base) + len(other) - both) and both < max(len(base), len(other)):
+            assert np.intersect1d(J.segment_hashes(base, 85, 100), J.segment_hashes(other, 85, 100)).size
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert J.link_components(docs).count() == 0
