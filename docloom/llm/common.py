@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.runtime import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -18,9 +22,21 @@ def crc_mod(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def more_splits(spark: SparkSession, frame: DataFrame, key: str) -> DataFrame:
-    """Deal rows out evenly by a key of nearly distinct values before heavy Python work on few splits.
+def number_within(frame: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
+    """Number the rows of each group from 0 in the order of ``order``, without gathering a group in one task.
 
-    Only narrow frames should pass through here: the rows move.
+    Rows are dealt by ranges of (group, order); the sizes of a group's pieces in the ranges give
+    the offsets. ``order`` must be unique within a group for a stable result. The numbered rows are
+    written once, so that both passes see the same layout.
     """
-    return frame.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    dealt = frame.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    local = materialize(
+        dealt.withColumn("_n_part", F.spark_partition_id()).withColumn("_n_at", F.monotonically_increasing_id()), "numbered"
+    )
+    pieces = local.groupBy(group, "_n_part").agg(F.count("*").alias("_n_rows"), F.min("_n_at").alias("_n_first"))
+    earlier = Window.partitionBy(group).orderBy("_n_part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(group, "_n_part", "_n_first", F.coalesce(F.sum("_n_rows").over(earlier), F.lit(0)).alias("_n_before"))
+    joined = local.join(pieces, [group, "_n_part"])
+    return joined.withColumn(name, F.col("_n_before") + F.col("_n_at") - F.col("_n_first")).drop(
+        "_n_part", "_n_at", "_n_first", "_n_before"
+    )

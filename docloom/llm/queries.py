@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, ngram_join, quality_model, quality_rules, secret_scan, url_filter, warc
+from docloom.llm import bpe, embedding_dedup, ngram_join, quality_model, quality_rules, secret_scan, url_filter, warc
 
 from docloom.llm.common import crc_mod
 
@@ -46,6 +46,11 @@ def op3_bpe_codec(spark, folder):
     return bpe.digest_round_trip(_table(spark, folder, "documents", "doc_id", "text"), vocabulary())
 
 
+@query("op4_embedding_dedup")
+def op4_embedding_dedup(spark, folder):
+    return embedding_dedup.link_vectors(_table(spark, folder, "embeddings", "vec_id", "embedding"), 0.9)
+
+
 @query(
     "op6_warc_archive",
     """
