@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, embedding_dedup, ngram_join, quality_model, quality_rules, secret_scan, url_filter, warc
+from docloom.llm import bpe, embedding_dedup, ngram_join, packing, quality_model, quality_rules, secret_scan, url_filter, warc
 
 from docloom.llm.common import crc_mod
 
@@ -51,6 +51,12 @@ def op4_embedding_dedup(spark, folder):
     return embedding_dedup.link_vectors(_table(spark, folder, "embeddings", "vec_id", "embedding"), 0.9)
 
 
+@query("op5_pattern_packing")
+def op5_pattern_packing(spark, folder):
+    packed = packing.pack_documents(_table(spark, folder, "documents", "doc_id", "text"), vocabulary(), 4096, 1)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query(
     "op6_warc_archive",
     """
