@@ -40,3 +40,24 @@ def number_within(frame: DataFrame, group: str, order: Sequence[str], name: str)
     return joined.withColumn(name, F.col("_n_before") + F.col("_n_at") - F.col("_n_first")).drop(
         "_n_part", "_n_at", "_n_first", "_n_before"
     )
+
+
+def with_keys(frame: DataFrame, id_col: str, key: str = "_key") -> tuple[DataFrame, str]:
+    """A frame and the name of a column that is unique and not null in it.
+
+    That is the id itself where it qualifies. Otherwise rows get numbers, which are written
+    to the shared folder together with the rows, so that every later pass sees the same ones.
+    """
+    ids = frame.groupBy(id_col).count()
+    if ids.where((F.col("count") > 1) | F.col(id_col).isNull()).isEmpty():
+        return frame, id_col
+    return materialize(frame.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+
+
+def by_ids(found: DataFrame, keyed: DataFrame, key: str, id_col: str) -> DataFrame:
+    """Results by key (with a ``component_id`` that is a key) as results by id: the smallest id of the component."""
+    names = keyed.select(F.col(key).alias("_k"), F.col(id_col).alias("_id"))
+    joined = found.join(names, found[key] == F.col("_k"))
+    least = joined.groupBy("component_id").agg(F.min("_id").alias("_least"))
+    renamed = joined.join(least, "component_id").drop("component_id", key, "_k")
+    return renamed.withColumnsRenamed({"_id": id_col, "_least": "component_id"})

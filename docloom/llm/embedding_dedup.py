@@ -13,8 +13,10 @@ vectors are one vector with a number of copies from the start.
 
 Cosines are computed in double precision. Edge cases: vectors that are null, empty, zero or hold
 null or non-finite components link with nothing; vectors of other lengths than most are
-compared with those of their own length only; ids must be unique and not null (a null id fails);
-labels and other columns are ignored; an empty table gives an empty result.
+compared with those of their own length only; where ids are null or repeat, rows are told apart by
+numbers of their own, the component is named by its smallest id that is not null, and one row of the
+component is kept, that of the smallest number; labels and other columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import number_within
+from docloom.llm.common import by_ids, number_within, with_keys
 from docloom.operators.components import connected_components
 from docloom.runtime import materialize
 
@@ -176,8 +178,17 @@ def _links_in_blocks(members: DataFrame, least: float) -> DataFrame:
 
 def link_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) for every row: links are cosines of ``least`` or more."""
-    checked: Column = F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a vector needs an id"))).otherwise(F.col(id_col))
-    units = unit_vectors(vectors.select(checked.alias(id_col), vec_col), id_col, vec_col)
+    keyed, key = with_keys(vectors.select(id_col, vec_col), id_col)
+    found = _link(keyed, least, key, vec_col)
+    if key != id_col:
+        kept = found.select("_key", "kept", "n_links", "component_id")
+        found = by_ids(kept, keyed, key, id_col)
+    return found.select(id_col, "n_links", "component_id", "kept")
+
+
+def _link(vectors: DataFrame, least: float, id_col: str, vec_col: str) -> DataFrame:
+    """The same for unique ids."""
+    units = unit_vectors(vectors, id_col, vec_col)
     units = materialize(units.withColumn("digest", F.xxhash64("vec")), "vec-units")
     # equal vectors: digests with the vector's own values, so that a clash cannot join two
     classes = materialize(

@@ -21,9 +21,10 @@ Verification. The candidates' sets are cut into fragments again, overlaps are co
 pair and fragment separately, and the counts are summed per pair.
 
 Edge cases: null texts and texts without words have no shingles and link with nothing; a
-text with fewer than n words is one shingle, the whole sequence; ids must be unique and not
-null (a null id fails); repeated rows under other ids are copies; other columns are
-ignored; an empty table gives an empty result.
+text with fewer than n words is one shingle, the whole sequence; rows with equal texts are copies,
+whatever their ids; where ids are null or repeat, rows are told apart by numbers of their own and
+the component is named by its smallest id that is not null; other columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import by_ids, with_keys
 from docloom.llm.words import LOWER, ODD, hash_words, mix, shingles, texts_of
 from docloom.operators.components import connected_components
 from docloom.runtime import BROADCAST_BYTES, materialize
@@ -104,8 +106,7 @@ def add_sets(docs: DataFrame, n: int, num: int, den: int, id_col: str = "doc_id"
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    checked = F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a document needs an id"))).otherwise(F.col(id_col))
-    return docs.select(checked.alias("doc_id"), text_col).mapInArrow(
+    return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(
         run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, segments array<long>"
     )
 
@@ -160,6 +161,28 @@ def link_components(
     docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the smallest id reachable by links of num / den or more."""
+    keyed, key = with_keys(docs.select(id_col, text_col), id_col)
+    found = _components(keyed, n, num, den, key, text_col).withColumnRenamed("doc_id", key)
+    if key != id_col:
+        found = by_ids(found, keyed, key, id_col)
+    return found.select(F.col(id_col).alias("doc_id"), "n_shingles", "component_id")
+
+
+def deduplicate(
+    docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id."""
+    keyed, key = with_keys(docs, id_col)
+    found = _components(keyed.select(key, text_col), n, num, den, key, text_col)
+    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_j_gone")), "join-gone")
+    few = gone.count()
+    # texts move only when the removed ids are too many to be broadcast
+    gone = F.broadcast(gone) if few * 16 <= BROADCAST_BYTES else gone
+    return keyed.join(gone, F.col(key) == F.col("_j_gone"), "left_anti").select(*docs.columns)
+
+
+def _components(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for unique ids."""
     if num * 10 < den * 7:
         raise ValueError("thresholds below 0.7 are not served: partners could be two size classes away")
     sets = materialize(add_sets(docs, n, num, den, id_col, text_col), "join-sets")

@@ -14,9 +14,8 @@ Pieces are then numbered within their length (ranges of (length, id), so a lengt
 the pieces share is no hot group) and find their sequence and offset in the plan by number.
 
 Edge cases: null and empty texts are one piece of the end id alone; a document of any
-length is cut into full pieces and a shorter last one; rows that share an id must not exist (the
-pieces of one id are told apart by number only; a null id fails); other columns are ignored; an
-empty table gives an empty result.
+length is cut into full pieces and a shorter last one; rows with a null or a repeated id are packed
+like any others; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -84,9 +83,8 @@ def cut_documents(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    checked = F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a document needs an id"))).otherwise(F.col(id_col))
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if ids else "")
-    return docs.select(checked.alias("doc_id"), text_col).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, schema)
 
 
 def patterns(bins: list[int], total: int, most: int = PARTS) -> list[tuple[int, ...]]:

@@ -82,9 +82,10 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def add_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with the measures of the text. Map-only."""
-    others = [f for f in docs.schema if f.name not in (text_col, *MEASURES)]
+def add_measures(docs: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with the measures of the text, and with the text itself if asked for. Map-only."""
+    gone = MEASURES if keep_text else (text_col, *MEASURES)
+    others = [f for f in docs.schema if f.name not in gone]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,7 +97,7 @@ def add_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     kept = [F.col(f"`{f.name}`") for f in others]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + [f"{m} long" for m in MEASURES])
-    return docs.select(text_col, *kept).mapInArrow(run, schema)
+    return docs.select(F.col(text_col).alias("_q_text"), *kept).mapInArrow(run, schema)
 
 
 def _bucket(value: Column) -> Column:
@@ -187,3 +188,12 @@ def judge(docs: DataFrame, text_col: str = "text", keys: Sequence[str] = ("lang"
     measured = materialize(add_measures(docs, text_col), "quality-measures")
     limits = materialize(thresholds(materialize(sketch(measured, keys), "quality-sketches"), keys), "quality-limits")
     return apply_rules(measured, limits, keys)
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", keys: Sequence[str] = ("lang", "source")) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns. Texts are measured twice and never moved."""
+    measured = materialize(add_measures(docs.select(text_col, *keys), text_col), "quality-measures")
+    limits = materialize(thresholds(materialize(sketch(measured, keys), "quality-sketches"), keys), "quality-limits")
+    inner = docs.withColumnsRenamed({c: f"_d_{c}" for c in docs.columns if c in (*MEASURES, "base_failed", "kept")})
+    judged = apply_rules(add_measures(inner, text_col, keep_text=True), limits, keys)
+    return judged.where("kept").select(*[F.col(f"`{c}`") for c in inner.columns]).toDF(*docs.columns)

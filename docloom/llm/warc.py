@@ -14,9 +14,9 @@ so a payload that a third of the rows share is no hot group), and the rows that
 store their payload are taken out by an anti-join on ids.
 
 Edge cases: a null or empty payload is the empty payload; null URLs give an empty target
-URI; rows that agree in everything but their id are separate records; ids must be unique and
-not null, for they name the records (a null or repeated id fails); an empty table gives an
-empty archive; further columns of the input are ignored.
+URI; every row is a record of its own, also when its id is null or repeats (records are then told
+apart by numbers, and a null id is written as ``-``); an empty table gives an empty archive;
+further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm.common import with_keys
 from docloom.runtime import BROADCAST_BYTES, materialize, scratch_path
 
 CRLF = "\r\n"
@@ -40,12 +41,14 @@ def _header(date: str) -> Column:
     def line(name, value):
         return F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
 
-    record = F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))
+    def name(page):
+        return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(page).cast("string"), F.lit("-")), F.lit(">"))
+
     revisit = F.col("record_type") == "revisit"
     return F.concat(
         F.lit(f"WARC/1.0{CRLF}"),
         line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", record),
+        line("WARC-Record-ID", name("page_id")),
         line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "")),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -53,7 +56,7 @@ def _header(date: str) -> Column:
         F.when(
             revisit,
             F.concat(
-                line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
+                line("WARC-Refers-To", name("refers_to")),
                 line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")),
             ),
         ).otherwise(F.lit("")),
@@ -63,10 +66,11 @@ def _header(date: str) -> Column:
 
 def write_archive(pages: DataFrame, folder: str, min_revisit: int = 1000, date: str = DATE) -> None:
     """Write ``headers`` and ``payloads`` of (page_id, url, html) below ``folder``."""
+    pages, key = with_keys(pages.select("page_id", "url", "html"), "page_id")
     payload = _bytes(F.coalesce("html", F.lit("")))
     facts = materialize(
         pages.select(
-            "page_id", "url",
+            "page_id", F.col(key).alias("key"), "url",
             F.octet_length(payload).cast("long").alias("payload_bytes"),
             F.sha1(payload).alias("payload_digest"),
             F.sha2(payload, 256).alias("digest"),
@@ -74,28 +78,28 @@ def write_archive(pages: DataFrame, folder: str, min_revisit: int = 1000, date:
         "warc-facts",
     )
     groups = materialize(
-        facts.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1"), "warc-groups"
+        facts.groupBy("digest").agg(F.max(F.struct("page_id", "key")).alias("keeper"), F.count("*").alias("n")).where("n > 1"),
+        "warc-groups",
     )
     # narrow rows; one group row per digest, so AQE can split a hot digest
     roles = facts.join(groups, "digest", "left")
-    second = F.col("keeper").isNotNull() & (F.col("keeper") != F.col("page_id"))
+    second = F.col("keeper").isNotNull() & (F.col("keeper.key") != F.col("key"))
     revisit = second & (F.col("payload_bytes") >= min_revisit)
-    checked = F.when(F.col("page_id").isNull(), F.raise_error(F.lit("a record needs an id"))).otherwise(F.col("page_id"))
     roles = materialize(
         roles.select(
-            checked.alias("page_id"), "url", "payload_bytes", "payload_digest", "digest",
+            "page_id", "key", "url", "payload_bytes", "payload_digest", "digest",
             F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-            F.when(revisit, F.col("keeper")).alias("refers_to"), second.alias("copy"),
+            F.when(revisit, F.col("keeper.page_id")).alias("refers_to"), second.alias("copy"),
         ),
         "warc-roles",
     )
     roles.select("page_id", "digest", "record_type", "refers_to", _bytes(_header(date)).alias("header")).write.parquet(
         f"{folder}/headers"
     )
-    copies = roles.where("copy").select("page_id")
+    copies = roles.where("copy").select("key")
     n = copies.count()
     copies = F.broadcast(copies) if n * 64 <= BROADCAST_BYTES else copies
-    pages.select("page_id", payload.alias("payload")).join(copies, "page_id", "left_anti").select(
+    pages.select(F.col(key).alias("key"), payload.alias("payload")).join(copies, "key", "left_anti").select(
         F.sha2("payload", 256).alias("digest"), "payload"
     ).write.parquet(f"{folder}/payloads")
 
@@ -122,7 +126,7 @@ def read_archive(spark: SparkSession, folder: str, payloads: bool = True) -> Dat
         return F.regexp_extract(text, rf"(?m)^{name}: {pattern}$", 1)
 
     parsed = headers.select(
-        field("WARC-Record-ID", "<urn:page:(-?[0-9]+)>").cast("long").alias("page_id"),
+        F.nullif(field("WARC-Record-ID", "<urn:page:(-?[0-9]+)>"), F.lit("")).cast("long").alias("page_id"),
         field("WARC-Target-URI", "(.*)").alias("url"),
         field("WARC-Type", "([a-z]+)").alias("record_type"),
         F.nullif(field("WARC-Refers-To", "<urn:page:(-?[0-9]+)>"), F.lit("")).cast("long").alias("refers_to"),
