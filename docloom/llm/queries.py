@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, embedding_dedup, ngram_join, packing, quality_model, quality_rules, secret_scan, url_filter, warc
+from docloom.llm import bpe, embedding_dedup, gru_lm, ngram_join, packing, quality_model, quality_rules, secret_scan, url_filter, warc
 
 from docloom.llm.common import crc_mod
 
@@ -41,6 +41,12 @@ def op1_url_ratio(spark, folder):
     return found.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query("op2_gru_score")
+def op2_gru_score(spark, folder):
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    return gru_lm.score_documents(docs, crc_mod(F.col("doc_id"), 7) != 2)
+
+
 @query("op3_bpe_codec")
 def op3_bpe_codec(spark, folder):
     return bpe.digest_round_trip(_table(spark, folder, "documents", "doc_id", "text"), vocabulary())
