@@ -42,7 +42,7 @@ def number_within(frame: DataFrame, group: str, order: Sequence[str], name: str)
     )
 
 
-def with_keys(frame: DataFrame, id_col: str, key: str = "_key") -> tuple[DataFrame, str]:
+def with_keys(frame: DataFrame, id_col: str, key: str = "_row_number") -> tuple[DataFrame, str]:
     """A frame and the name of a column that is unique and not null in it.
 
     That is the id itself where it qualifies. Otherwise rows get numbers, which are written

@@ -14,8 +14,8 @@ the order of rows.
 
 Edge cases: null and empty texts have no words and fail the base rule; null languages and
 sources form groups of their own; rows are judged one by one, so repeated ids stay apart;
-working columns start with ``_q_``, others of the input are carried through, except that
-columns named like a result are replaced; an empty table gives an empty result.
+columns of the input are carried through, except that those named like a result are replaced and
+those with the prefix ``_q_`` of working columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def repeated_words(words: list[bytes]) -> int:
 def add_measures(docs: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with the measures of the text, and with the text itself if asked for. Map-only."""
     gone = MEASURES if keep_text else (text_col, *MEASURES)
-    others = [f for f in docs.schema if f.name not in gone]
+    others = [f for f in docs.schema if f.name not in gone and not f.name.startswith("_q_")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,6 +194,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", keys: Sequence[str] = ("l
     """The rows of ``docs`` that are kept, with their columns. Texts are measured twice and never moved."""
     measured = materialize(add_measures(docs.select(text_col, *keys), text_col), "quality-measures")
     limits = materialize(thresholds(materialize(sketch(measured, keys), "quality-sketches"), keys), "quality-limits")
-    inner = docs.withColumnsRenamed({c: f"_d_{c}" for c in docs.columns if c in (*MEASURES, "base_failed", "kept")})
+    clash = [c for c in docs.columns if c in (*MEASURES, "base_failed", "kept") or c.startswith("_q_")]
+    inner = docs.withColumnsRenamed({c: f"_d_{c}" for c in clash})
     judged = apply_rules(add_measures(inner, text_col, keep_text=True), limits, keys)
     return judged.where("kept").select(*[F.col(f"`{c}`") for c in inner.columns]).toDF(*docs.columns)

@@ -16,7 +16,8 @@ dropped after it has consumed its text. Offsets count code points, ends are excl
 Edge cases: a null or empty text has no spans; a row with a null id is searched by
 every rule; rows that share an id share their candidacy and are searched each for itself;
 texts of any length are searched whole; an empty table gives an empty result; a column named
-``spans`` in the input is replaced, others are carried through.
+``spans`` in the input is replaced, those with the prefix ``_s_`` of working columns are left
+out, others are carried through.
 """
 
 from __future__ import annotations
@@ -223,7 +224,7 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id",
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     full = {k for k, q in queries.items() if q is True}
     queries = {k: q for k, q in queries.items() if q is not True}
-    docs = docs.drop("spans")
+    docs = docs.drop("spans", *[c for c in docs.columns if c.startswith("_s_")])
     kinds = F.array().cast("array<string>")
     if queries:
         grams = sorted(set().union(*map(grams_in, queries.values())))

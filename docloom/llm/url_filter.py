@@ -12,7 +12,8 @@ as whole millionths, so sums do not depend on the order of rows.
 Edge cases: a null URL or one without ``://`` has an empty host and path, no rule, and is
 scored as the empty text; repeated rows are judged alike; without labelled URLs every score
 is 0 and the cut is 0, which allows; an empty table gives an empty result; columns of the
-input are carried through, and working columns are prefixed with ``_u_``.
+input are carried through, but for those named like a result or with the prefix ``_u_`` of
+working columns, which are left out.
 """
 
 from __future__ import annotations
@@ -185,6 +186,8 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, s
     A fifth of the labelled texts (by their own crc32) calibrates, the others are counted.
     """
     verdicts = {rule: verdict for verdict, rule in rules}
+    results = ("host", "path", "rule", "verdict", "score")
+    pages = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c == url or c not in results and not c.startswith("_u_")])
     host, path = host_and_path(F.col(url))
     judged = pages.withColumns({"host": host, "path": path}).withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     after = F.instr(F.col(url), "://")

@@ -1,7 +1,6 @@
 import math
 
 import numpy as np
-import pytest
 
 from docloom.llm import embedding_dedup as E
 
@@ -64,7 +63,10 @@ def test_passes_grow_with_the_input():
     assert E.passes_for(10, 0.9) < E.passes_for(10**5, 0.9) < E.passes_for(10**9, 0.9) < 1000
 
 
-def test_empty_table_and_null_id(spark):
+def test_empty_table_and_odd_ids(spark):
     assert E.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
-    with pytest.raises(Exception, match="needs an id"):
-        E.link_vectors(spark.createDataFrame([(None, [1.0])], "vec_id long, embedding array<double>")).collect()
+    rows = [(None, [1.0, 0.0]), (None, [1.0, 0.1]), (4, [1.0, 0.0]), (4, [1.0, 0.0]), (9, [0.0, 1.0]), (None, [0.0, -1.0])]
+    got = E.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    seen = sorted((r["vec_id"] or -1, r["n_links"], r["component_id"]) for r in got)
+    assert seen[1:] == [(-1, 3, 4), (-1, 3, 4), (4, 3, 4), (4, 3, 4), (9, 0, 9)] and seen[0][:2] == (-1, 0) or seen[0][2] is None
+    assert sum(r["kept"] for r in got) == 3

@@ -88,7 +88,9 @@ def test_documents(spark):
     assert len(joined) == len(by_sequence) and sum(len(r["ids"]) for r in joined) == 4 * sum(r["length"] for r in packed)
 
 
-def test_empty_table_and_null_id(spark):
+def test_empty_table_and_odd_ids(spark):
     assert P.pack_documents(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
-    with pytest.raises(Exception, match="needs an id"):
-        P.pack_documents(spark.createDataFrame([(None, "a")], "doc_id long, text string"), PATH).collect()
+    rows = [(None, "a"), (None, None), (1, "b c"), (1, "b c"), (1, "d " * 100)]
+    got = P.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), PATH, 16).collect()
+    spots = {(r["sequence_id"], r["offset"] + k) for r in got for k in range(r["length"])}
+    assert len(spots) == sum(r["length"] for r in got) == 2 + 1 + 3 + 3 + 101

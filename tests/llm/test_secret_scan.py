@@ -35,7 +35,7 @@ def sample():
 
 def test_against_brute_force(spark):
     rows = [(i, t, "w") for i, t in enumerate(sample())] + [(None, "token=abcdefgh1", "w"), (0, "secret=abcdefgh1", "w")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, _s_other string").repartition(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _s_kinds string").repartition(5)
     out = S.scan(docs).collect()
     assert len(out) == len(rows)
     for r in out:

@@ -56,9 +56,15 @@ def test_damage_is_found(spark, tmp_path):
         warc.read_archive(spark, f"{tmp_path}/c").collect()
 
 
-def test_empty_table_and_null_id(spark, tmp_path):
+def test_empty_table_and_odd_ids(spark, tmp_path):
     _, frame = pages(spark)
     warc.write_archive(frame.limit(0), f"{tmp_path}/a")
     assert warc.read_archive(spark, f"{tmp_path}/a").count() == 0
-    with pytest.raises(Exception, match="needs an id"):
-        warc.write_archive(spark.createDataFrame([(None, "u", "h")], "page_id long, url string, html string"), f"{tmp_path}/n")
+    big = "b" * 2000
+    rows = [(None, "u", big), (None, "v", big), (3, "w", big), (3, "w", big), (None, None, None), (5, "x", "y")]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/n")
+    out = warc.read_archive(spark, f"{tmp_path}/n").collect()
+    assert sorted((r["page_id"] or 0, r["record_type"], r["refers_to"] or 0) for r in out) == [
+        (0, "response", 0), (0, "revisit", 3), (0, "revisit", 3), (3, "response", 0), (3, "revisit", 3), (5, "response", 0)
+    ]
+    assert spark.read.parquet(f"{tmp_path}/n/payloads").count() == 3
