@@ -41,17 +41,9 @@ def near_duplicates(spark, docs, sf_dir):
 
 def secrets(spark, docs, sf_dir):
     """Mask every secret; ``n_chars`` follows the text."""
-    found = secret_scan.scan(docs.withColumnsRenamed({"spans": "_d_spans"}))
-    masked = secret_scan.mask(F.col("text"), F.col("spans"))
-    columns = []
-    for c in docs.columns:
-        own = F.col("`_d_spans`" if c == "spans" else f"`{c}`")
-        if c == "text":
-            own = masked
-        elif c == "n_chars":
-            own = F.when(F.size("spans") > 0, F.length(masked).cast("long")).otherwise(own)
-        columns.append(own.alias(c))
-    return found.select(*columns)
+    inner = docs.withColumnsRenamed({c: f"_d_{c}" for c in docs.columns if c == "spans" or c.startswith("_s_")})
+    masked = secret_scan.mask(secret_scan.scan(inner), "text", "n_chars")
+    return masked.select(*[F.col(f"`{c}`") for c in inner.columns]).toDF(*docs.columns)
 
 
 def pack(spark, docs, sf_dir):

@@ -251,15 +251,33 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def mask(text: Column, spans: Column, by: str = MASK) -> Column:
-    """``text`` with every span replaced; spans that overlap become one."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+def united(spans: Column) -> Column:
+    """array<struct<start, end>>: sorted spans with overlapping ones made one."""
+    kind = "array<struct<start:bigint,end:bigint>>"
 
     def step(acc, s):
-        apart = s["start"] >= acc["at"]
-        gap = F.substr(text, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))
-        out = F.when(apart, F.concat(acc["out"], gap, F.lit(by))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    rest = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"].cast("int") + 1)))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+        last = F.element_at(acc, -1)
+        apart = (F.size(acc) == 0) | (s["start"] >= last["end"])
+        one = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        longer = F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end")))
+        return F.when(apart, F.concat(acc, one)).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), longer)).cast(kind)
+
+    return F.aggregate(spans, F.array().cast(kind), step)
+
+
+def mask(docs: DataFrame, text_col: str = "text", length_col: str | None = None, by: str = MASK) -> DataFrame:
+    """``docs`` (with ``spans``) with every span of the text replaced; ``length_col`` follows where the text changed."""
+    rows = docs.withColumn("_s_united", united(F.col("spans")))
+
+    def gap(s, i):
+        before = F.when(i == 0, F.lit(0)).otherwise(F.get("_s_united", i - 1)["end"])
+        return F.substr(F.col(text_col), (before + 1).cast("int"), (s["start"] - before).cast("int"))
+
+    rest = F.substr(F.col(text_col), (F.element_at("_s_united", -1)["end"] + 1).cast("int"))
+    changed = F.size("_s_united") > 0
+    whole = F.array_join(F.concat(F.transform("_s_united", gap), F.array(rest)), by)
+    columns = {text_col: F.when(changed, whole).otherwise(F.col(text_col))}
+    if length_col is not None:
+        cut = F.aggregate("_s_united", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"] - len(by))
+        columns[length_col] = F.when(changed, F.length(text_col) - cut).otherwise(F.col(length_col))
+    return rows.withColumns(columns).drop("_s_united")

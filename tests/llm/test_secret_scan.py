@@ -65,13 +65,27 @@ def test_queries_hold_for_every_match():
 
 def test_mask_and_join(spark):
     docs = spark.createDataFrame([(1, "a token=ghp_" + "a" * 36 + " é AKIA" + "Q" * 12 + "."), (2, None), (3, "")], "doc_id long, text string")
-    out = S.scan(docs).withColumn("m", S.mask(F.col("text"), F.col("spans"))).withColumn("j", S.joined(F.col("spans"))).orderBy("doc_id").collect()
+    docs = docs.withColumns({"m": F.col("text"), "n": F.lit(-1).cast("long")})
+    found = S.scan(docs).withColumn("j", S.joined(F.col("spans")))
+    out = S.mask(found, "m", "n").orderBy("doc_id").collect()
+    assert [r["n"] for r in out] == [len(out[0]["m"]), -1, -1]
     assert out[0]["m"] == "a [SECRET] é [SECRET]." and out[1]["m"] is None and out[2]["m"] == ""
     assert out[0]["j"] == "assign:2:48,github:8:48,hex:12:48,access:51:67"
     assert out[2]["j"] == ""
     assert S.scan(docs.limit(0)).count() == 0
 
 
+def test_mask_of_many_spans(spark):
+    rows = list(enumerate(sample()))
+    for r in S.mask(S.scan(spark.createDataFrame(rows, "doc_id long, text string")), "text").collect():
+        want, at = "", 0
+        for s in r["spans"]:
+            if s["start"] >= at:
+                want += (rows[r["doc_id"]][1][at : s["start"]]) + S.MASK
+            at = max(at, s["end"])
+        assert r["text"] == (rows[r["doc_id"]][1] if not r["spans"] else want + rows[r["doc_id"]][1][at:])
+
+
 def test_query_digest(spark, tmp_path):
     from docloom.llm.queries import QUERIES
 
