@@ -12,13 +12,15 @@ no pair is lost, and a set gives about 0.2 rows per shingle at 85 %. The number
 depends on a size class; a set close to the end of its class also enters the next one.
 
 Equal sets are one class from the start (128-bit digest of the set), found by an aggregation
-that combines map-side, so any number of copies costs one row. Then, for every shared
-segment, only the pairs with its smallest and largest member are verified; that joins large
-groups of near copies without listing their pairs. What is left, pairs that share a
-segment but lie in different components so far, is verified completely.
+that combines map-side, so any number of copies costs one row. Sets that share segments form
+loose groups (components of the bipartite graph, over one edge per membership); every link lies
+inside a loose group.
 
-Verification. The candidates' sets are cut into fragments again, overlaps are counted for each
-pair and fragment separately, and the counts are summed per pair.
+Counting. A loose group is cut into blocks of ``BLOCK`` sets, and a task sees two blocks, so a
+group of any size is split. In the task every fragment of the order is counted by itself: the
+segments of one block meet the postings of the other, which gives a matrix of partial
+overlaps; the matrices are summed per pair, and the sums decide. No pair leaves a task: it
+returns a spanning forest of its links, at most one row per set.
 
 Edge cases: null texts and texts without words have no shingles and link with nothing; a
 text with fewer than n words is one shingle, the whole sequence; rows with equal texts are copies,
@@ -36,14 +38,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import by_ids, with_keys
+from docloom.llm.common import by_ids, number_within, with_keys
 from docloom.llm.words import LOWER, ODD, hash_words, mix, shingles, texts_of
 from docloom.operators.components import connected_components
 from docloom.runtime import BROADCAST_BYTES, materialize
 
 CLASS_GROWTH = 1.5  # largest over smallest size in a class
 SPARE = 1.3  # fragments per allowed difference
-PART_BITS = 3  # 2^3 fragments in the verification
+PART_BITS = 3  # 2^3 fragments in the counting
+BLOCK = 512  # sets in a block of a loose group
+EXPAND = 2_000_000
 
 
 def classes_of(size: int, num: int, den: int) -> list[tuple[int, int]]:
@@ -111,50 +115,106 @@ def add_sets(docs: DataFrame, n: int, num: int, den: int, id_col: str = "doc_id"
     )
 
 
-def gram_parts(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, part, grams): each set cut into the fragments in which overlaps are counted. Map-only."""
+def gram_sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, grams): the whole set of each text, in order. Map-only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = hash_words()
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 piece = batch.slice(start, 64)
-                ids, parts, grams = [], [], []
-                for i, text in zip(piece.column(0), texts_of(piece.column(1))):
-                    found = np.unique(shingles(text.translate(LOWER).split(), n, hashes))
-                    at = (found >> np.uint64(64 - PART_BITS)).astype(np.int64)
-                    for p in np.unique(at):
-                        ids.append(i)
-                        parts.append(int(p))
-                        grams.append(found[at == p].view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i.as_py() for i in ids], piece.column(0).type), pa.array(parts, pa.int32()), pa.array(grams, pa.list_(pa.int64()))],
-                    names=["id", "part", "grams"],
-                )
+                grams = [np.unique(shingles(t.translate(LOWER).split(), n, hashes)).view(np.int64) for t in texts_of(piece.column(1))]
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(grams, pa.list_(pa.int64()))], names=["id", "grams"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, part int, grams array<long>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, grams array<long>")
+
+
+def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections: partial counts of each fragment of the order, summed per pair."""
+    total = np.zeros(len(one) * len(two), np.int64)
+    bounds = [np.uint64(f << (64 - PART_BITS)) for f in range(1, 1 << PART_BITS)]
+    cuts = [[np.r_[0, np.searchsorted(g, bounds), len(g)] for g in side] for side in (one, two)]
+    for f in range(1 << PART_BITS):
+        sides = []
+        for sets, cut in zip((one, two), cuts):
+            parts = [g[c[f] : c[f + 1]] for g, c in zip(sets, cut)]
+            sides.append((np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])))
+        (left, rows), (right, owners) = sides
+        order = np.argsort(right, kind="stable")
+        right, owners = right[order], owners[order]
+        low, high = np.searchsorted(right, left, "left"), np.searchsorted(right, left, "right")
+        met = high > low
+        low, counts, rows = low[met], (high - low)[met], rows[met]
+        ends = np.cumsum(counts)
+        begin = 0
+        while begin < len(counts):  # postings of at most EXPAND pairs at a time, or of one gram
+            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + EXPAND)))
+            k = counts[begin:stop]
+            at = np.repeat(low[begin:stop] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+            total += np.bincount(np.repeat(rows[begin:stop], k) * len(two) + owners[at], minlength=len(total))
+            begin = stop
+    return total.reshape(len(one), len(two))
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of a symmetric link matrix."""
+    left, found = np.ones(len(linked), bool), []
+    for start in range(len(linked)):
+        if not left[start]:
+            continue
+        left[start] = False
+        stack = [start]
+        while stack:
+            u = stack.pop()
+            near = np.flatnonzero(linked[u] & left)
+            left[near] = False
+            found += [(u, int(v)) for v in near]
+            stack += near.tolist()
+    return found
 
 
-def verify(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) with den * overlap >= num * union: overlaps by fragment, summed per pair."""
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_j_id")).distinct(), "join-wanted")
-    few = wanted.count()
-    wanted = F.broadcast(wanted) if few * 16 <= BROADCAST_BYTES else wanted
-    texts = docs.select(F.col(id_col).alias("_j_doc"), F.col(text_col).alias("_j_text"))
-    parts = gram_parts(texts.join(wanted, F.col("_j_doc") == F.col("_j_id"), "left_semi"), n, "_j_doc", "_j_text")
-    parts = materialize(parts, "join-parts")
-    left = pairs.join(parts.select(F.col("id").alias("a"), "part", F.col("grams").alias("ga")), "a")
-    both = left.join(parts.select(F.col("id").alias("b"), "part", F.col("grams").alias("gb")), ["b", "part"])
-    partial = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).cast("long").alias("overlap"))
-    summed = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
-    size = sizes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"))
-    other = sizes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"))
-    return (
-        summed.join(size, "a").join(other, "b")
-        .where(F.col("overlap") * den >= (F.col("na") + F.col("nb") - F.col("overlap")) * num)
-        .select("a", "b", "overlap")
-    )
+def group_links(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(src, dst): a spanning forest of the links inside each loose group. Rows: (group, place, id, grams)."""
+    rows = members.withColumn("block", F.floor(F.col("place") / BLOCK).cast("int"))
+    lasts = rows.groupBy("group").agg(F.max("block").alias("last"))
+    one = F.struct("id", "grams", "block").alias("row")
+    # a set goes to the tasks of (its block, any block of its group)
+    paired = rows.join(lasts, "group").select("group", "last", one, F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
+    b1, b2 = F.least("row.block", "other"), F.greatest("row.block", "other")
+    # groups of one block share a task with others: there are many small ones
+    bins = max(1, rows.count() // (4 * BLOCK))
+    unit = F.when(F.col("last") == 0, F.struct(F.pmod(F.xxhash64("group"), F.lit(bins)).alias("u"), F.lit(-1).alias("b1"), F.lit(-1).alias("b2")))
+    unit = unit.otherwise(F.struct(F.xxhash64("group").alias("u"), b1.alias("b1"), b2.alias("b2")))
+    paired = paired.select(unit.alias("unit"), "group", b1.alias("b1"), b2.alias("b2"), "row.*")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, block = table.column("id").combine_chunks(), table.column("block").to_numpy()
+        lists = table.column("grams").combine_chunks()
+        flat, offsets = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+        keys = np.stack([table.column(c).to_numpy() for c in ("group", "b1", "b2")], 1)
+        order = np.lexsort(keys.T[::-1])
+        starts = np.flatnonzero(np.r_[True, (np.diff(keys[order], axis=0) != 0).any(1)])
+        source, target = [], []
+        for at in np.split(order, starts[1:]):
+            grams = [flat[offsets[i] : offsets[i + 1]] for i in at]
+            sizes = np.array([len(g) for g in grams])
+            mine, other = keys[at[0], 1], keys[at[0], 2]
+            first, second = np.flatnonzero(block[at] == mine), np.flatnonzero(block[at] == other)
+            both = overlaps([grams[i] for i in first], [grams[i] for i in second])
+            close = both * den >= (sizes[first][:, None] + sizes[second][None, :] - both) * num
+            linked = np.zeros((len(at), len(at)), bool)
+            linked[np.ix_(first, second)] = close
+            linked |= linked.T
+            for u, v in forest(linked):
+                source.append(at[u])
+                target.append(at[v])
+        take = [pa.array(np.array(side, np.int64)) for side in (source, target)]
+        return pa.table({"src": ids.take(take[0]), "dst": ids.take(take[1])})
+
+    kind = members.schema["id"].dataType.simpleString()
+    return paired.groupBy("unit").applyInArrow(run, f"src {kind}, dst {kind}")
 
 
 def link_components(
@@ -196,21 +256,25 @@ def _components(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_c
     n_copies = copies.count()
     copies = F.broadcast(copies) if n_copies * 16 <= BROADCAST_BYTES else copies
     reps = sets.join(copies, "doc_id", "left_anti")
-    segments = reps.select("doc_id", "n_shingles", F.explode("segments").alias("segment"))
+    segments = reps.select("doc_id", F.explode("segments").alias("segment"))
     shared = materialize(
         segments.groupBy("segment").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high"), "join-shared"
     )
     small = shared.count()
     shared = F.broadcast(shared) if small * 64 <= BROADCAST_BYTES else shared
-    members = materialize(segments.join(shared, "segment"), "join-members")
-    sizes = sets.select("doc_id", "n_shingles")
-
-    # the smallest of all first partners only: one verification for most members of a group
-    first = members.where("doc_id <> low").groupBy("doc_id").agg(F.min("low").alias("a"))
-    first = first.select("a", F.col("doc_id").alias("b"))
-    links = materialize(verify(_fit_in_size(first, sizes, num, den), docs, sizes, n, num, den, id_col, text_col), "join-links")
-    links = _complete(links, members, docs, sizes, n, num, den, id_col, text_col)
-    roots = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    edges = segments.join(shared, "segment").where("doc_id <> low").select(F.col("low").alias("src"), F.col("doc_id").alias("dst"))
+    loose = connected_components(edges)
+    grouped = materialize(loose.select(F.col("node").alias("_j_id"), F.col("root").alias("group")), "join-groups")
+    few = grouped.count()
+    texts = docs.select(F.col(id_col).alias("_j_doc"), F.col(text_col).alias("_j_text"))
+    # texts of the grouped documents only; they stay where they are when the ids can be broadcast
+    ids = grouped.select("_j_id")
+    ids = F.broadcast(ids) if few * 16 <= BROADCAST_BYTES else ids
+    sets_of = gram_sets(texts.join(ids, F.col("_j_doc") == F.col("_j_id"), "left_semi"), n, "_j_doc", "_j_text")
+    placed = number_within(grouped, "group", ["_j_id"], "place")
+    found = sets_of.join(placed, F.col("id") == F.col("_j_id")).select("group", "place", "id", "grams")
+    links = group_links(materialize(found, "join-grams"), num, den)
+    roots = connected_components(links)
     named = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "n_shingles", "d1", "d2", F.coalesce("root", "rep").alias("component_id")
     )
@@ -218,50 +282,3 @@ def _components(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_c
     return facts.join(named, keys, "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
-
-
-def _fit_in_size(pairs: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose sizes allow the threshold."""
-    rows = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na")), "a").join(
-        sizes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb")), "b"
-    )
-    return rows.where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).select("a", "b")
-
-
-def _complete(links, members, docs, sizes, n, num, den, id_col, text_col) -> DataFrame:
-    """Add the links between components: first by the two ends of each segment, then by all pairs across."""
-    done = links.select("a", "b").limit(0)
-    for ends in (True, False):
-        roots = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-        placed = materialize(
-            members.join(roots, F.col("doc_id") == F.col("node"), "left").select(
-                "segment", "doc_id", "n_shingles", "low", "high", F.coalesce("root", "doc_id").alias("root")
-            ),
-            "join-placed",
-        )
-        mixed = placed.groupBy("segment").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2").select("segment")
-        open_rows = materialize(placed.join(mixed, "segment", "left_semi"), "join-open")
-        if ends:
-            tops = open_rows.select("segment", "low", "high").distinct()
-            near = open_rows.select("segment", F.col("doc_id").alias("x"), F.col("root").alias("rx"))
-            roots_of = open_rows.select("doc_id", "root").distinct()
-            spokes = near.join(tops, "segment").select("x", "rx", F.explode(F.array("low", "high")).alias("y"))
-            pairs = (
-                spokes.where("x <> y").distinct()
-                .join(roots_of.select(F.col("doc_id").alias("y"), F.col("root").alias("ry")), "y")
-                .where("rx <> ry")
-                .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            )
-        else:
-            one = open_rows.select("segment", F.col("doc_id").alias("a"), F.col("root").alias("ra"), F.col("n_shingles").alias("na"))
-            two = open_rows.select("segment", F.col("doc_id").alias("b"), F.col("root").alias("rb"), F.col("n_shingles").alias("nb"))
-            near = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-            near = near & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-            pairs = one.join(two, (one.segment == two.segment) & near).select("a", "b")
-        pairs = pairs.distinct().join(done, ["a", "b"], "left_anti")
-        pairs = materialize(_fit_in_size(pairs, sizes, num, den), "join-pairs")
-        if pairs.isEmpty():
-            continue
-        links = materialize(links.unionByName(verify(pairs, docs, sizes, n, num, den, id_col, text_col)), "join-links")
-        done = pairs
-    return links

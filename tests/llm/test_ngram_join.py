@@ -54,7 +54,9 @@ def corpus(seed, size=260):
     return rows + [(0, None), (-5, ""), (5, " \n\t"), (10**12, texts[0]), (10**12 + 1, "\xa0 \x1c"), (10**12 + 2, "x " * 30_000)]
 
 
-def test_against_all_pairs(spark):
+def test_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 8)
+    monkeypatch.setattr(J, "EXPAND", 50)
     for seed, n, num, den in ((1, 4, 85, 100), (2, 5, 80, 100), (3, 4, 85, 100)):
         rows = corpus(seed)
         docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, segments int").repartition(5)
@@ -90,3 +92,14 @@ def test_every_linked_pair_shares_a_segment():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert J.link_components(docs).count() == 0
+
+
+def test_odd_ids(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, text), (7, text + " x"), (7, text), (7, "other words only here"), (None, None), (2, "y " + text), (9, ""), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in J.link_components(docs).collect())
+    assert got == [(0, 0, 0), (0, 57, 2), (2, 58, 2), (7, 1, 7), (7, 57, 2), (7, 58, 2), (9, 0, 9), (9, 0, 9)]
+    kept = J.deduplicate(docs, 4, 85, 100)
+    assert kept.columns == docs.columns and kept.count() == 5
+    assert J.deduplicate(docs.limit(0)).count() == 0
