@@ -187,10 +187,10 @@ def gmm_sweep(
     column: str = "vec",
     partitions: int | None = None,
 ) -> DataFrame:
-    """(k, log_likelihood, seconds) per k on one persisted frame.
+    """(k, log_likelihood, seconds, failure) per k on one persisted frame.
 
-    The likelihood is null for a k whose covariances degenerate, as happens when there are
-    few rows per dimension; the other values of k are still tried.
+    Covariances degenerate when there are few rows per dimension. Such a k says so in
+    ``failure`` and has no likelihood; the other values of k are still tried.
     """
     data = pinned(df, column, partitions)
     results = []
@@ -202,12 +202,12 @@ def gmm_sweep(
             except Exception as error:
                 if "MatrixNotSymmetric" not in str(error):
                     raise
-                results.append((k, None, None))
+                results.append((k, None, None, "the covariance of a component is singular"))
                 continue
-            results.append((k, model.summary.logLikelihood, seconds))
+            results.append((k, model.summary.logLikelihood, seconds, None))
     finally:
         data.unpersist()
-    return df.sparkSession.createDataFrame(results, "k int, log_likelihood double, seconds double")
+    return df.sparkSession.createDataFrame(results, "k int, log_likelihood double, seconds double, failure string")
 
 
 def lda_sweep(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.runtime import materialize
+from docloom.runtime import forget, materialize
 
 
 def _is_star_forest(edges: DataFrame) -> bool:
@@ -18,12 +18,14 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return ends.groupBy("n").agg(mixed.alias("mixed")).where("mixed").isEmpty()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(src, dst) edges to (node, root), root being the smallest node of the component.
 
     Every round is two minimum-aggregations (combined map-side, so a node with a huge
     neighbourhood is cheap) and two equi-joins against one row per node, which AQE splits
-    when a node is hot. Each round is written to the shared folder to cut the lineage.
+    when a node is hot. Each round is written to the shared folder to cut the lineage, and the
+    round before it is deleted. The rounds go on until the components are stars: their number
+    grows with the logarithm of the longest path.
     """
     current = materialize(
         edges.where(F.col("src") != F.col("dst"))
@@ -31,9 +33,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
-    for _ in range(max_rounds):
-        if _is_star_forest(current):
-            break
+    while not _is_star_forest(current):
         both = current.select(F.col("big").alias("u"), F.col("small").alias("v")).unionByName(
             current.select(F.col("small").alias("u"), F.col("big").alias("v"))
         )
@@ -52,8 +52,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .unionByName(floor.select("big", F.col("m").alias("small")))
             .distinct()
         )
-        current = materialize(small, "edges")
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        before, current = current, materialize(small, "edges")
+        forget(before)
     roots = current.select(F.col("small").alias("node")).distinct().withColumn("root", F.col("node"))
     return current.select(F.col("big").alias("node"), F.col("small").alias("root")).unionByName(roots)

@@ -22,9 +22,11 @@ def join_metadata(
     """Inner join on exact key equality, taking the first metadata row of each key.
 
     The first row is a ``min_by`` aggregate, so a key with very many rows is combined
-    map-side; the join then meets at most one metadata row per key.
+    map-side (over a struct, which Spark sorts for); the join then meets at most one metadata
+    row per key.
     """
-    payload = [c for c in metadata.columns if c not in (metadata_key, order)]
+    skipped = {metadata_key, order} if isinstance(order, str) else {metadata_key}
+    payload = [c for c in metadata.columns if c not in skipped]
     first = (
         metadata.where(F.col(metadata_key).isNotNull())
         .groupBy(F.col(metadata_key).alias(paper_key))
@@ -41,13 +43,18 @@ def _fingerprint(columns: Sequence[str]) -> list[Column]:
 def dedupe(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     """Of rows that agree on all ``keys`` keep the one with the smallest ``id_col`` (unique).
 
-    Only digests and ids are shuffled to find the survivors, with a map-side minimum, so a
-    text copied into a third of all rows costs no more than any other.
+    Only digests and ids are shuffled to find the copies, with a map-side minimum, so a
+    text copied into a third of all rows costs no more than any other. The ids to drop are
+    counted: while they are few they are broadcast and the rows stay where they are.
     """
-    digests = df.select(id_col, *_fingerprint(keys))
     names = [f"_k{i}" for i in range(len(keys))]
-    survivors = digests.groupBy(*names).agg(F.min(id_col).alias(id_col)).select(id_col)
-    return df.join(survivors, id_col, "left_semi")
+    digests = df.select(id_col, *_fingerprint(keys))
+    first = digests.groupBy(*names).agg(F.min(id_col).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    same = [F.col(f"{n}").eqNullSafe(F.col(f"{n}_of")) for n in names]
+    right = first.select(*[F.col(n).alias(f"{n}_of") for n in names], "_first")
+    copies = digests.join(right, reduce(Column.__and__, same)).where(F.col(id_col) != F.col("_first")).select(id_col)
+    copies = materialize(copies, "copies")
+    return df.join(broadcast_bounded(copies, copies.count()), id_col, "left_anti")
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -128,6 +135,50 @@ def with_row_id(
     )
 
 
+def number_within(df: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
+    """Number the rows of each group from 0 in the order of ``order``, without gathering a group in one task.
+
+    Rows are dealt by ranges of (group, order); the sizes of a group's pieces in the ranges give
+    the offsets. The numbered rows are written once, so that both passes see the same layout.
+    ``order`` must be unique within a group for a result that does not depend on the layout.
+    """
+    local = materialize(
+        df.repartitionByRange(group, *order)
+        .sortWithinPartitions(group, *order)
+        .withColumn("_n_part", F.spark_partition_id())
+        .withColumn("_n_at", F.monotonically_increasing_id()),
+        "numbered",
+    )
+    pieces = local.groupBy(group, "_n_part").agg(F.count("*").alias("_n_rows"), F.min("_n_at").alias("_n_first"))
+    earlier = Window.partitionBy(group).orderBy("_n_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n_rows").over(earlier), F.lit(0))
+    pieces = pieces.select(F.col(group).alias("_n_group"), F.col("_n_part").alias("_n_of"), "_n_first", before.alias("_n_before"))
+    # one row for each group and partition
+    same = F.col(group).eqNullSafe(F.col("_n_group")) & (F.col("_n_part") == F.col("_n_of"))
+    return (
+        local.join(pieces, same)
+        .withColumn(name, F.col("_n_before") + F.col("_n_at") - F.col("_n_first"))
+        .drop("_n_part", "_n_at", "_n_first", "_n_before", "_n_group", "_n_of")
+    )
+
+
+# Up to this many rows per group Spark limits a rank in the map tasks (its own threshold).
+MAP_LIMIT = 1000
+
+
+def first_in_group(df: DataFrame, group: str, order: Sequence[str], n: int, name: str = "rank") -> DataFrame:
+    """The first ``n`` rows of each group by ascending ``order`` (unique), with their rank from 1.
+
+    Small ``n``: the rank is limited inside the map tasks before the shuffle. Large ``n``: rows
+    are numbered in ranges. Both ways give the same rows.
+    """
+    if n <= MAP_LIMIT:
+        ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    else:
+        ranked = number_within(df, group, order, name).withColumn(name, (F.col(name) + 1).cast("int"))
+    return ranked.where(F.col(name) <= n)
+
+
 def zip_by_position(
     left: DataFrame,
     right: DataFrame,
@@ -205,11 +256,9 @@ def sample_docs(df: DataFrame, fraction: float, seed: int, id_col: str = "doc_id
 def sample_n(df: DataFrame, n: int, reps: int, seed: int, id_col: str = "doc_id") -> DataFrame:
     """``reps`` independent samples of ``n`` ids: (rep, id).
 
-    The rank is limited inside each map task before the shuffle, so at most ``n`` rows per
-    repetition and task are moved.
+    No repetition meets in one task, however large ``n`` is; see ``first_in_group``.
     """
     draws = df.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep")).withColumn(
         "_draw", _md5_number(F.col(id_col), F.col("rep"), F.lit(seed))
     )
-    by_rep = Window.partitionBy("rep").orderBy("_draw", id_col)
-    return draws.withColumn("_rank", F.row_number().over(by_rep)).where(F.col("_rank") <= n).select("rep", id_col)
+    return first_in_group(draws, "rep", ["_draw", id_col], n).select("rep", id_col)

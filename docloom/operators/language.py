@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
@@ -20,13 +20,13 @@ class LanguageModel:
 
     languages: list[str]
     grams: DataFrame
-    profile_size: int
+    size: int
 
 
 def fit_language_model(
-    df: DataFrame, text: str = "text", language: str = "lang", profile_size: int = 1000
+    df: DataFrame, text: str = "text", language: str = "lang"
 ) -> LanguageModel:
-    """Naive Bayes over the most frequent 1- to 3-grams of each language, add-one smoothed.
+    """Naive Bayes over all 1- to 3-grams of each language, add-one smoothed.
 
     Words are counted before they are cut into n-grams, so n-grams are produced once per
     distinct word, not once per occurrence.
@@ -43,31 +43,22 @@ def fit_language_model(
         .agg(F.sum("c").alias("c")),
         "grams",
     )
-    by_count = Window.partitionBy("lang").orderBy(F.desc("c"), "gram")
-    profile = (
-        counts.withColumn("_r", F.row_number().over(by_count))
-        .where(F.col("_r") <= profile_size)
-        .select("gram")
-        .distinct()
-    )
-    kept = counts.join(profile, "gram", "left_semi")
-    totals = kept.groupBy("lang").agg(F.sum("c").alias("n")).orderBy("lang").collect()
+    totals = counts.groupBy("lang").agg(F.sum("c").alias("n")).orderBy("lang").collect()
     languages = [row["lang"] for row in totals]
-    size = profile.count()
+    size = counts.select("gram").distinct().count()
 
     def score(row) -> Column:
         seen = F.coalesce(F.sum(F.when(F.col("lang") == row["lang"], F.col("c"))), F.lit(0))
         return F.log((seen + 1.0) / F.lit(float(row["n"] + size)))
 
-    grams = kept.groupBy("gram").agg(F.array(*[score(row) for row in totals]).alias("scores"))
-    return LanguageModel(languages, materialize(grams, "language-model"), profile_size)
+    grams = counts.groupBy("gram").agg(F.array(*[score(row) for row in totals]).alias("scores"))
+    return LanguageModel(languages, materialize(grams, "language-model"), size)
 
 
 def _score(df: DataFrame, words: Column, model: LanguageModel) -> DataFrame:
     """(doc_id, lang, score) of the best language; null where no n-gram is known."""
-    known = broadcast_bounded(
-        model.grams, model.profile_size * len(model.languages), 32 + 8 * len(model.languages)
-    )
+    # the grams are counted: past the bound they are joined by a shuffle
+    known = broadcast_bounded(model.grams, model.size, 32 + 8 * len(model.languages))
     grams = df.select("doc_id", F.explode(words).alias("word")).select(
         "doc_id", F.explode(tx.char_ngrams(F.lower("word"), LOW, HIGH)).alias("gram")
     )
@@ -91,7 +82,8 @@ def detect_language(df: DataFrame, model: LanguageModel, words: int = 50) -> Dat
 
     The first ``words`` words decide; documents with no known n-gram there are tried again
     on the set of all their words, then on ``abstract_summary``, and end as ``unknown``.
-    Each retry touches only the documents still open.
+    Each retry touches only the documents still open: ids are compared first, and texts
+    stay where they are while the open ids are few enough to be broadcast.
     """
     split = tx.space_words(F.col("body_text"))
     stages = [
@@ -103,9 +95,11 @@ def detect_language(df: DataFrame, model: LanguageModel, words: int = 50) -> Dat
     for stage in stages:
         scored = materialize(_score(open_docs, stage, model), "language")
         found.append(scored)
-        open_docs = open_docs.join(scored, "doc_id", "left_anti")
-        if open_docs.select("doc_id").isEmpty():
+        ids = materialize(open_docs.select("doc_id").join(scored, "doc_id", "left_anti"), "open-ids")
+        left = ids.count()
+        if left == 0:
             break
+        open_docs = df.join(broadcast_bounded(ids, left), "doc_id", "left_semi")
     labelled = union_parts(*found)
     return (
         df.select("doc_id")

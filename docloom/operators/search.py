@@ -64,7 +64,7 @@ def search_batch(
     model_bytes: int = MODEL_BYTES,
     block_rows: int = blocks.BLOCK_ROWS,
 ) -> DataFrame:
-    """(query_id, cluster_id, score) for many queries (query_id, vec) over (tag, cluster_id, vec).
+    """(query_id, cluster_id, score) for many queries (query_id, vec) over (cluster_id, vec).
 
     The tag table is measured. While it fits ``model_bytes`` it is broadcast and queries are
     not shuffled; otherwise tag blocks meet query blocks, and the local best are ranked again.
@@ -74,15 +74,15 @@ def search_batch(
         F.count("*").alias("n"), F.coalesce(F.max(F.size("vec")), F.lit(0)).alias("d")
     ).first()
     if size["n"] * size["d"] * 8 <= model_bytes:
-        rows = tags.select("cluster_id", "vec").collect()
-        if not rows:
+        rows = tags.select("cluster_id", "vec").toPandas()
+        if rows.empty:
             return queries.sparkSession.createDataFrame(
                 [], "query_id long, cluster_id int, score double"
             )
         state = queries.sparkSession.sparkContext.broadcast(
             (
-                np.array([row["cluster_id"] for row in rows], dtype=np.int32),
-                kernels.unit_rows(kernels.stack(pd.Series([row["vec"] for row in rows]))),
+                rows["cluster_id"].to_numpy(np.int32),
+                kernels.unit_rows(kernels.stack(rows["vec"])),
             )
         )
 
@@ -121,7 +121,7 @@ def search_batch(
 
     local = blocks.rectangle(
         queries.select(F.col("query_id").alias("id"), "vec"),
-        tags.select(F.xxhash64("tag").alias("id"), "cluster_id", "vec"),
+        tags.select(F.xxhash64("cluster_id", "vec").alias("id"), "cluster_id", "vec"),
         kernel,
         "query_id long, cluster_id int, score double",
         queries.count(),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.operators.corpus import first_in_group
 from docloom.operators.features import doc_terms, with_idf
 from docloom.runtime import broadcast_bounded
 
@@ -27,7 +28,8 @@ def cluster_topics(
     With a single topic every token belongs to it, so the topic is the smoothed sum of the
     TF-IDF weights: (eta + sum) / (V eta + cluster total), V being the size of the whole
     vocabulary. TF-IDF sums need only (cluster, term) counts, which combine map-side;
-    terms that do not occur in a cluster are left out.
+    terms that do not occur in a cluster are left out of the table, whose column ``absent``
+    has the weight that each of them has.
     """
     words = broadcast_bounded(with_idf(vocab, documents).select("term", "idf"), max_terms)
     size = vocab.count()
@@ -44,20 +46,35 @@ def cluster_topics(
         "cluster_id",
         "term",
         ((F.lit(eta) + F.col("_s")) / (F.lit(size * eta) + F.col("_all"))).alias("weight"),
+        (F.lit(eta) / (F.lit(size * eta) + F.col("_all"))).alias("absent"),
     )
 
 
-def top_terms(topics: DataFrame, m: int) -> DataFrame:
-    """Add ``rank`` and keep the ``m`` heaviest terms per cluster, ties by term."""
-    order = Window.partitionBy("cluster_id").orderBy(F.desc("weight"), "term")
-    return topics.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= m)
+def top_terms(topics: DataFrame, m: int, clusters: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(cluster_id, term, weight, rank): the ``m`` heaviest vocabulary terms per cluster, ties by term.
+
+    Every cluster of ``clusters`` (cluster_id) gets its terms. A term that the cluster lacks can
+    only come in by its name, so the first ``m`` terms of the vocabulary are all that is added.
+    """
+    first = [row["term"] for row in vocab.select("term").orderBy("term").limit(m).collect()]
+    even = 1.0 / max(vocab.count(), 1)
+    rest = (
+        clusters.select("cluster_id").distinct()
+        .join(topics.groupBy("cluster_id").agg(F.max("absent").alias("absent")), "cluster_id", "left")
+        .select("cluster_id", F.explode(F.lit(first).cast("array<string>")).alias("term"), F.coalesce("absent", F.lit(even)).alias("weight"))
+        .join(topics.select("cluster_id", "term"), ["cluster_id", "term"], "left_anti")
+    )
+    return first_in_group(
+        topics.select("cluster_id", "term", "weight").unionByName(rest).withColumn("_down", -F.col("weight")),
+        "cluster_id", ["_down", "term"], m,
+    ).drop("_down")
 
 
-def taggings(topics: DataFrame, m: int) -> DataFrame:
-    """(cluster_id, tags, weights): the top ``m`` terms of each cluster as arrays by rank."""
+def taggings(ranked_terms: DataFrame) -> DataFrame:
+    """(cluster_id, tags, weights) from ``top_terms``: arrays by rank."""
     ranked = F.sort_array(F.collect_list(F.struct("rank", "term", "weight")))
     return (
-        top_terms(topics, m)
+        ranked_terms
         .groupBy("cluster_id")
         .agg(ranked.alias("_t"))
         .select("cluster_id", F.col("_t.term").alias("tags"), F.col("_t.weight").alias("weights"))
@@ -78,8 +95,12 @@ def decode_terms(df: DataFrame, vocab: DataFrame, max_terms: int) -> DataFrame:
 
 
 def clustered_documents(documents: DataFrame, clusters: DataFrame, tagged: DataFrame) -> DataFrame:
-    """Each document once, with its cluster and the cluster's tags."""
-    return attach_clusters(documents, clusters).join(tagged, "cluster_id", "left")
+    """Each document once, with its cluster and the cluster's tags.
+
+    The clusters are counted: while their tags are small, documents are not moved to them.
+    """
+    tags = broadcast_bounded(tagged, tagged.count(), 1024)
+    return attach_clusters(documents, clusters).join(tags, "cluster_id", "left")
 
 
 def document_weights(
@@ -112,7 +133,7 @@ def relevant_documents(weights: DataFrame, n: int, cluster_id: int | None = None
     """The ``n`` heaviest documents of one cluster, or of every cluster.
 
     Weights that agree to nine decimals tie and go by id, since copies of a text may differ
-    in the last bit of their sums. The rank is limited in the map tasks first, so a hot cluster moves ``n`` rows per task.
+    in the last bit of their sums. A hot cluster never meets in one task; see ``first_in_group``.
     """
     if cluster_id is not None:
         return (
@@ -120,5 +141,5 @@ def relevant_documents(weights: DataFrame, n: int, cluster_id: int | None = None
             .orderBy(F.round("weight", 9).desc(), "doc_id")
             .limit(n)
         )
-    order = Window.partitionBy("cluster_id").orderBy(F.round("weight", 9).desc(), "doc_id")
-    return weights.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    ordered = weights.withColumn("_down", -F.round("weight", 9))
+    return first_in_group(ordered, "cluster_id", ["_down", "doc_id"], n).drop("_down")

@@ -87,43 +87,43 @@ def best_k(spark, folder):
 
 @query("kmeans")
 def kmeans(spark, folder):
-    return cluster.kmeans(points(spark, folder), k=10).assignments
+    return cluster.kmeans(points(spark, folder), k=100).assignments
 
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, folder):
-    return cluster.kmeans_sweep(points(spark, folder), (5, 10, 20))
+    return cluster.kmeans_sweep(points(spark, folder), (100, 150, 200))
 
 
 @query("bisecting_kmeans")
 def bisecting_kmeans(spark, folder):
-    return cluster.bisecting_kmeans(points(spark, folder), k=10).assignments
+    return cluster.bisecting_kmeans(points(spark, folder), k=50).assignments
 
 
-def components(spark, folder, k=8):
-    """Vectors on their first principal components: mixtures need few dimensions per row."""
+def components(spark, folder):
+    """Vectors on the principal components that hold 80 % of the variance."""
     rows = points(spark, folder).select("doc_id", array_to_vector("vec").alias("features"))
-    return features.pca_project(rows, k).select("doc_id", "vec")
+    return features.pca_variance(rows, 0.8)[0].select("doc_id", "vec")
 
 
 @query("gmm")
 def gmm(spark, folder):
-    return cluster.gmm(components(spark, folder), k=5, max_iter=50).assignments.select("doc_id", "cluster_id")
+    return cluster.gmm(components(spark, folder), k=5).assignments.select("doc_id", "cluster_id")
 
 
 @query("gmm_sweep")
 def gmm_sweep(spark, folder):
-    return cluster.gmm_sweep(components(spark, folder), (2, 4), max_iter=50)
+    return cluster.gmm_sweep(components(spark, folder), (2, 4))
 
 
 @query("lda_cluster")
 def lda_cluster(spark, folder):
-    return cluster.lda(tokens(spark, folder), k=5, max_iter=10).assignments.select("doc_id", "cluster_id")
+    return cluster.lda(tokens(spark, folder), k=20).assignments.select("doc_id", "cluster_id")
 
 
 @query("lda_sweep")
 def lda_sweep(spark, folder):
-    return cluster.lda_sweep(tokens(spark, folder), (3, 5), max_iter=5)
+    return cluster.lda_sweep(tokens(spark, folder), (10, 20))
 
 
 @query("epsilon_join", f"""WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vec FROM embeddings)
@@ -174,12 +174,12 @@ def sampled_mean_distance(spark, folder):
 
 @query("som")
 def som_fit(spark, folder):
-    return som.som(points(spark, folder), 5, 5, iterations=10, radius_start=5.0).assignments
+    return som.som(points(spark, folder), 10, 10).assignments
 
 
 @query("som_history")
 def som_history(spark, folder):
-    history = som.som(points(spark, folder), 4, 4, iterations=8, radius_start=4.0).history
+    history = som.som(points(spark, folder), 10, 10).history
     return spark.createDataFrame(list(enumerate(history)), "iteration int, cost double")
 
 

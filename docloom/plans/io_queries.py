@@ -87,20 +87,32 @@ def read_vectors_parquet(spark, folder):
     return readers.read_vectors(spark, path, "parquet").select("doc_id", F.size("vec").cast("long").alias("dim"))
 
 
-@query("read_clusters", "SELECT vec_id AS doc_id, label AS cluster_id FROM embeddings")
-def read_clusters(spark, folder):
-    path = scratch_path(spark, "clusters")
-    writers.write_clusters(vectors(spark, folder), path)
-    return readers.read_clusters(spark, path)
+_CLUSTERS = "SELECT vec_id AS doc_id, label AS cluster_id FROM embeddings WHERE vec_id % 5 <> 3"
 
 
-@query("read_clusters_single", "SELECT vec_id AS doc_id, label AS cluster_id FROM embeddings")
-def read_clusters_single(spark, folder):
+def _with_faults(spark, folder):
+    """A cluster file in which every fifth line has a cluster that is no number."""
     path = scratch_path(spark, "clusters")
-    writers.write_clusters(vectors(spark, folder), path, single_file=True)
+    v = vectors(spark, folder)
+    spoiled = F.when(F.col("doc_id") % 5 == 3, "zz").otherwise(F.col("cluster_id").cast("string"))
+    writers.write_clusters(v.select("doc_id", spoiled.alias("cluster_id")), path)
     return readers.read_clusters(spark, path)
 
 
+@query("read_clusters", _CLUSTERS)
+def read_clusters(spark, folder):
+    return _with_faults(spark, folder)
+
+
+@query("count_clusters", f"""WITH c AS ({_CLUSTERS})
+  SELECT (SELECT count(*) FROM c) AS n, (SELECT sum(doc_id) FROM c)::BIGINT AS ids""")
+def count_clusters(spark, folder):
+    """The same rows whichever columns are read."""
+    rows = _with_faults(spark, folder)
+    ids = rows.select("doc_id").agg(F.sum("doc_id").alias("ids"))
+    return rows.agg(F.count("*").alias("n")).withColumn("ids", F.lit(ids.first()["ids"]).cast("long"))
+
+
 @query("read_predictions", "SELECT label AS prediction, count(*) AS n FROM embeddings GROUP BY label")
 def read_predictions(spark, folder):
     path = scratch_path(spark, "predictions")

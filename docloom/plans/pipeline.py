@@ -54,6 +54,7 @@ class TopicModel:
 
     tokens: DataFrame
     topics: DataFrame
+    top: DataFrame
     taggings: DataFrame
     vocab: DataFrame
     documents: int
@@ -70,7 +71,9 @@ def describe_clusters(
     documents = attached.count()
     vocab = features.build_vocab(features.term_stats(attached), max_terms, min_df)
     table = materialize(topics.cluster_topics(attached, vocab, documents, max_terms), "topics")
-    return TopicModel(attached, table, topics.taggings(table, m), vocab, documents)
+    known = topics.attach_clusters(tokens.select("doc_id"), clusters).select("cluster_id").distinct()
+    top = materialize(topics.top_terms(table, m, known, vocab), "top-terms")
+    return TopicModel(attached, table, top, topics.taggings(top), vocab, documents)
 
 
 def search_text(query: str, tags: DataFrame, n: int = 5, dim: int = 64) -> DataFrame:

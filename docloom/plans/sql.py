@@ -92,8 +92,12 @@ TOPICS = """
   topics AS (SELECT cluster_id, term,
                     (1.0 + s) / ((SELECT count(*) FROM vocab) + sum(s) OVER (PARTITION BY cluster_id)) AS weight
              FROM csum),
+  known AS (SELECT k.cluster_id, coalesce(sum(s), 0) AS total
+            FROM (SELECT DISTINCT cluster_id FROM cleaned) k LEFT JOIN csum USING (cluster_id) GROUP BY k.cluster_id),
+  every AS (SELECT k.cluster_id, v.term, coalesce(t.weight, 1.0 / ((SELECT count(*) FROM vocab) + k.total)) AS weight
+            FROM known k CROSS JOIN vocab v LEFT JOIN topics t ON t.cluster_id = k.cluster_id AND t.term = v.term),
   ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY weight DESC, term) AS INTEGER) AS rank
-             FROM topics)"""
+             FROM every)"""
 
 # embeddings with their label and the label means
 VECTORS = """

@@ -114,12 +114,10 @@ _MODEL = f"""
             WHERE word <> '' GROUP BY ALL),
   counts AS (SELECT lang, gram, CAST(sum(c) AS BIGINT) AS c
              FROM (SELECT lang, c, unnest({sql.ngrams('word', 1, 3)}) AS gram FROM words) GROUP BY ALL),
-  profile AS (SELECT DISTINCT gram FROM (
-      SELECT gram, row_number() OVER (PARTITION BY lang ORDER BY c DESC, gram) AS r FROM counts) WHERE r <= 1000),
-  kept AS (SELECT * FROM counts SEMI JOIN profile USING (gram)),
-  totals AS (SELECT lang, sum(c) AS n FROM kept GROUP BY lang),
+  profile AS (SELECT DISTINCT gram FROM counts),
+  totals AS (SELECT lang, sum(c) AS n FROM counts GROUP BY lang),
   model AS (SELECT p.gram, t.lang, ln((coalesce(k.c, 0) + 1.0) / (t.n + (SELECT count(*) FROM profile))) AS score
-            FROM profile p CROSS JOIN totals t LEFT JOIN kept k ON k.gram = p.gram AND k.lang = t.lang)"""
+            FROM profile p CROSS JOIN totals t LEFT JOIN counts k ON k.gram = p.gram AND k.lang = t.lang)"""
 
 
 @query("language_model", f"WITH {_MODEL} SELECT gram, lang, round(score, 6) AS score FROM model")

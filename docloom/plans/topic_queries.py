@@ -40,12 +40,12 @@ def attach_clusters(spark, folder):
 
 @query("cluster_topics", f"{_TOPICS} SELECT cluster_id, term, round(weight, 9) AS weight FROM topics")
 def cluster_topics(spark, folder):
-    return model(spark, folder).topics.withColumn("weight", F.round("weight", 9))
+    return model(spark, folder).topics.select("cluster_id", "term", F.round("weight", 9).alias("weight"))
 
 
 @query("top_terms", f"{_TOPICS} SELECT cluster_id, term, rank, round(weight, 9) AS weight FROM ranked WHERE rank <= {TAGS}")
 def top_terms(spark, folder):
-    return topics.top_terms(model(spark, folder).topics, TAGS).withColumn("weight", F.round("weight", 9))
+    return model(spark, folder).top.withColumn("weight", F.round("weight", 9))
 
 
 @query("taggings", f"""{_TOPICS}

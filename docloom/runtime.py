@@ -53,7 +53,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._scratch = path
+    return written
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a frame made by ``materialize`` that a later stage has replaced."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._scratch)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

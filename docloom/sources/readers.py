@@ -109,10 +109,24 @@ def read_vectors(
 def read_clusters(
     spark: SparkSession, path: str, schema: str | None = "doc_id long, cluster_id int"
 ) -> DataFrame:
-    """Assignment CSV with header; malformed rows are dropped. ``schema=None`` infers it."""
-    reader = spark.read.option("header", True).option("mode", "DROPMALFORMED")
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    """Assignment CSV with header; malformed rows are dropped. ``schema=None`` infers it.
+
+    Lines are split and cast here: the CSV reader judges a row only by the columns that are
+    selected, so a count would see other rows than a full read. A row is whole when it has
+    as many fields as the schema and every field that is not blank has its type.
+    """
+    if schema is None:
+        inferred = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+        kinds = [(f.name, f.dataType.simpleString()) for f in inferred]
+    else:
+        kinds = [tuple(field.split()) for field in schema.split(",")]
+    fields = F.transform(F.split("value", ",", -1), lambda x: F.trim(F.regexp_replace(F.trim(x), '^"|"$', "")))
+    rows = spark.read.text(path).select(fields.alias("_f")).where(F.col("_f") != F.array(*[F.lit(n) for n, _ in kinds]))
+    whole = F.size("_f") == len(kinds)
+    for i, (_, kind) in enumerate(kinds):
+        cell = F.get("_f", F.lit(i))
+        whole = whole & ((cell == "") | cell.try_cast(kind).isNotNull())
+    return rows.where(whole).select(*[F.get("_f", F.lit(i)).try_cast(k).alias(n) for i, (n, k) in enumerate(kinds)])
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -6,9 +6,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a single-file request is written as a folder of parts instead.
-SINGLE_FILE_ROWS = 5_000_000
-
 
 def _ordered(df: DataFrame, column: str) -> DataFrame:
     """Globally ordered parts: part files in name order hold increasing keys."""
@@ -26,18 +23,9 @@ def write_vectors(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         _ordered(df, "doc_id").select(lines.alias("value")).write.text(path)
 
 
-def write_clusters(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """(doc_id, cluster_id) as CSV with header, id first, in id order.
-
-    ``single_file`` makes one file, but only while the row count says that one task can
-    write it; more rows become several parts, which the reader takes just the same.
-    """
-    rows = df.select("doc_id", "cluster_id")
-    if single_file and rows.count() <= SINGLE_FILE_ROWS:
-        rows = rows.coalesce(1).sortWithinPartitions("doc_id")
-    else:
-        rows = _ordered(rows, "doc_id")
-    rows.write.option("header", True).csv(path)
+def write_clusters(df: DataFrame, path: str) -> None:
+    """(doc_id, cluster_id) as CSV with header, id first, in id order (ordered parts)."""
+    _ordered(df.select("doc_id", "cluster_id"), "doc_id").write.option("header", True).csv(path)
 
 
 def write_taggings(tagged: DataFrame, path: str) -> None:

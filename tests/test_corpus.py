@@ -81,6 +81,31 @@ def test_sample_n_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rank_limits_beyond_the_map_limit(spark, monkeypatch):
+    """More rows per group than Spark limits in the map tasks: no window over a whole group, the same rows."""
+    ids = spark.range(3000).withColumnRenamed("id", "doc_id")
+    large = corpus.sample_n(ids, 1001, 2, 3)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan and large.groupBy("rep").count().where("count = 1001").count() == 2
+    small = corpus.sample_n(ids, 200, 2, 3)
+    monkeypatch.setattr(corpus, "MAP_LIMIT", 10)
+    assert sorted(map(tuple, corpus.sample_n(ids, 200, 2, 3).collect())) == sorted(map(tuple, small.collect()))
+
+
+def test_dedupe_moves_no_payload(spark):
+    rows = [(i, "text %d" % (i % 40), i) for i in range(100)] + [(200, None, 1), (201, None, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra int")
+    kept = corpus.dedupe(df, ["text"], "doc_id")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(40), 200]
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_metadata_order_may_be_a_column(spark):
+    papers = spark.createDataFrame([("a",)], "paper_id string")
+    metadata = spark.createDataFrame([("a", "x", 2), ("a", "y", 1)], "sha string, title string, meta_order int")
+    assert corpus.join_metadata(papers, metadata, order=F.col("meta_order")).first()["title"] == "y"
+
+
 def test_language_fallback_chain(spark):
     train = spark.createDataFrame(
         [("the cat and the dog", "en"), ("der hund und die katze", "de")] * 3, "text string, lang string"

@@ -53,11 +53,9 @@ def test_vectors_without_ids_come_back_in_order(spark, vectors, tmp_path):
 
 def test_clusters_and_taggings(spark, tmp_path):
     df = spark.createDataFrame([(i, i % 3 - 1) for i in range(20)], "doc_id long, cluster_id int").repartition(4)
-    for single in (True, False):
-        path = str(tmp_path / f"c{single}")
-        writers.write_clusters(df, path, single)
-        assert sorted(tuple(r) for r in readers.read_clusters(spark, path).collect()) == sorted(tuple(r) for r in df.collect())
-    assert len(list((tmp_path / "cTrue").glob("*.csv"))) == 1
+    path = str(tmp_path / "c")
+    writers.write_clusters(df, path)
+    assert sorted(tuple(r) for r in readers.read_clusters(spark, path).collect()) == sorted(tuple(r) for r in df.collect())
     bad = tmp_path / "bad.csv"
     bad.write_text("doc_id,cluster_id\n1,2\nx,y\n3,4\n")
     assert sorted(tuple(r) for r in readers.read_clusters(spark, str(bad)).collect()) == [(1, 2), (3, 4)]
@@ -67,11 +65,12 @@ def test_clusters_and_taggings(spark, tmp_path):
     assert [(r["tag"], r["cluster_id"], r["position"]) for r in got] == [("d", 0, 0), ("a b", 1, 0), ("c", 1, 1)]
 
 
-def test_single_file_request_for_many_rows_becomes_parts(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(writers, "SINGLE_FILE_ROWS", 5)
-    df = spark.createDataFrame([(i, 0) for i in range(2000)], "doc_id long, cluster_id int")
-    writers.write_clusters(df, str(tmp_path / "c"), single_file=True)
-    assert readers.read_clusters(spark, str(tmp_path / "c")).count() == 2000
+def test_malformed_lines_are_the_same_for_every_choice_of_columns(spark, tmp_path):
+    bad = tmp_path / "bad.csv"
+    bad.write_text("doc_id,cluster_id\n1,2\nx,y\n3,4\n5,zz\n6\n7,8,9\n10,\n")
+    rows = readers.read_clusters(spark, str(bad))
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, 2), (3, 4), (10, None)]
+    assert rows.count() == 3 and sorted(r["doc_id"] for r in rows.select("doc_id").collect()) == [1, 3, 10]
 
 
 def test_search_result_header(spark, tmp_path):
