@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import by_ids, number_within, with_keys
+from docloom.llm.common import by_ids, with_keys
 from docloom.operators.components import connected_components
+from docloom.operators.corpus import number_within
 from docloom.runtime import materialize
 
 WINDOW = 48

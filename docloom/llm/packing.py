@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from docloom.llm.bpe import Codec
-from docloom.llm.common import number_within
+from docloom.operators.corpus import number_within
 from docloom.runtime import broadcast_bounded, materialize
 
 BINS = 64

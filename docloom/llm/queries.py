@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, embedding_dedup, gru_lm, ngram_join, packing, quality_model, quality_rules, secret_scan, url_filter, warc
+from docloom.llm import bpe, checks, embedding_dedup, gru_lm, ngram_join, packing, quality_model, quality_rules, secret_scan, url_filter, warc
 
 from docloom.llm.common import crc_mod
 
@@ -52,7 +52,7 @@ def op3_bpe_codec(spark, folder):
     return bpe.digest_round_trip(_table(spark, folder, "documents", "doc_id", "text"), vocabulary())
 
 
-@query("op4_embedding_dedup")
+@query("op4_embedding_dedup", checks.EMBEDDINGS)
 def op4_embedding_dedup(spark, folder):
     return embedding_dedup.link_vectors(_table(spark, folder, "embeddings", "vec_id", "embedding"), 0.9)
 
@@ -81,7 +81,7 @@ def op6_warc_archive(spark, folder):
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op7_ngram_join")
+@query("op7_ngram_join", checks.ngram_join(4, 85, 100))
 def op7_ngram_join(spark, folder):
     docs = _table(spark, folder, "documents", "doc_id", "text")
     return ngram_join.link_components(docs, n=4, num=85, den=100)
@@ -102,7 +102,7 @@ def op8_quality_model(spark, folder):
     )
 
 
-@query("op9_quality_rules")
+@query("op9_quality_rules", checks.quality())
 def op9_quality_rules(spark, folder):
     judged = quality_rules.judge(_table(spark, folder, "documents", "doc_id", "text", "lang", "source"))
     return judged.select(
@@ -110,7 +110,7 @@ def op9_quality_rules(spark, folder):
     )
 
 
-@query("op10_secret_scan")
+@query("op10_secret_scan", checks.secrets(secret_scan.RULES, len(secret_scan.BASE)))
 def op10_secret_scan(spark, folder):
     found = secret_scan.scan(_table(spark, folder, "documents", "doc_id", "text"))
     base = F.filter("spans", lambda s: s["ord"] < len(secret_scan.BASE))
