@@ -214,9 +214,13 @@ def lemmatize(
     lemmas: DataFrame,
     id_col: str = "doc_id",
     column: str = "tokens",
+    words: Sequence[str] | None = None,
 ) -> DataFrame:
     """Replace tokens by their lemma (lower, stripped) and rejoin them: (id, text).
 
+    With ``words`` (stop words) the lemmas that are stop words or punctuation are left out
+    before the text is joined; a document of which nothing is left keeps an empty text.
+
     ``lemmas`` is (token, lemma), one row per token; a token without entry, or whose lemma
     is null (pronouns), keeps its surface form. Rows are brought to their id before they
     are exploded, so the regrouping needs no second shuffle while the lemma table, which is
@@ -234,11 +238,14 @@ def lemmatize(
     )
     table = lemmas.select("token", F.trim(F.lower("lemma")).alias("_lemma"))
     table = broadcast_bounded(table, lemmas.count(), 96)
+    in_order = F.transform(F.sort_array(F.collect_list("p")), lambda p: p["w"])
+    if words is not None:
+        in_order = tx.drop_punctuation(tx.remove_stop_words(in_order, list(words)))
     return (
         pieces.join(table, "token", "left")
         .select(id_col, F.struct("_pos", F.coalesce("_lemma", "low").alias("w")).alias("p"))
         .groupBy(id_col)
-        .agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["w"]), " ").alias("text"))
+        .agg(F.array_join(in_order, " ").alias("text"))
     )
 
 

@@ -63,10 +63,11 @@ def tfidf_l2(spark, folder):
     return features.tfidf_l2(docs, docs.count()).withColumn("weight", F.round("weight", 6))
 
 
-@query("hashing_tf")
+@query("hashing_tf", f"WITH {sql.TOKENS} SELECT doc_id, CAST(len(t) AS DOUBLE) AS tf FROM tokens")
 def hashing_tf(spark, folder):
+    """Hash places depend on the hash function; their frequencies add up to the number of tokens."""
     hashed = features.hashing_tf(tokens(spark, folder), 4096)
-    return hashed.select("doc_id", F.array_join(F.transform(vector_to_array("features"), lambda x: x.cast("int").cast("string")), ",").alias("tf"))
+    return hashed.select("doc_id", F.aggregate(vector_to_array("features"), F.lit(0.0), lambda acc, x: acc + x).alias("tf"))
 
 
 @query("assemble_vectors", """
@@ -108,6 +109,17 @@ def pca_project(spark, folder):
     return _long_scores(features.pca_project(rows, 16))
 
 
+@query("pca_norm", f"""WITH {sql.VECTORS},
+  middle AS (SELECT i, avg(x) AS m FROM cell GROUP BY i)
+  SELECT doc_id, round(sum(power(x - m, 2)), 6) AS norm2 FROM cell JOIN middle USING (i) GROUP BY doc_id""")
+def pca_norm(spark, folder):
+    """At full width the centred scores keep every squared distance to the mean."""
+    rows = vectors(spark, folder).select("doc_id", array_to_vector("vec").alias("features"))
+    width = rows.select("features").first()["features"].size
+    norm = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x)
+    return features.pca_project(rows, width).select("doc_id", F.round(norm, 6).alias("norm2"))
+
+
 @query("pca_variance")
 def pca_variance(spark, folder):
     rows = vectors(spark, folder).select("doc_id", array_to_vector("vec").alias("features"))

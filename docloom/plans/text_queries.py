@@ -108,6 +108,21 @@ def lemmatize(spark, folder):
     return corpus.lemmatize(rows, lemmas, column="vector")
 
 
+@query("processed_text", f"""
+  WITH {sql.TOKENS},
+  lemma(token, lemma) AS (VALUES {_LEMMA_ROWS}),
+  p AS (SELECT doc_id, unnest(v) AS token, generate_subscripts(v, 1) AS pos FROM toks),
+  l AS (SELECT doc_id, pos, coalesce(trim(lower(lemma)), lower(token)) AS w FROM p LEFT JOIN lemma USING (token))
+  SELECT doc_id, coalesce(string_agg(w, ' ' ORDER BY pos)
+           FILTER (WHERE w NOT IN ({sql.STOP_LIST}) AND NOT contains({sql.PUNCT}, w)), '') AS text
+  FROM l GROUP BY doc_id""")
+def processed_text(spark, folder):
+    """Lemmas, then without stop words, then without punctuation, then one text again."""
+    rows = token_table(documents(spark, folder).select("doc_id", "text"), "text", sql.STOP_WORDS)
+    lemmas = spark.createDataFrame(LEMMAS, "token string, lemma string")
+    return corpus.lemmatize(rows, lemmas, column="vector", words=sql.STOP_WORDS)
+
+
 _MODEL = f"""
   words AS (SELECT lang, word, count(*) AS c
             FROM (SELECT lang, unnest(string_split(lower(text), ' ')) AS word FROM documents)
