@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.operators.corpus import first_in_group
 from docloom.operators.features import doc_terms, with_idf
-from docloom.runtime import broadcast_bounded
+from docloom.runtime import BROADCAST_BYTES, broadcast_bounded
 
 
 def attach_clusters(tokens: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -114,19 +116,30 @@ def document_weights(
 ) -> DataFrame:
     """(doc_id, cluster_id, weight): sum of TF-IDF times topic weight over a document's terms.
 
-    The topic table has at most max_clusters x max_terms rows and is broadcast while that is
-    small; then terms are never shuffled, and one row per document is.
+    A cluster is one row with an array of weights by term number, max_terms doubles at most
+    (24 MB for 610 clusters and 5000 terms). While the arrays of all clusters are small they
+    are broadcast like the vocabulary; terms are then never shuffled, and one row per
+    document is. Beyond that clusters and terms are joined by a shuffle.
     """
-    weighted = topics.join(
-        broadcast_bounded(with_idf(vocab, documents).select("term", "idf"), max_terms), "term"
-    ).select("cluster_id", "term", (F.col("weight") * F.col("idf")).alias("_w"))
-    table = broadcast_bounded(weighted, max_clusters * max_terms)
-    return (
-        doc_terms(df, ("doc_id", "cluster_id"), column)
-        .join(table, ["cluster_id", "term"])
-        .groupBy("doc_id", "cluster_id")
-        .agg(F.sum(F.col("tf") * F.col("_w")).alias("weight"))
+    words = with_idf(vocab, documents).select("term", "term_id", "idf")
+    weighted = topics.join(broadcast_bounded(words, max_terms), "term").select(
+        "cluster_id", "term", "term_id", (F.col("weight") * F.col("idf")).alias("_w")
     )
+    counted = doc_terms(df, ("doc_id", "cluster_id"), column)
+    if max_clusters * max_terms * 8 <= BROADCAST_BYTES:
+
+        def dense(rows: pd.DataFrame) -> pd.DataFrame:
+            weights = np.zeros(max_terms)
+            weights[rows["term_id"].to_numpy()] = rows["_w"].to_numpy()
+            return pd.DataFrame({"cluster_id": rows["cluster_id"].iloc[:1], "_ws": [weights]})
+
+        kind = df.schema["cluster_id"].dataType.simpleString()
+        arrays = weighted.groupBy("cluster_id").applyInPandas(dense, f"cluster_id {kind}, _ws array<double>")
+        found = counted.join(F.broadcast(words.select("term", "term_id")), "term").join(F.broadcast(arrays), "cluster_id")
+        found = found.withColumn("_w", F.get("_ws", F.col("term_id")))
+    else:
+        found = counted.join(weighted, ["cluster_id", "term"])
+    return found.groupBy("doc_id", "cluster_id").agg(F.sum(F.col("tf") * F.col("_w")).alias("weight"))
 
 
 def relevant_documents(weights: DataFrame, n: int, cluster_id: int | None = None) -> DataFrame:
