@@ -13,13 +13,14 @@ Counts cover every training text: one aggregation by word. Words frequent enough
 counts of all others come by a join on the word, where no word can be hot, because the hot ones
 were answered before.
 
-Training: one in ``SHARE`` training documents (by hash of the id) gives gradient steps, truncated
-back-propagation over ``WINDOW`` words with carried state. Partitions train on their own documents
-and the parameters are averaged (weighted by tokens) after each of ``ROUNDS`` rounds. Biases start at
-the counted shares of classes and words, so an untrained network scores like the counts.
+Training: every training document gives gradient steps once, truncated back-propagation over ``WINDOW``
+words with carried state. Each partition trains on its own documents, a quarter of them in each of
+``ROUNDS`` rounds, and the parameters are averaged (weighted by tokens) after a round. Up to ``LANES``
+texts are read side by side, fewer where a batch has few. Biases start at the counted shares of
+classes and words, so an untrained network scores like the counts.
 
 Edge cases: null and empty texts have one token, the end; a text of any length is scored whole; rows
-with null or repeated ids are scored each for itself (the id decides only what is learned from);
+with null or repeated ids are scored, and learned from, each for itself;
 without training texts every word is unseen; other columns are ignored; an empty table gives
 an empty result.
 """
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import with_keys
-from docloom.llm.words import LOWER, texts_of
+from docloom.llm.words import LOWER, Stored, texts_of
 from docloom.runtime import materialize
 
 HEAD, WIDTH, TAILS = 512, 32, 32
@@ -46,8 +47,8 @@ CLASSES = HEAD // WIDTH + TAILS
 START = HEAD + TAILS  # input of the first step
 SIZE = 16
 WINDOW = 32
-LANES = 64
-SHARE = 8
+LANES, LEAST_LANES, GROUPS = 256, 64, 16
+LONE_TOKENS = LANES * WINDOW
 ROUNDS = 4
 RATE = 0.01
 LOCAL = 200_000
@@ -164,61 +165,72 @@ class Network:
         ``previous`` are the inputs that lead to the first prediction. Lanes are sorted by
         length, so the active ones are always the first.
         """
-        width, lanes = block.shape
+        width = len(block)
         counts = (block >= 0).sum(1)
-        h, saved, states, ids = state, [], [], previous
-        for t in range(width):
-            c = counts[t]
-            h, ids = h[:c], ids[:c]
-            x, u = self.inputs[ids], h @ self.recur
-            gates = sigmoid(x[:, : 2 * SIZE] + u[:, : 2 * SIZE])
-            z, r, un = gates[:, :SIZE], gates[:, SIZE:], u[:, 2 * SIZE :]
-            n = np.tanh(x[:, 2 * SIZE :] + r * un)
-            new = n + z * (h - n)
-            saved.append((h, ids, z, r, un, n))
-            states.append(new)
-            h, ids = new, block[t, :c]
-        flat = np.concatenate(states)
-        targets = np.concatenate([block[t, : counts[t]] for t in range(width)])
-        loss, d_flat, d_class, d_class_bias, d_word, d_word_bias = self._output_gradients(flat, targets)
-        d_recur, d_inputs = np.zeros_like(self.recur), np.zeros_like(self.inputs)
         ends = np.cumsum(counts)
-        carried = np.zeros((lanes, SIZE), np.float32)
-        rows, changes = [], []
-        for t in range(width - 1, -1, -1):
-            c = counts[t]
-            h, ids, z, r, un, n = saved[t]
-            d = d_flat[ends[t] - c : ends[t]] + carried[:c]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (h - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            inner = np.concatenate([dz, dr, dn * r], 1)
-            d_recur += h.T @ inner
-            carried = np.zeros((lanes, SIZE), np.float32)
-            carried[:c] = d * z + inner @ self.recur.T
-            rows.append(ids)
-            changes.append(np.concatenate([dz, dr, dn], 1))
-        rows, changes = np.concatenate(rows), np.concatenate(changes)
-        sort = np.argsort(rows, kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(rows[sort]) > 0])
-        d_inputs[rows[sort][starts]] = np.add.reduceat(changes[sort], starts)
-        return loss, [d_inputs, d_recur, d_class, d_class_bias, d_word, d_word_bias], states[-1]
+        spans = [slice(e - c, e) for e, c in zip(ends, counts)]
+        targets = block[block >= 0]  # step by step, as everything below
+        ids = np.concatenate([previous[: counts[0]], *(block[t - 1, : counts[t]] for t in range(1, width))])
+        # features are rows and lanes are columns, so that every operation runs along whole rows of lanes
+        x, kind = np.ascontiguousarray(self.inputs[ids].T), self.recur.dtype
+        before, after, cand, kept = (np.empty((SIZE, ends[-1]), kind) for _ in range(4))
+        gates, h, turn = np.empty((2 * SIZE, ends[-1]), kind), state.T, np.ascontiguousarray(self.recur.T)
+        for t, at in enumerate(spans):
+            h = before[:, at] = h[:, : counts[t]]
+            u = turn @ h
+            g = x[: 2 * SIZE, at] + u[: 2 * SIZE]
+            g *= 0.5  # the logistic function as a hyperbolic tangent
+            np.tanh(g, out=g)
+            g += 1
+            g *= 0.5
+            gates[:, at], kept[:, at] = g, u[2 * SIZE :]
+            n = g[SIZE:] * u[2 * SIZE :]
+            n += x[2 * SIZE :, at]
+            np.tanh(n, out=n)
+            cand[:, at] = n
+            h = after[:, at] = n + g[:SIZE] * (h - n)
+        loss, d_after, d_class, d_class_bias, d_word, d_word_bias = self._output_gradients(after, targets)
+        z, r = gates[:SIZE], gates[SIZE:]
+        to_cand, to_z, to_r = (1 - z) * (1 - cand * cand), (before - cand) * z * (1 - z), kept * r * (1 - r)
+        d_input, inner = np.empty_like(x), np.empty_like(x)
+        carried = np.zeros((SIZE, 0), kind)
+        for at in reversed(spans):
+            d = d_after[:, at]
+            d[:, : carried.shape[1]] += carried
+            dn = d * to_cand[:, at]
+            d_input[:SIZE, at] = d * to_z[:, at]
+            d_input[SIZE : 2 * SIZE, at] = dn * to_r[:, at]
+            d_input[2 * SIZE :, at] = dn
+            inner[: 2 * SIZE, at] = d_input[: 2 * SIZE, at]
+            inner[2 * SIZE :, at] = dn * r[:, at]
+            carried = d * z[:, at] + self.recur @ inner[:, at]
+        d_inputs = np.zeros_like(self.inputs)
+        sort = np.argsort(ids.astype(np.int16), kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(ids[sort]) > 0])
+        d_inputs[ids[sort][starts]] = np.add.reduceat(d_input[:, sort], starts, axis=1).T
+        return loss, [d_inputs, before @ inner.T, d_class, d_class_bias, d_word, d_word_bias], h.T
 
     def _output_gradients(self, h: np.ndarray, targets: np.ndarray):
+        """Loss and gradients of the softmax layers; the columns of ``h`` are states."""
         head = targets < HEAD
         classes = np.where(head, targets // WIDTH, targets - HEAD + HEAD // WIDTH)
-        at = np.arange(len(h))
-        p, loss = _softmax_loss(h @ self.to_class + self.class_bias, at, classes)
-        d_h = p @ self.to_class.T
+        p, loss = _softmax_loss(self.to_class.T @ h + self.class_bias[:, None], classes)
+        d_h = self.to_class @ p
         d_word, d_word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
+        order = np.flatnonzero(head)
+        order = order[np.argsort(classes[order].astype(np.int16), kind="stable")]
+        bounds = np.searchsorted(classes[order], np.arange(HEAD // WIDTH + 1))
+        inner, places = h[:, order], targets[order] % WIDTH
+        back = np.empty_like(inner)
         for c in range(HEAD // WIDTH):
-            rows = np.flatnonzero(classes == c)
-            if len(rows):
-                q, more = _softmax_loss(h[rows] @ self.to_word[c] + self.word_bias[c], np.arange(len(rows)), targets[rows] % WIDTH)
+            at = slice(bounds[c], bounds[c + 1])
+            if at.start < at.stop:
+                q, more = _softmax_loss(self.to_word[c].T @ inner[:, at] + self.word_bias[c][:, None], places[at])
                 loss += more
-                d_word[c], d_word_bias[c] = h[rows].T @ q, q.sum(0)
-                d_h[rows] += q @ self.to_word[c].T
-        return loss, d_h, h.T @ p, p.sum(0), d_word, d_word_bias
+                d_word[c], d_word_bias[c] = inner[:, at] @ q.T, q.sum(1)
+                back[:, at] = self.to_word[c] @ q
+        d_h[:, order] += back
+        return loss, d_h, h @ p.T, p.sum(1), d_word, d_word_bias
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:
@@ -226,26 +238,44 @@ def _log_sum(logits: np.ndarray) -> np.ndarray:
     return top + np.log(np.exp(logits - top[:, None]).sum(1))
 
 
-def _softmax_loss(logits: np.ndarray, at: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, float]:
-    p = np.exp(logits - logits.max(1, keepdims=True))
-    p /= p.sum(1, keepdims=True)
-    loss = -float(np.log(np.maximum(p[at, targets], 1e-30)).sum())
-    p[at, targets] -= 1
+def _softmax_loss(logits: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, float]:
+    """Gradient (in place of the logits) and loss; columns are cases."""
+    at = np.arange(logits.shape[1])
+    logits -= logits.max(0)
+    p = np.exp(logits, out=logits)
+    p /= p.sum(0)
+    loss = -float(np.log(np.maximum(p[targets, at], 1e-30)).sum())
+    p[targets, at] -= 1
     return p, loss
 
 
 def train(network: Network, texts: list[np.ndarray], rate: float = RATE) -> Network:
-    """Adam steps over the texts once: lanes of similar length, windows with carried state."""
+    """Adam steps over the texts once: lanes of similar length, windows with carried state.
+
+    Windows of few lanes wait, summed, for the next wide one or until they hold ``LONE_TOKENS`` words: else
+    the end of one long text would be as many steps as the same windows of many texts.
+    """
     params = network.arrays()
     params = [p.copy() for p in params]
     first, second, steps = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     order = sorted(range(len(texts)), key=lambda i: (-len(texts[i]), i))
-    groups = [order[k : k + LANES] for k in range(0, len(order), LANES)]
+    lanes = min(LANES, max(LEAST_LANES, len(order) // GROUPS))
+    groups = [order[k : k + lanes] for k in range(0, len(order), lanes)]
+    summed, tokens = None, 0
+
+    def step() -> None:
+        for p, g_, m, v in zip(params, summed, first, second):
+            g_ /= tokens
+            m += 0.1 * (g_ - m)
+            v += 0.01 * (g_ * g_ - v)
+            p -= rate * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.99**steps)) + 1e-6)
+
     for g in np.random.default_rng(1).permutation(len(groups)):
         group = [texts[i] for i in groups[g]]
         state, previous = np.zeros((len(group), SIZE), np.float32), np.full(len(group), START)
+        active = group
         for begin in range(0, len(group[0]), WINDOW):
-            active = [t for t in group if len(t) > begin]
+            active = [t for t in active if len(t) > begin]
             width = min(WINDOW, len(group[0]) - begin)
             block = np.full((width, len(active)), -1, np.int64)
             for k, t in enumerate(active):
@@ -253,15 +283,17 @@ def train(network: Network, texts: list[np.ndarray], rate: float = RATE) -> Netw
                 block[: len(part), k] = part
             now = Network(*params)
             _, grads, state = now.gradients(state[: len(active)], previous[: len(active)], block)
-            tokens = int((block >= 0).sum())
-            last = (block >= 0).sum(1)[-1]
-            previous = block[-1, :last]
-            steps += 1
-            for p, g_, m, v in zip(params, grads, first, second):
-                g_ /= tokens
-                m += 0.1 * (g_ - m)
-                v += 0.01 * (g_ * g_ - v)
-                p -= rate * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.99**steps)) + 1e-6)
+            summed = grads if summed is None else [a + b for a, b in zip(summed, grads)]
+            counts = (block >= 0).sum(1)
+            tokens += int(counts.sum())
+            previous = block[-1, : counts[-1]]
+            if 2 * len(active) >= LEAST_LANES or tokens >= LONE_TOKENS:
+                steps += 1
+                step()
+                summed, tokens = None, 0
+    if tokens:
+        steps += 1
+        step()
     return Network(*params)
 
 
@@ -355,20 +387,23 @@ class _Lookup(dict):
 
 
 def fit(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
-    """Train on one column of texts: local training in the partitions, averaged after each round."""
+    """Train on all rows of (key, text), keys unique: local training in the partitions, averaged after each round."""
     head = words.counts[:HEAD]
     network = Network.fresh(words.class_counts, np.r_[head, np.zeros(HEAD - len(head))])
     known = {w: k for k, w in enumerate(words.words[:HEAD])}
 
     def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = Stored(lambda w: known[w] if w in known else HEAD + tail_class(w)).__getitem__
         for batch in batches:
-            ids = [[known[w] if w in known else HEAD + tail_class(w) for w in tokens_of(t)] for t in texts_of(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.list_(pa.int16()))], names=["ids"])
+            ids = [np.fromiter(map(place, tokens_of(t)), np.int16) for t in texts_of(batch.column(1))]
+            offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            values = np.concatenate([np.empty(0, np.int16), *ids])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, values)], names=["deal", "ids"])
 
     spark = texts.sparkSession
     learners = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    encoded = texts.mapInArrow(to_ids, "ids array<short>").withColumn("deal", F.xxhash64("ids"))
-    # partitions of all documents that were chosen, dealt by content; the same ones in every round
+    encoded = texts.select(F.xxhash64(texts.columns[0]).alias("deal"), texts.columns[1]).mapInArrow(to_ids, "deal long, ids array<short>")
+    # partitions of all training documents, dealt by key so that copies of a text spread; the same ones in every round
     encoded = materialize(encoded.repartition(learners, "deal"), "lm-train")
     for turn in range(rounds):
         start = spark.sparkContext.broadcast(network.flat())
@@ -377,7 +412,8 @@ def fit(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
             own = Network.fresh(np.zeros(CLASSES), np.zeros(HEAD)).filled(start.value)
             weight = 0
             for batch in batches:
-                part = [np.array(t.as_py(), np.int64) for t in batch.column(0)]
+                ids = batch.column(0)
+                part = np.split(ids.flatten().to_numpy(), np.cumsum(ids.value_lengths().to_numpy())[:-1]) if len(ids) else []
                 weight += sum(map(len, part))
                 own = train(own, part, RATE * (1 - turn / rounds)) if part else own
             if weight:
@@ -464,8 +500,7 @@ def score_documents(docs: DataFrame, learned: Column, id_col: str = "doc_id", te
     keyed, key = with_keys(docs.select(id_col, text_col, learned.alias("_l_learned")), id_col)
     counts = materialize(count_words(keyed.where("_l_learned").select(text_col)), "lm-counts")
     words = lexicon(counts)
-    chosen = F.pmod(F.xxhash64(F.col(key)), F.lit(SHARE)) == 0
-    network = fit(keyed.where(F.col("_l_learned") & chosen).select(text_col), words)
+    network = fit(keyed.where("_l_learned").select(key, text_col), words)
     named = keyed.select(F.col(key).alias("key"), F.col(text_col).alias("text"))
     scored = materialize(score_texts(named, words, network), "lm-scores")
     pairs = scored.select("key", F.explode(F.arrays_zip("rest", "times")).alias("p")).select(

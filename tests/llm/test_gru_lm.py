@@ -131,3 +131,24 @@ def test_odd_tables(spark):
     assert sorted(r["n_tokens"] for r in got) == [1, 2, 2, 3] and {r["doc_id"] for r in got} == {None, 1, 2}
     unseen = G.score_documents(rows, F.lit(False)).collect()
     assert all(r["n_known"] == 0 and r["base_score"] == 0 and r["held_out"] for r in unseen)
+
+
+def test_every_training_row_gives_steps(spark, monkeypatch):
+    """All learned rows reach the training, few or many, copies and repeated ids too; held-out rows do not."""
+    seen = spark.sparkContext.accumulator(0)
+    tokens = spark.sparkContext.accumulator(0)
+    plain = G.train
+
+    def noted(network, texts, rate=G.RATE):
+        seen.add(len(texts))
+        tokens.add(sum(map(len, texts)))
+        return plain(network, texts, rate)
+
+    monkeypatch.setattr(G, "train", noted)
+    for rows in ([(3, "a b c")], sample(), [(3, "a b")] * 40 + [(None, "c")] * 3):
+        learned = crc_mod(F.col("doc_id"), 7) != 2
+        seen.value = tokens.value = 0
+        out = G.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), learned)
+        wanted = [(t or "").encode() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+        assert (seen.value, tokens.value) == (len(wanted), sum(len(t.split()) + 1 for t in wanted)) and len(wanted)
+        assert out.count() == len(rows)
