@@ -8,8 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, checks, embedding_dedup, gru_lm, ngram_join, packing, quality_model, quality_rules, secret_scan, url_filter, warc
-
+from docloom.llm import (
+    bpe,
+    checks,
+    embedding_dedup,
+    gru_lm,
+    ngram_join,
+    packing,
+    periodic_runs,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    url_filter,
+    warc,
+)
 from docloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +134,9 @@ def op10_secret_scan(spark, folder):
         "doc_id", *[count(r.kind) for r in secret_scan.BASE],
         F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, folder):
+    found = periodic_runs.describe_runs(_table(spark, folder, "documents", "doc_id", "text"), varied=True)
+    return found.drop("n_words")
