@@ -16,9 +16,11 @@ from docloom.llm import (
     ngram_join,
     packing,
     periodic_runs,
+    pii_bootstrap,
     quality_model,
     quality_rules,
     secret_scan,
+    spelling,
     url_filter,
     warc,
 )
@@ -140,3 +142,23 @@ def op10_secret_scan(spark, folder):
 def op12_periodic_runs(spark, folder):
     found = periodic_runs.describe_runs(_table(spark, folder, "documents", "doc_id", "text"), varied=True)
     return found.drop("n_words")
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark, folder):
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    return spelling.group_variants(docs, slips=True).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op11_pii_bootstrap")
+def op11_pii_bootstrap(spark, folder):
+    found = pii_bootstrap.extract(_table(spark, folder, "documents", "doc_id", "text")).spans
+    base = F.filter("spans", lambda s: s["by"] == "base")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii_bootstrap.KINDS),
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
+    )
