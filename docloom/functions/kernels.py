@@ -117,6 +117,54 @@ def pair_hits(homes: pd.DataFrame, members: pd.DataFrame, eps: float):
     return a, b, hit
 
 
+def levels(a: np.ndarray, b: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Matrix of the place of the smallest limit (ascending) that is at least the distance; their number if none is."""
+    rough, slack = _rough_squared(a, b)
+    squares, margin = limits * limits, slack.max() if len(slack) else 0.0
+    found = np.searchsorted(squares, rough - margin)
+    unsure = found != np.searchsorted(squares, rough + margin)
+    if unsure.any():
+        i, j = np.nonzero(unsure)
+        found[i, j] = np.searchsorted(limits, np.sqrt(_exact_squared(a, b, i, j)))
+    return found
+
+
+def pair_levels(homes: pd.DataFrame, members: pd.DataFrame, limits: np.ndarray) -> np.ndarray:
+    """Levels of both sides; pairs that another place of the matrix or another group holds are out of reach."""
+    found = levels(stack(homes["vec"]), stack(members["vec"]), limits)
+    same_home = members["home"].to_numpy() == homes["home"].to_numpy()[0]
+    later = np.where(same_home, members["id"].to_numpy(), np.iinfo(np.int64).max)
+    found[homes["id"].to_numpy()[:, None] >= later[None, :]] = len(limits)
+    return found
+
+
+def level_forest(reach: np.ndarray, left: np.ndarray, right: np.ndarray, levels: int):
+    """(node, root, level): edges that join, at each level, what is in reach at that level or below.
+
+    Each edge joins two parts that lower levels left apart, so there are fewer edges than nodes.
+    """
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for level in range(levels):
+        if not (reach == level).any():
+            continue
+        nodes, roots = bipartite_roots(reach <= level, left, right)
+        for node, root in zip(nodes.tolist(), roots.tolist()):
+            a, b = find(node), find(root)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((node, root, level))
+    columns = np.array(out, np.int64).reshape(-1, 3).T
+    return columns[0], columns[1], columns[2]
+
+
 def bipartite_roots(hit: np.ndarray, left: np.ndarray, right: np.ndarray):
     """(node, smallest node of its component) for all nodes that have an edge in ``hit``.
 
@@ -188,3 +236,84 @@ def gram(parts):
         sums += x.sum(axis=0)
         products += x.T @ x
     return None if sums is None else (n, sums, products)
+
+
+def dense_chunks(batches, width: int):
+    """Dense matrices of a bounded number of rows from batches of (at, x) lists: places and values of each row."""
+    step = max(1, CHUNK_CELLS // max(1, width))
+    for batch in batches:
+        for low in range(0, batch.num_rows, step):
+            part = batch.slice(low, step)
+            at, values = part.column(0), part.column(1)
+            rows = np.repeat(np.arange(part.num_rows), at.value_lengths().to_numpy())
+            x = np.zeros((part.num_rows, width))
+            x[rows, at.flatten().to_numpy()] = values.flatten().to_numpy()
+            yield x
+
+
+def vector_chunks(batches, rows: int = 2048):
+    """Matrices of at most ``rows`` rows from batches whose only column holds vectors of one length."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            part = batch.slice(low, rows)
+            yield part.column(0).flatten().to_numpy().reshape(part.num_rows, -1).astype(np.float64, copy=False)
+
+
+def responsibilities(x: np.ndarray, constants: np.ndarray, means: np.ndarray, white: np.ndarray):
+    """(log-likelihood of each row, probabilities of the components) of a Gaussian mixture."""
+    logs = np.empty((len(x), len(means)))
+    for j in range(len(means)):
+        y = (x - means[j]) @ white[j]
+        logs[:, j] = constants[j] - 0.5 * np.einsum("ij,ij->i", y, y)
+    top = logs.max(axis=1, keepdims=True)
+    p = np.exp(logs - top)
+    mass = p.sum(axis=1, keepdims=True)
+    return (top + np.log(mass))[:, 0], p / mass
+
+
+def weighted_seeds(points: np.ndarray, weights: np.ndarray, k: int, seed: int, steps: int) -> np.ndarray:
+    """At most ``k`` centres of weighted points: greedy k-means++ picks, then Lloyd steps."""
+    rng = np.random.default_rng([seed, k])
+    if len(points) <= k:
+        return points
+    lengths, trials = np.einsum("ij,ij->i", points, points), 2 + int(np.log(k))
+    picked, gaps = [int(rng.choice(len(points), p=weights / weights.sum()))], np.full(len(points), np.inf)
+    while True:
+        last = picked[-1]
+        gaps = np.minimum(gaps, np.maximum(lengths - 2 * points @ points[last] + lengths[last], 0.0))
+        gaps[last] = 0.0
+        pull = gaps * weights
+        if len(picked) == k or pull.sum() <= 0:
+            break
+        # of a few draws the one that leaves the least cost
+        drawn = rng.choice(len(points), trials, p=pull / pull.sum())
+        left = np.minimum(gaps[:, None], lengths[:, None] - 2 * points @ points[drawn].T + lengths[drawn])
+        picked.append(int(drawn[(np.maximum(left, 0.0) * weights[:, None]).sum(axis=0).argmin()]))
+    centres = points[picked]
+    for _ in range(steps):
+        index, _ = nearest(points, centres)
+        mass = np.bincount(index, weights, minlength=len(centres))
+        moved = np.stack([np.bincount(index, weights * column, minlength=len(centres)) for column in points.T], axis=1)
+        after = np.where(mass[:, None] > 0, moved / np.maximum(mass, 1e-300)[:, None], centres)
+        if np.array_equal(after, centres):
+            break
+        centres = after
+    return centres
+
+
+def silhouette_sum(x: np.ndarray, centres: np.ndarray, n: np.ndarray, means: np.ndarray, lengths: np.ndarray) -> float:
+    """Sum of squared-Euclidean silhouettes of rows whose cluster is the nearest centre.
+
+    ``n``, ``means`` and ``lengths`` (mean squared length) describe all rows of each cluster.
+    """
+    if (n > 0).sum() < 2:
+        return 0.0
+    index, _ = nearest(x, centres)
+    rows = np.arange(len(x))
+    gaps = np.einsum("ij,ij->i", x, x)[:, None] - 2 * x @ means.T + lengths[None, :]
+    own = n[index]
+    a = np.maximum(gaps[rows, index], 0.0) * own / np.maximum(own - 1, 1)
+    gaps[rows, index] = np.inf
+    b = np.maximum(gaps.min(axis=1), 0.0)
+    top = np.maximum(a, b)
+    return float(np.where((own > 1) & (top > 0), (b - a) / np.where(top > 0, top, 1.0), 0.0).sum())

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from docloom.functions import kernels
-from docloom.operators import assign, cluster, density, features, report, som
+from docloom.operators import assign, cluster, density, density_forest, many_kmeans, mixture, report, som
 from docloom.plans import sql
 from docloom.plans.corpus_queries import _SAMPLE
 from docloom.plans.feature_queries import vectors
@@ -92,7 +91,7 @@ def kmeans(spark, folder):
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, folder):
-    return cluster.kmeans_sweep(points(spark, folder), (100, 150, 200))
+    return many_kmeans.kmeans_sweep(points(spark, folder)).drop("seconds")
 
 
 @query("bisecting_kmeans")
@@ -100,20 +99,31 @@ def bisecting_kmeans(spark, folder):
     return cluster.bisecting_kmeans(points(spark, folder), k=50).assignments
 
 
-def components(spark, folder):
-    """Vectors on the principal components that hold 80 % of the variance."""
-    rows = points(spark, folder).select("doc_id", array_to_vector("vec").alias("features"))
-    return features.pca_variance(rows, 0.8)[0].select("doc_id", "vec")
-
-
 @query("gmm")
 def gmm(spark, folder):
-    return cluster.gmm(components(spark, folder), k=5).assignments.select("doc_id", "cluster_id")
+    return mixture.gmm(points(spark, folder)).assignments.select("doc_id", "cluster_id")
 
 
 @query("gmm_sweep")
 def gmm_sweep(spark, folder):
-    return cluster.gmm_sweep(components(spark, folder), (2, 4))
+    return mixture.gmm_sweep(points(spark, folder)).drop("seconds")
+
+
+PRIOR = 64
+
+
+@query("gmm_m_step", f"""WITH {sql.VECTORS},
+  total AS (SELECT count(*) AS n FROM v),
+  size AS (SELECT cluster_id, count(*) AS n FROM v GROUP BY ALL),
+  cross_ AS (SELECT a.doc_id, a.cluster_id, a.i, b.i AS j, a.x AS x, b.x AS y FROM cell a JOIN cell b USING (doc_id)),
+  pooled AS (SELECT i, j, covar_pop(x, y) AS c FROM cross_ GROUP BY i, j),
+  own AS (SELECT cluster_id, i, j, covar_pop(x, y) AS c FROM cross_ GROUP BY ALL)
+  SELECT cluster_id, round(size.n / total.n, 8) AS weight, CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j,
+         round((size.n * own.c + {PRIOR} * pooled.c) / (size.n + {PRIOR}), 8) + 0.0 AS cov
+  FROM own JOIN pooled USING (i, j) JOIN size USING (cluster_id) CROSS JOIN total""")
+def gmm_m_step(spark, folder):
+    stepped = mixture.m_step(vectors(spark, folder), float(PRIOR))
+    return stepped.withColumns({"weight": F.round("weight", 8), "cov": F.round("cov", 8) + 0.0})
 
 
 @query("lda_cluster")
@@ -150,9 +160,41 @@ def dbscan(spark, folder):
     return density.dbscan(points(spark, folder), EPS, MIN_SAMPLES)
 
 
-@query("dbscan_sweep")
+SWEEP = (1.06, 1.08, 1.1, 1.12, 1.14, 1.16, 1.18, 1.2)
+
+# DBSCAN at every radius of the sweep: labelled (k = radius, doc_id, vec, cluster_id)
+_SWEPT = f"""
+  v AS (SELECT vec_id AS doc_id, embedding::DOUBLE[] AS vec FROM embeddings),
+  pair AS (SELECT a.doc_id AS id, b.doc_id AS other, list_distance(a.vec, b.vec) AS d FROM v a JOIN v b
+           ON list_distance(a.vec, b.vec) <= {max(SWEEP)}),
+  eps(k) AS (VALUES {', '.join(f'({e}::DOUBLE)' for e in SWEEP)}),
+  near AS (SELECT k, id, other FROM eps JOIN pair ON d <= k),
+  core AS (SELECT k, id FROM near GROUP BY k, id HAVING count(*) >= {MIN_SAMPLES}),
+  edge AS (SELECT n.k, n.id, n.other FROM near n JOIN core a ON a.k = n.k AND a.id = n.id JOIN core b ON b.k = n.k AND b.id = n.other),
+  reach(k, id, root) AS (SELECT k, id, id FROM core
+                         UNION SELECT r.k, e.other, r.root FROM reach r JOIN edge e ON e.k = r.k AND e.id = r.id WHERE r.root < e.other),
+  root AS (SELECT k, id, min(root) AS root FROM reach GROUP BY k, id),
+  numbered AS (SELECT k, id, dense_rank() OVER (PARTITION BY k ORDER BY root) - 1 AS cluster_id FROM root),
+  border AS (SELECT n.k, n.id, min(cluster_id) AS cluster_id FROM near n JOIN numbered m ON m.k = n.k AND m.id = n.other GROUP BY n.k, n.id),
+  labelled AS (SELECT eps.k, v.doc_id, v.vec, CAST(coalesce(m.cluster_id, b.cluster_id, -1) AS INTEGER) AS cluster_id
+               FROM v CROSS JOIN eps LEFT JOIN numbered m ON m.k = eps.k AND m.id = v.doc_id
+               LEFT JOIN border b ON b.k = eps.k AND b.id = v.doc_id)"""
+
+
+@query("dbscan_levels", f"WITH RECURSIVE {_SWEPT} SELECT doc_id, k AS eps, cluster_id FROM labelled")
+def dbscan_levels(spark, folder):
+    rows = points(spark, folder)
+    return density_forest.dbscan_at(rows, density_forest.density_forest(rows, SWEEP, MIN_SAMPLES))
+
+
+@query("dbscan_sweep", f"""WITH RECURSIVE {_SWEPT}, {sql.silhouette('labelled', 1)},
+  counted AS (SELECT k, count(DISTINCT cluster_id) AS n FROM labelled GROUP BY k),
+  scored AS (SELECT k, n, CASE WHEN n > 1 THEN silhouette END AS s FROM counted JOIN sil USING (k))
+  SELECT k AS eps, n AS n_clusters, round(s, 6) AS silhouette,
+         s IS NOT NULL AND row_number() OVER (ORDER BY s DESC NULLS LAST, k) = 1 AS best FROM scored""")
 def dbscan_sweep(spark, folder):
-    return density.dbscan_sweep(points(spark, folder), (1.1, 1.15), MIN_SAMPLES)
+    swept = density_forest.dbscan_sweep(points(spark, folder), SWEEP, MIN_SAMPLES)
+    return swept.select("eps", "n_clusters", F.round("silhouette", 6).alias("silhouette"), "best")
 
 
 @query("pairwise_mean_distance", """WITH v AS (SELECT embedding::DOUBLE[] AS vec FROM embeddings)

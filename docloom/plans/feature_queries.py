@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions import text as tx
 from docloom.functions import vector as vx
 from docloom.operators import features
-from docloom.plans import sql
+from docloom.plans import pipeline, sql
 from docloom.plans.registry import query, table
 from docloom.plans.text_queries import documents, tokens
 from docloom.runtime import materialize
@@ -126,6 +126,29 @@ def pca_variance(spark, folder):
     return _long_scores(features.pca_variance(rows, 0.8)[0])
 
 
+COMPONENTS = 1325
+
+
+@query("text_vectors")
+def text_vectors(spark, folder):
+    """From text to reduced vectors, at the full number of terms and components."""
+    return pipeline.text_vectors(documents(spark, folder), COMPONENTS, 4096)[0]
+
+
+@query("pca_tfidf", rf"""
+  WITH runs AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') AS t FROM documents),
+  {sql.vocab(4096, 1, 'runs')},
+  w AS (SELECT doc_id, term, p.tf * (idf + 1.0) AS w FROM postings p JOIN weights USING (term)),
+  unit AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w),
+  middle AS (SELECT term, sum(w) / (SELECT count(*) FROM documents) AS m FROM unit GROUP BY term)
+  SELECT d.doc_id, round(coalesce(own, 0) + (SELECT sum(m * m) FROM middle), 6) AS norm2
+  FROM documents d LEFT JOIN (SELECT doc_id, sum(w * w - 2 * w * m) AS own FROM unit JOIN middle USING (term) GROUP BY doc_id) USING (doc_id)""")
+def pca_tfidf(spark, folder):
+    """Squared lengths of the reduced vectors: whole distances to the mean where there are no more texts than components."""
+    norm = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x)
+    return text_vectors(spark, folder).select("doc_id", F.round(norm, 6).alias("norm2"))
+
+
 def _neighbours(spark, folder):
     """Each vector next to the one with the following id."""
     v = vectors(spark, folder)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import corpus, features, search, topics
+from docloom.operators import corpus, features, search, subspace, topics
 from docloom.operators.language import LanguageModel, detect_language
 from docloom.runtime import materialize
 
@@ -48,6 +48,19 @@ def token_table(df: DataFrame, text: Column | str, words: list[str]) -> DataFram
     )
 
 
+def text_vectors(
+    df: DataFrame, k: int = 1325, max_terms: int = 4096, id_col: str = "doc_id", column: str = "text"
+) -> tuple[DataFrame, subspace.Components]:
+    """From texts to reduced vectors (id, vec): TF-IDF over the most frequent terms, then ``k`` principal components.
+
+    ``k`` is at most the size of the vocabulary.
+    """
+    weighted = materialize(features.tfidf_l2_vectors(df, max_terms, id_col, column), "tfidf")
+    width = weighted.select(F.unwrap_udt("features")["size"].alias("n")).first()["n"]
+    found = subspace.fit(weighted, min(k, width))
+    return subspace.project(weighted, found, id_col), found
+
+
 @dataclass
 class TopicModel:
     """Topics of a clustering with the (doc_id, tokens, cluster_id) rows they rest on."""

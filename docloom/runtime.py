@@ -74,6 +74,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def at_least(df: DataFrame, rows: int, least: int) -> DataFrame:
+    """Fewer partitions where they would hold less than ``least`` of the ``rows`` rows on average.
+
+    For scans whose tasks return a result of fixed size, however few rows they read.
+    """
+    wanted = max(1, rows // least)
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int, row_bytes: int = 64) -> DataFrame:
     """Broadcast ``df`` when its proven row bound makes it small.
 

@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from docloom.operators import components, density
+from docloom.functions import kernels
+from docloom.operators import components, density, density_forest
 
 CUTS = [(None, 2048), (1, 7), (5, 9), (12, 40)]
 
@@ -111,10 +112,46 @@ def test_sampled_mean_of_everything_is_the_mean(spark, vectors, cloud):
     assert got == pytest.approx(gaps(cloud).mean())
 
 
-def test_sweep(spark, vectors, cloud):
-    rows = density.dbscan_sweep(vectors(spark, cloud), [0.5, 100.0], 5).orderBy("eps").collect()
-    assert rows[0]["n_clusters"] == len(set(brute_dbscan(cloud, 0.5, 5)))
-    assert rows[1]["n_clusters"] == 1 and rows[1]["silhouette"] is None
+@pytest.mark.parametrize("anchors,block_rows", CUTS)
+def test_forest_cut_at_every_radius(spark, vectors, cloud, anchors, block_rows):
+    eps = [0.2, 0.35, 0.5, 0.7, 0.9, 1.4, 2.0, 100.0]
+    df = vectors(spark, cloud)
+    forest = density_forest.density_forest(df, eps[::-1], 6, anchors, block_rows)
+    got = {(r["doc_id"], r["eps"]): r["cluster_id"] for r in density_forest.dbscan_at(df, forest).collect()}
+    assert len(got) == len(cloud) * len(eps)
+    for e in eps:
+        assert [got[i, e] for i in range(len(cloud))] == brute_dbscan(cloud, e, 6).tolist(), e
+    cores = {r["id"]: r["core"] for r in forest.points.collect()}
+    assert all(level == sum((gaps(cloud)[i] <= e).sum() < 6 for e in eps) for i, level in cores.items())
+
+
+def test_level_forest_has_fewer_edges_than_nodes():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(60, 2))
+    reach, ids = kernels.levels(x, x, np.array([0.1, 0.3, 0.5, 4.0])), np.arange(60)
+    node, _, level = kernels.level_forest(np.where(ids[:, None] < ids, reach, 4), ids, ids, 4)
+    assert len(node) == 59 and set(level.tolist()) <= {0, 1, 2, 3}
+
+
+@pytest.mark.parametrize("block_rows", [2048, 50])
+def test_sweep(spark, vectors, cloud, block_rows):
+    eps = [0.35, 0.5, 0.9, 100.0]
+    df = vectors(spark, cloud)
+    rows = density_forest.dbscan_sweep(df, eps, 5, block_rows).orderBy("eps").collect()
+    want = []
+    for e, row in zip(eps, rows):
+        label = brute_dbscan(cloud, e, 5)
+        named = spark.createDataFrame(list(enumerate(label.tolist())), "doc_id long, cluster_id int")
+        want.append(density.silhouette_exact(df.join(named, "doc_id")).first()["silhouette"])
+        assert row["n_clusters"] == len(set(label))
+    assert want[-1] is None and rows[-1]["silhouette"] is None
+    assert [r["silhouette"] for r in rows[:-1]] == pytest.approx(want[:-1])
+    assert [r["best"] for r in rows] == [s == max(want[:-1]) for s in want]
+
+
+def test_sweep_of_one_cluster_has_no_best_radius(spark, vectors, cloud):
+    rows = density_forest.dbscan_sweep(vectors(spark, cloud), [100.0, 200.0], 5).collect()
+    assert [r["best"] for r in rows] == [False, False]
 
 
 def test_components(spark):
