@@ -4,15 +4,17 @@ A text is the set of its n-word shingles, each a 64-bit hash; the order of the h
 global n-gram order. Cutting it into fragments cuts every set into segments.
 
 Candidates. Let t be the threshold and d(x) = (1 - t) / t * |x|: no partner of x differs from
-it in more than d(x) shingles, so at most d(x) fragments hold any difference and, in every
-other fragment, both segments are equal. Segments are ranked by their content (longer
-first, then by hash); the best-ranked equal segment is among the first d(x) + 1 of either set.
-Hence two sets that link share at least one of the hashes of their first d + 1 segments:
-no pair is lost, and a set gives about 0.2 rows per shingle at 85 %. The number of fragments
-depends on a size class; a set close to the end of its class also enters the next one.
+it in more than d(x) shingles, so at most d(x) of its s segments hold any difference and the other
+s - d(x), or more, are equal in both. Hence a set with fewer than s - d(x) segments that any other set
+has as well links with nothing; it leaves, its segments become rarer, and further sets may leave. What
+remains ranks its segments by the number of their owners (rarest first, then by hash), an order that
+is the same for all; the best-ranked equal segment of a link is among the first d(x) + 1 of either
+set, so the s - d(x) - 1 most common ones are left out. No pair is lost, and a passage that
+very many texts share joins nobody unless it fills most of them. The number of fragments depends on a
+size class; a set close to the end of its class also enters the next one.
 
 Equal sets are one class from the start (128-bit digest of the set), found by an aggregation
-that combines map-side, so any number of copies costs one row. Sets that share segments form
+that combines map-side, so any number of copies costs one row. Sets that share ranked segments form
 loose groups (components of the bipartite graph, over one edge per membership); every link lies
 inside a loose group.
 
@@ -42,13 +44,14 @@ from docloom.llm.common import by_ids, with_keys
 from docloom.llm.words import LOWER, ODD, hash_words, mix, shingles, texts_of
 from docloom.operators.components import connected_components
 from docloom.operators.corpus import number_within
-from docloom.runtime import BROADCAST_BYTES, materialize
+from docloom.runtime import BROADCAST_BYTES, forget, materialize
 
 CLASS_GROWTH = 1.5  # largest over smallest size in a class
 SPARE = 1.3  # fragments per allowed difference
 PART_BITS = 3  # 2^3 fragments in the counting
 BLOCK = 512  # sets in a block of a loose group
 EXPAND = 2_000_000
+SETTLED = 0.1  # share of memberships that must leave for another look
 
 
 def classes_of(size: int, num: int, den: int) -> list[tuple[int, int]]:
@@ -64,55 +67,60 @@ def classes_of(size: int, num: int, den: int) -> list[tuple[int, int]]:
     return found
 
 
-def segment_hashes(grams: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Hashes of the first d + 1 segments of a set (sorted, distinct 64-bit shingles) in each of its classes."""
+def segment_hashes(grams: np.ndarray, num: int, den: int) -> list[tuple[int, np.ndarray]]:
+    """(needed, hashes of all segments) of a set (sorted, distinct 64-bit shingles) in each of its classes.
+
+    A partner has at least ``needed`` of these segments.
+    """
     size = len(grams)
     allowed = size * (den - num) // num
     if not allowed:  # only an equal set can link
-        return np.empty(0, np.uint64)
+        return []
     out = []
     for c, fragments in classes_of(size, num, den):
         # fragment of a gram: its place in the order of hashes, cut into equal ranges
         place = ((grams >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
         starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        lengths = np.diff(np.r_[starts, size])
         content = mix(np.add.reduceat(mix(grams ^ ODD), starts) + place[starts] * ODD + np.uint64(c))
-        best = np.lexsort((content, -lengths))[: allowed + 1]
-        out.append(content[best])
-        if len(starts) <= allowed:  # a tiny set: empty segments rank last, yet may be all that is equal
+        if len(starts) <= allowed:  # a tiny set: some empty segments may be all that is equal
             empty = np.setdiff1d(np.arange(fragments, dtype=np.uint64), place)
-            out.append(np.sort(mix(empty * ODD + np.uint64(c)))[: allowed + 1 - len(starts)])
-    return np.concatenate(out)
+            content = np.r_[content, np.sort(mix(empty * ODD + np.uint64(c)))[: allowed + 1 - len(starts)]]
+        out.append((max(1, len(starts) - allowed), content))
+    return out
 
 
 def add_sets(docs: DataFrame, n: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, segments): size, digest and candidate hashes of each set. Map-only."""
+    """(doc_id, n_shingles, d1, d2, entries): size, digest and, for each class, (needed, segments). Map-only."""
+    entry = pa.struct([("needed", pa.int32()), ("segments", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = hash_words()
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sizes, first, second, segments = [], [], [], []
+                sizes, first, second, entries = [], [], [], []
                 for text in texts_of(part.column(1)):
                     grams = np.unique(shingles(text.translate(LOWER).split(), n, hashes))
                     sizes.append(len(grams))
                     first.append(int(mix(grams).sum(dtype=np.uint64).view(np.int64)) if len(grams) else 0)
                     second.append(int(mix(grams + ODD).sum(dtype=np.uint64).view(np.int64)) if len(grams) else 0)
-                    segments.append(segment_hashes(grams, num, den).view(np.int64) if len(grams) else np.empty(0, np.int64))
-                ends = np.cumsum([0, *map(len, segments)]).astype(np.int32)
-                flat = np.concatenate(segments) if segments else np.empty(0, np.int64)
+                    entries.append(segment_hashes(grams, num, den) if len(grams) else [])
+                each = [e for own in entries for e in own]
+                values = [np.empty(0, np.int64), *(e[1].view(np.int64) for e in each)]
+                lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, values[1:])], dtype=np.int32), pa.array(np.concatenate(values)))
+                flat = pa.StructArray.from_arrays([pa.array([e[0] for e in each], pa.int32()), lists], fields=list(entry))
+                offsets = np.cumsum([0, *map(len, entries)], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                        pa.ListArray.from_arrays(pa.array(offsets), flat),
                     ],
-                    names=["doc_id", "n_shingles", "d1", "d2", "segments"],
+                    names=["doc_id", "n_shingles", "d1", "d2", "entries"],
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, segments array<long>"
+        run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, entries array<struct<needed:int,segments:array<bigint>>>"
     )
 
 
@@ -242,12 +250,49 @@ def deduplicate(
     return keyed.join(gone, F.col(key) == F.col("_j_gone"), "left_anti").select(*docs.columns)
 
 
+def loose_groups(sets: DataFrame) -> DataFrame:
+    """(_j_id, group) of the sets (doc_id, entries) that may have a partner; written out."""
+    entries = sets.select("doc_id", F.posexplode("entries").alias("which", "entry"))
+    segments = entries.select("doc_id", "which", F.explode("entry.segments").alias("segment"))
+    # all segments move twice, at every size: to count their owners (combined first), and to meet the counts of those with several
+    counted = materialize(segments.groupBy("segment").agg(F.count("*").alias("owners")).where("owners > 1"), "join-shared")
+    members = materialize(segments.join(counted.hint("merge"), "segment"), "join-members")
+    forget(counted)
+    needs = entries.select("doc_id", "which", "entry.needed")
+    held, rows = None, members.count()
+    while True:
+        shared = members.groupBy("doc_id", "which").agg(F.count("*").alias("shared"))
+        chosen = shared.join(needs, ["doc_id", "which"]).where("shared >= needed")
+        before, held = held, materialize(chosen.select("doc_id", "which", (F.col("needed") - 1).alias("spare")), "join-held")
+        if before is not None:
+            forget(before)
+        left = members.drop("owners").join(held.select("doc_id", "which"), ["doc_id", "which"], "left_semi")
+        owners = left.groupBy("segment").agg(F.count("*").alias("owners")).where("owners > 1")
+        fewer = materialize(left.join(owners, "segment"), "join-members")
+        forget(members)
+        members, last, rows = fewer, rows, fewer.count()
+        if rows >= (1 - SETTLED) * last:
+            break
+    # a last look at what every set has left, then its rarest segments
+    ranked = members.groupBy("doc_id", "which").agg(F.sort_array(F.collect_list(F.struct("owners", "segment"))).alias("by"))
+    ranked = ranked.join(held, ["doc_id", "which"]).where(F.size("by") > F.col("spare"))
+    marks = ranked.select("doc_id", F.explode(F.slice("by", F.lit(1), F.size("by") - F.col("spare"))["segment"]).alias("segment"))
+    marks = materialize(marks, "join-marks")
+    low = marks.groupBy("segment").agg(F.min("doc_id").alias("low"))
+    edges = marks.join(low, "segment").where("doc_id <> low").select(F.col("low").alias("src"), F.col("doc_id").alias("dst"))
+    loose = connected_components(edges)
+    grouped = materialize(loose.select(F.col("node").alias("_j_id"), F.col("root").alias("group")), "join-groups")
+    for scratch in (members, held, marks):
+        forget(scratch)
+    return grouped
+
+
 def _components(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n_shingles, component_id) for unique ids."""
     if num * 10 < den * 7:
         raise ValueError("thresholds below 0.7 are not served: partners could be two size classes away")
     sets = materialize(add_sets(docs, n, num, den, id_col, text_col), "join-sets")
-    facts = sets.select("doc_id", "n_shingles", "d1", "d2")
+    facts = materialize(sets.select("doc_id", "n_shingles", "d1", "d2"), "join-facts")
     classes = materialize(
         facts.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep")), "join-classes"
     )
@@ -256,16 +301,8 @@ def _components(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_c
     copies = materialize(facts.join(classes, keys).where("doc_id <> rep").select("doc_id"), "join-copies")
     n_copies = copies.count()
     copies = F.broadcast(copies) if n_copies * 16 <= BROADCAST_BYTES else copies
-    reps = sets.join(copies, "doc_id", "left_anti")
-    segments = reps.select("doc_id", F.explode("segments").alias("segment"))
-    shared = materialize(
-        segments.groupBy("segment").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high"), "join-shared"
-    )
-    small = shared.count()
-    shared = F.broadcast(shared) if small * 64 <= BROADCAST_BYTES else shared
-    edges = segments.join(shared, "segment").where("doc_id <> low").select(F.col("low").alias("src"), F.col("doc_id").alias("dst"))
-    loose = connected_components(edges)
-    grouped = materialize(loose.select(F.col("node").alias("_j_id"), F.col("root").alias("group")), "join-groups")
+    grouped = loose_groups(sets.select("doc_id", "entries").join(copies, "doc_id", "left_anti"))
+    forget(sets)
     few = grouped.count()
     texts = docs.select(F.col(id_col).alias("_j_doc"), F.col(text_col).alias("_j_text"))
     # texts of the grouped documents only; they stay where they are when the ids can be broadcast
@@ -274,8 +311,9 @@ def _components(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_c
     sets_of = gram_sets(texts.join(ids, F.col("_j_doc") == F.col("_j_id"), "left_semi"), n, "_j_doc", "_j_text")
     placed = number_within(grouped, "group", ["_j_id"], "place")
     found = sets_of.join(placed, F.col("id") == F.col("_j_id")).select("group", "place", "id", "grams")
-    links = group_links(materialize(found, "join-grams"), num, den)
-    roots = connected_components(links)
+    grams = materialize(found, "join-grams")
+    roots = connected_components(group_links(grams, num, den))
+    forget(grams)
     named = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "n_shingles", "d1", "d2", F.coalesce("root", "rep").alias("component_id")
     )
