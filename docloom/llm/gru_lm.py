@@ -14,9 +14,10 @@ counts of all others come by a join on the word, where no word can be hot, becau
 were answered before.
 
 Training: every training document gives gradient steps once, truncated back-propagation over ``WINDOW``
-words with carried state. Each partition trains on its own documents, a quarter of them in each of
-``ROUNDS`` rounds, and the parameters are averaged (weighted by tokens) after a round. Up to ``LANES``
-texts are read side by side, fewer where a batch has few. Biases start at the counted shares of
+words with carried state. Documents are dealt by key to shards of about ``SHARD_TOKENS`` words; each shard trains
+by itself, in the order of the keys, on a quarter of its documents in each of ``ROUNDS`` rounds, and the
+parameters are averaged (weighted by tokens, in the order of the shards) after a round. So the network follows from the
+texts alone, not from partitions, batches or executors. Up to ``LANES`` texts are read side by side, fewer where a shard has few. Biases start at the counted shares of
 classes and words, so an untrained network scores like the counts.
 
 Edge cases: null and empty texts have one token, the end; a text of any length is scored whole; rows
@@ -32,6 +33,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,8 @@ CLASSES = HEAD // WIDTH + TAILS
 START = HEAD + TAILS  # input of the first step
 SIZE = 16
 WINDOW = 32
-LANES, LEAST_LANES, GROUPS = 256, 64, 16
+LANES, LEAST_LANES, GROUPS = 384, 64, 12
+SHARD_TOKENS = 8_000_000
 LONE_TOKENS = LANES * WINDOW
 ROUNDS = 4
 RATE = 0.01
@@ -64,10 +67,6 @@ def tail_class(word: bytes) -> int:
 # --- the network -----------------------------------------------------------------------------
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
 @dataclass
 class Network:
     """Parameters: input rows (gates by word), recurrent matrix, class layer, word layer of the head classes."""
@@ -105,27 +104,54 @@ class Network:
         return Network(*out)
 
     def step(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """The state after reading ``ids``."""
-        x, u = self.inputs[ids], h @ self.recur
-        gates = sigmoid(x[:, : 2 * SIZE] + u[:, : 2 * SIZE])
-        z = gates[:, :SIZE]
-        n = np.tanh(x[:, 2 * SIZE :] + gates[:, SIZE:] * u[:, 2 * SIZE :])
-        return n + z * (h - n)
+        """The state after reading ``ids``; features are rows and texts are columns."""
+        u = self._turn @ h
+        g = self._columns.take(ids, axis=1)
+        last = g[2 * SIZE :]
+        g, inner = g[: 2 * SIZE], u[2 * SIZE :]
+        g += u[: 2 * SIZE]
+        np.tanh(g, out=g)  # halves stand in the parameters: the logistic function is (1 + tanh(x / 2)) / 2
+        g += 1
+        g *= 0.5
+        inner *= g[SIZE:]
+        inner += last
+        n = np.tanh(inner, out=inner)
+        out = h - n
+        out *= g[:SIZE]
+        out += n
+        return out
+
+    @cached_property
+    def _columns(self) -> np.ndarray:
+        halved = self.inputs.T.copy()
+        halved[: 2 * SIZE] *= 0.5
+        return np.ascontiguousarray(halved)
+
+    @cached_property
+    def _turn(self) -> np.ndarray:
+        halved = self.recur.T.copy()
+        halved[: 2 * SIZE] *= 0.5
+        return np.ascontiguousarray(halved)
 
     def log_probabilities(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """ln P(class of target | h), plus ln P(word | class, h) for head words."""
-        logits = h @ self.to_class + self.class_bias
+        """ln P(class of target | h), plus ln P(word | class, h) for head words; the columns of ``h`` are states."""
         head = targets < HEAD
         classes = np.where(head, targets // WIDTH, targets - HEAD + HEAD // WIDTH)
-        out = logits[np.arange(len(h)), classes] - _log_sum(logits)
+        logits = self.to_class.T @ h
+        logits += self.class_bias[:, None]
+        out = logits[classes, np.arange(len(targets))] - _log_sum(logits)
         order = np.flatnonzero(head)
-        order = order[np.argsort(classes[order], kind="stable")]
+        order = order[np.argsort(classes[order].astype(np.int16), kind="stable")]
         bounds = np.searchsorted(classes[order], np.arange(HEAD // WIDTH + 1))
+        inner, places = h.take(order, axis=1), targets[order] % WIDTH
+        more = np.empty(len(order), h.dtype)
         for c in range(HEAD // WIDTH):
-            rows = order[bounds[c] : bounds[c + 1]]
-            if len(rows):
-                inner = h[rows] @ self.to_word[c] + self.word_bias[c]
-                out[rows] += inner[np.arange(len(rows)), targets[rows] % WIDTH] - _log_sum(inner)
+            at = slice(bounds[c], bounds[c + 1])
+            if at.start < at.stop:
+                logits = self.to_word[c].T @ inner[:, at]
+                logits += self.word_bias[c][:, None]
+                more[at] = logits[places[at], np.arange(logits.shape[1])] - _log_sum(logits)
+        out[order] += more
         return out
 
     def read(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -133,28 +159,26 @@ class Network:
         order = np.argsort([-len(t) for t in texts], kind="stable")
         lengths = np.array([len(texts[i]) for i in order])
         total = np.zeros(len(texts))
-        state = self.step(np.zeros((len(texts), SIZE), np.float32), np.full(len(texts), START))
+        state = self.step(np.zeros((SIZE, len(texts)), np.float32), np.full(len(texts), START))
+        # all texts in a row, longest first, so that a window is one look-up
+        flat = np.concatenate([texts[i] for i in order]).astype(np.int64) if len(order) else np.empty(0, np.int64)
+        firsts = np.cumsum(lengths) - lengths
         for begin in range(0, int(lengths[0]) if len(lengths) else 0, READ_WINDOW):
             active = int(np.searchsorted(-lengths, -begin))  # texts longer than begin
             width = int(min(READ_WINDOW, lengths[0] - begin))
-            block = np.full((width, active), -1, np.int64)
-            for k in range(active):
-                part = texts[order[k]][begin : begin + width]
-                block[: len(part), k] = part
-            counts = (block >= 0).sum(1)
-            states = []
-            h = state[:active]
-            for t in range(width):
-                h = h[: counts[t]]
+            counts = np.searchsorted(-lengths[:active], -(begin + np.arange(width)))  # texts that have the word of each step
+            targets = [flat[firsts[:c] + begin + t] for t, c in enumerate(counts.tolist())]
+            states, h = [], state[:, :active]
+            for t, c in enumerate(counts.tolist()):
+                h = h[:, :c]
                 states.append(h)
-                h = self.step(h, block[t, : counts[t]])
+                h = self.step(h, targets[t])
             state = h  # of the texts that reach the end of the window
-            flat = np.concatenate(states)
-            targets = np.concatenate([block[t, : counts[t]] for t in range(width)])
+            every, goal = np.concatenate(states, axis=1), np.concatenate(targets)
             owner = np.concatenate([np.arange(c) for c in counts])
-            for at in range(0, len(flat), 65_536):
-                found = self.log_probabilities(flat[at : at + 65_536], targets[at : at + 65_536])
-                total[:active] += np.bincount(owner[at : at + 65_536], found, minlength=active)
+            for at in range(0, len(goal), 16_384):
+                found = self.log_probabilities(every[:, at : at + 16_384], goal[at : at + 16_384])
+                total[:active] += np.bincount(owner[at : at + 16_384], found, minlength=active)
         back = np.empty(len(texts))
         back[order] = total
         return back
@@ -234,8 +258,10 @@ class Network:
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:
-    top = logits.max(1)
-    return top + np.log(np.exp(logits - top[:, None]).sum(1))
+    """Log of the sum of exponentials of each column; overwrites ``logits``."""
+    top = logits.max(0)
+    logits -= top
+    return top + np.log(np.exp(logits, out=logits).sum(0))
 
 
 def _softmax_loss(logits: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, float]:
@@ -386,10 +412,31 @@ class _Lookup(dict):
 # --- Spark jobs ------------------------------------------------------------------------------
 
 
+def _learner(start, rate: float):
+    """Trains on the rows (shard, deal, ids) of one shard from the broadcast parameters; returns its parameters and weight."""
+
+    def learn(table: pa.Table) -> pa.Table:
+        own = Network.fresh(np.zeros(CLASSES), np.zeros(HEAD)).filled(start.value)
+        ids = table.sort_by("deal").column("ids").combine_chunks()
+        part = np.split(ids.flatten().to_numpy(), np.cumsum(ids.value_lengths().to_numpy())[:-1])
+        values, weight = train(own, part, rate).flat(), sum(map(len, part))
+        return pa.table(
+            {
+                "shard": pa.array(np.full(len(values), table.column("shard")[0].as_py(), np.int64)),
+                "at": pa.array(np.arange(len(values), dtype=np.int32)), "value": pa.array(values.astype(float)),
+                "weight": pa.array(np.full(len(values), float(weight))),
+            }
+        )
+
+    return learn
+
+
 def fit(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
     """Train on all rows of (key, text), keys unique: local training in the partitions, averaged after each round."""
     head = words.counts[:HEAD]
     network = Network.fresh(words.class_counts, np.r_[head, np.zeros(HEAD - len(head))])
+    if not rounds:
+        return network
     known = {w: k for k, w in enumerate(words.words[:HEAD])}
 
     def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,34 +448,21 @@ def fit(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, values)], names=["deal", "ids"])
 
     spark = texts.sparkSession
-    learners = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, words.total // SHARD_TOKENS)
     encoded = texts.select(F.xxhash64(texts.columns[0]).alias("deal"), texts.columns[1]).mapInArrow(to_ids, "deal long, ids array<short>")
-    # partitions of all training documents, dealt by key so that copies of a text spread; the same ones in every round
-    encoded = materialize(encoded.repartition(learners, "deal"), "lm-train")
+    # dealt by key, so that copies of a text spread; the same shards in every round
+    encoded = encoded.withColumns({"shard": F.pmod(F.shiftright("deal", 8), F.lit(shards)), "turn": F.pmod("deal", F.lit(rounds))})
+    encoded = materialize(encoded.repartition(shards, "shard"), "lm-train")
     for turn in range(rounds):
-        start = spark.sparkContext.broadcast(network.flat())
-
-        def learn(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
-            own = Network.fresh(np.zeros(CLASSES), np.zeros(HEAD)).filled(start.value)
-            weight = 0
-            for batch in batches:
-                ids = batch.column(0)
-                part = np.split(ids.flatten().to_numpy(), np.cumsum(ids.value_lengths().to_numpy())[:-1]) if len(ids) else []
-                weight += sum(map(len, part))
-                own = train(own, part, RATE * (1 - turn / rounds)) if part else own
-            if weight:
-                values = own.flat()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values.astype(float) * weight), pa.array(np.full(len(values), weight, np.int64))],
-                    names=["at", "value", "weight"],
-                )
-
-        mine = encoded.where(F.pmod("deal", F.lit(rounds)) == turn).select("ids")
-        averaged = mine.mapInArrow(learn, "at int, value double, weight long").groupBy("at").agg(
-            (F.sum("value") / F.sum("weight")).alias("value")
-        )
+        learn = _learner(spark.sparkContext.broadcast(network.flat()), RATE * (1 - turn / rounds))
+        mine = encoded.where(F.col("turn") == turn).select("shard", "deal", "ids")
+        learned = mine.groupBy("shard").applyInArrow(learn, "shard long, at int, value double, weight double")
+        # summed in the order of the shards: the same bits on every cluster
+        parts = learned.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("shard", "value", "weight"))).alias("p"))
+        zero = F.lit(0.0)
+        mean = F.aggregate("p", zero, lambda a, x: a + x["value"] * x["weight"]) / F.aggregate("p", zero, lambda a, x: a + x["weight"])
         values = network.flat()
-        for row in averaged.collect():  # as many rows as parameters
+        for row in parts.select("at", mean.alias("value")).collect():  # as many rows as parameters
             values[row["at"]] = row["value"]
         network = network.filled(values)
     return network

@@ -77,7 +77,7 @@ def test_training_helps():
 
 def test_probabilities_sum_to_one():
     net = network(7)
-    h = np.random.default_rng(8).normal(size=(1, G.SIZE)).astype(np.float32)
+    h = np.random.default_rng(8).normal(size=(G.SIZE, 1)).astype(np.float32)
     total = sum(math.exp(net.log_probabilities(h, np.array([t]))[0]) for t in range(G.START))
     assert abs(total - 1) < 1e-4
 
@@ -152,3 +152,33 @@ def test_every_training_row_gives_steps(spark, monkeypatch):
         wanted = [(t or "").encode() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
         assert (seen.value, tokens.value) == (len(wanted), sum(len(t.split()) + 1 for t in wanted)) and len(wanted)
         assert out.count() == len(rows)
+
+
+def test_scores_do_not_depend_on_the_session(spark, monkeypatch):
+    """Neither shuffle partitions, Arrow batches nor the layout of the table change the network."""
+    monkeypatch.setattr(G, "SHARD_TOKENS", 9_000)  # several shards
+    docs = spark.createDataFrame(sample(), "doc_id long, text string")
+    scores, names = [], ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for values, parts in ((("4", "10000"), 3), (("64", "10000"), 3), (("5", "17"), 7)):
+            for n, v in zip(names, values):
+                spark.conf.set(n, v)
+            got = G.score_documents(docs.repartition(parts), crc_mod(F.col("doc_id"), 7) != 2).collect()
+            scores.append({r["doc_id"]: r["score"] for r in got})
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    for other in scores[1:]:
+        assert all(math.isclose(scores[0][i], other[i], rel_tol=1e-5) for i in scores[0])
+
+
+def test_trained_network_beats_the_untrained_one_on_held_out_texts(spark, monkeypatch):
+    rng = random.Random(4)
+    phrases = [[f"w{rng.randrange(300)}" for _ in range(6)] for _ in range(25)]
+    rows = [(i, " ".join(w for _ in range(rng.randint(3, 12)) for w in rng.choice(phrases))) for i in range(700)]
+    docs, learned = spark.createDataFrame(rows, "doc_id long, text string"), crc_mod(F.col("doc_id"), 7) != 2
+    trained = G.score_documents(docs, learned).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
+    monkeypatch.setattr(G.fit, "__defaults__", (0,))
+    plain = G.score_documents(docs, learned).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
+    assert trained[0] / trained[1] > plain[0] / plain[1] + 0.05
