@@ -2,8 +2,8 @@
 
 ``write_archive`` gives every row a WARC/1.0 record. The exact bytes of each record's
 header go to ``headers``; payload bytes go to ``payloads``, once for each SHA-256 digest.
-``read_archive`` joins the two, verifies both digests of every stored payload, and can put
-the original record bytes together again.
+``read_archive`` joins the two and verifies both digests of every stored payload; ``record_bytes``
+puts the original records together again, and ``rebuilt`` takes a record's facts from those bytes.
 
 A payload of at least ``min_revisit`` bytes that occurs more than once has one response (the
 largest id) and revisit records; smaller ones are all responses, yet their bytes are stored
@@ -14,7 +14,8 @@ so a payload that a third of the rows share is no hot group), and the rows that
 store their payload are taken out by an anti-join on ids.
 
 Edge cases: a null or empty payload is the empty payload; null URLs give an empty target
-URI; every row is a record of its own, also when its id is null or repeats (records are then told
+URI; a carriage return or line feed in a URL is percent-encoded, any other character stays, and a header is cut at
+CRLF only, so that no URL can look like a field; every row is a record of its own, also when its id is null or repeats (records are then told
 apart by numbers, and a null id is written as ``-``); an empty table gives an empty archive;
 further columns of the input are ignored.
 """
@@ -50,7 +51,7 @@ def _header(date: str) -> Column:
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", name("page_id")),
         line("WARC-Date", F.lit(date)),
-        line("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "")),
+        line("WARC-Target-URI", F.replace(F.replace(F.coalesce("url", F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(
@@ -120,17 +121,19 @@ def read_archive(spark: SparkSession, folder: str, payloads: bool = True) -> Dat
         *(["payload"] if payloads else []),
     )
     headers = spark.read.parquet(f"{folder}/headers")
-    text = F.decode("header", "UTF-8")
+    lines = F.split(F.decode("header", "UTF-8"), CRLF)
 
-    def field(name, pattern):
-        return F.regexp_extract(text, rf"(?m)^{name}: {pattern}$", 1)
+    def field(name):
+        found = F.get(F.filter(lines, lambda x: F.startswith(x, F.lit(f"{name}: "))), F.lit(0))
+        return F.substr(found, F.lit(len(name) + 3))
+
+    def page(name):
+        return F.nullif(F.regexp_extract(field(name), r"\A<urn:page:(-?[0-9]+)>\z", 1), F.lit("")).cast("long")
 
     parsed = headers.select(
-        F.nullif(field("WARC-Record-ID", "<urn:page:(-?[0-9]+)>"), F.lit("")).cast("long").alias("page_id"),
-        field("WARC-Target-URI", "(.*)").alias("url"),
-        field("WARC-Type", "([a-z]+)").alias("record_type"),
-        F.nullif(field("WARC-Refers-To", "<urn:page:(-?[0-9]+)>"), F.lit("")).cast("long").alias("refers_to"),
-        field("WARC-Payload-Digest", "sha1:([0-9a-f]{40})").alias("named"),
+        page("WARC-Record-ID").alias("page_id"), field("WARC-Target-URI").alias("url"),
+        field("WARC-Type").alias("record_type"), page("WARC-Refers-To").alias("refers_to"),
+        F.substr(field("WARC-Payload-Digest"), F.lit(len("sha1:") + 1)).alias("named"),
         "digest", "header",
     )
     joined = parsed.join(stored, "digest", "left")
@@ -148,9 +151,27 @@ def record_bytes(records: DataFrame) -> DataFrame:
     return records.select("page_id", F.concat("header", end, block, end, end).alias("record"))
 
 
+def rebuilt(records: DataFrame) -> DataFrame:
+    """Records with ``record``, their original bytes, and the facts of the payload found in these bytes.
+
+    The block is cut out of the rebuilt bytes by the length that the header states. A response must have the digest that
+    its header names; a revisit, whose block is empty, has the facts of the stored payload that it stands for.
+    """
+    end = F.lit(CRLF.encode())
+    response = F.col("record_type") != "revisit"
+    block = F.when(response, F.col("payload")).otherwise(F.lit(b""))
+    rows = records.withColumn("record", F.concat("header", end, block, end, end))
+    stated = F.regexp_extract(F.decode("header", "UTF-8"), r"\r\nContent-Length: ([0-9]+)\r\n\z", 1).cast("int")
+    cut = F.substr("record", F.octet_length("header") + len(CRLF) + 1, stated)
+    sound = F.sha1(cut) == F.col("payload_digest")
+    digest = F.when(~response | sound, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a rebuilt block is not its payload")))
+    size = F.when(response, F.octet_length(cut).cast("long")).otherwise(F.col("payload_bytes"))
+    return rows.withColumns({"payload_bytes": size, "payload_digest": digest})
+
+
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write ``pages`` to an archive (in the shared folder unless one is named) and read its records back."""
+    """Write ``pages`` to an archive (in the shared folder unless one is named), read it and rebuild its records."""
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
     write_archive(pages, folder)
-    return read_archive(spark, folder, payloads=False)
+    return rebuilt(read_archive(spark, folder))

@@ -68,3 +68,29 @@ def test_empty_table_and_odd_ids(spark, tmp_path):
         (0, "response", 0), (0, "revisit", 3), (0, "revisit", 3), (3, "response", 0), (3, "revisit", 3), (5, "response", 0)
     ]
     assert spark.read.parquet(f"{tmp_path}/n/payloads").count() == 3
+
+
+def test_no_url_looks_like_a_field(spark, tmp_path):
+    marks = ["\u0085", "\u2028", "\u2029", "\r", "\n", "\r\n", "\x0b", "\x0c", "%0D", " "]
+    fake = "WARC-Payload-Digest: sha1:" + "0" * 40
+    rows = [(k, f"http://a/{m}WARC-Refers-To: <urn:page:2>{m}{fake}{m}Content-Length: 7{m}", f"<p>{k}</p>{m}é") for k, m in enumerate(marks)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r["page_id"]: r for r in warc.archive_pages(frame, f"{tmp_path}/a").collect()}
+    for k, url, html in rows:
+        r, payload, want = out[k], html.encode(), url.replace("\r", "%0D").replace("\n", "%0A")
+        assert (r["url"], r["record_type"], r["refers_to"]) == (want, "response", None)
+        assert r["payload_bytes"] == len(payload) and r["payload_digest"] == hashlib.sha1(payload).hexdigest()
+        lines = [
+            "WARC/1.0", "WARC-Type: response", f"WARC-Record-ID: <urn:page:{k}>", f"WARC-Date: {warc.DATE}", f"WARC-Target-URI: {want}",
+            "Content-Type: text/html; charset=utf-8", f"WARC-Payload-Digest: sha1:{hashlib.sha1(payload).hexdigest()}", f"Content-Length: {len(payload)}",
+        ]
+        assert bytes(r["record"]) == "\r\n".join([*lines, "", ""]).encode() + payload + b"\r\n\r\n"
+
+
+def test_rebuilt_facts(spark, tmp_path):
+    rows, frame = pages(spark)
+    out = {r["page_id"]: r for r in warc.archive_pages(frame, f"{tmp_path}/a").collect()}
+    for i, _, html, _ in rows:
+        payload = (html or "").encode()
+        assert out[i]["payload_bytes"] == len(payload) and out[i]["payload_digest"] == hashlib.sha1(payload).hexdigest()
+        assert bytes(out[i]["record"]).endswith((payload if out[i]["record_type"] == "response" else b"") + b"\r\n\r\n")
