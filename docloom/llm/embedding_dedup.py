@@ -2,9 +2,15 @@
 
 In every pass each vector gets a key: the signs of random projections, concatenated. Sorting
 by the key puts close vectors next to each other; each is compared with the ``WINDOW``
-rows that follow it, and pairs with a cosine of ``least`` or more are kept. The number of passes
-grows with the input so that a pair at the threshold is missed by all of them with probability
-``MISS`` at most. Verified pairs of all passes are united into components.
+rows that follow it, and pairs with a cosine of ``least`` or more are kept, as a spanning forest of each run
+of rows. Verified pairs of all passes are united into components.
+
+How many passes a vector needs follows from the density around it, which every pass measures: a partner at the
+threshold shares the first m signs with probability (1 - angle / pi)^m, and the signs that a row shares with the
+rows at either end of its window say how many are enough to meet it there. A row leaves when the chance that all its passes missed a
+partner is below ``MISS``. The first round has as many passes as evenly spread vectors need. Rows that are left, those of dense
+regions, go through further rounds among themselves with windows that widen by ``WIDEN``; a partner that left
+earlier has met them with its own certainty. What windows of ``WIDEST`` rows leave is compared completely, in blocks.
 
 Windows bound the work of a pass, not the result: every component is compared within itself
 completely afterwards, as pairs of blocks of at most ``BLOCK`` vectors that return one count per
@@ -39,6 +45,8 @@ MISS = 0.005
 BLOCK = 1024
 KEY_BITS = 32
 SEED = 11
+WIDEN, WIDEST, MORE_PASSES = 4, 4096, 12
+SURE = -50.0  # log of the chance to miss a partner that cannot be missed
 
 
 def passes_for(n: int, least: float, window: int = WINDOW, miss: float = MISS) -> int:
@@ -79,7 +87,7 @@ def _by_length(batch: pa.RecordBatch, column: int):
         yield int(d), np.flatnonzero(lengths == d)
 
 
-def projection_keys(units: DataFrame, passes: int) -> DataFrame:
+def projection_keys(units: DataFrame, passes: int, turn: int = 0) -> DataFrame:
     """(pass, key, id, vec), one row for each vector and pass; the key orders as the signs in a row do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +97,7 @@ def projection_keys(units: DataFrame, passes: int) -> DataFrame:
                 part = batch.take(pa.array(rows))
                 x = _matrix(part.column(1))
                 if d not in planes:
-                    planes[d] = np.random.default_rng(SEED + d).normal(size=(passes, d, KEY_BITS))
+                    planes[d] = np.random.default_rng([SEED + d, turn]).normal(size=(passes, d, KEY_BITS))
                 for p in range(passes):
                     signs = (x @ planes[d][p] >= 0).astype(np.int64)
                     key = signs @ (1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))
@@ -102,47 +110,139 @@ def projection_keys(units: DataFrame, passes: int) -> DataFrame:
     return units.select("id", "vec").mapInArrow(run, f"pass long, key long, id {kind}, vec array<double>")
 
 
-def window_pairs(keyed: DataFrame, least: float, window: int = WINDOW) -> DataFrame:
-    """(src, dst) of close rows in sorted order, with repeats across passes.
+def shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leading bits that two keys have in common."""
+    return KEY_BITS - np.frexp((a ^ b).astype(np.float64))[1]
+
+
+def log_miss(keys: np.ndarray, window: int, least: float, open_start: bool, open_end: bool) -> np.ndarray:
+    """For each row of a sorted run, log of the chance that a partner at cosine ``least`` is outside its window.
+
+    A partner whose first other sign is the d-th lies after the row if the row's own d-th sign is 0, else before it. It is inside the
+    window if d exceeds the signs shared with the row at that end. Beyond an open end of the run nothing is known.
+    """
+    n, agree = len(keys), 1 - math.acos(least) / math.pi
+    unknown = KEY_BITS
+    after, before = np.full(n, unknown if open_end else -1), np.full(n, unknown if open_start else -1)
+    if n > window:
+        after[:-window] = before[window:] = shared_bits(keys[:-window], keys[window:])
+    meet = agree ** (KEY_BITS * 1.0) * ((after < KEY_BITS) & (before < KEY_BITS))
+    for d in range(KEY_BITS):
+        ends = np.where((keys >> (KEY_BITS - 1 - d)) & 1, before, after)
+        meet = meet + agree**d * (1 - agree) * (d > ends)
+    with np.errstate(divide="ignore"):
+        return np.maximum(np.log1p(-np.minimum(meet, 1.0)), SURE)
+
+
+def forest(rows: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, smallest row of its component) where they differ: as connected as the pairs, with less than one edge a row."""
+    label = np.arange(rows)
+    while True:
+        low = np.minimum(label[i], label[j])
+        after = label.copy()
+        np.minimum.at(after, i, low)
+        np.minimum.at(after, j, low)
+        after = after[after]
+        if np.array_equal(after, label):
+            break
+        label = after
+    moved = np.flatnonzero(label != np.arange(rows))
+    return moved, label[moved]
+
+
+def window_links(keyed: DataFrame, least: float, window: int = WINDOW) -> DataFrame:
+    """Two kinds of rows: (src, dst) of close rows in sorted order, and (src, null, miss): the ``log_miss`` of a row in a pass.
 
     Rows are range-partitioned by (pass, key, id). A window does not reach over the end of a
-    partition, which touches ``window`` rows per partition and is made up for by other passes.
+    partition; rows there know it, and other passes make up for it.
     """
 
+    def work(batch: pa.RecordBatch, first: int, last: int, ended: bool) -> Iterator[pa.RecordBatch]:
+        """Rows first to last of a buffer that holds their windows, as far as this partition has them."""
+        passes, keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+        source, target, own_rows, miss = [], [], [], []
+        bounds = np.flatnonzero(np.r_[True, passes[1:] != passes[:-1], True])
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            begin, stop = max(lo, first), min(hi, last)
+            if begin >= stop:
+                continue
+            x = _matrix(batch.column(3).slice(lo, hi - lo))
+            found = []
+            for at in range(begin - lo, stop - lo, 256):
+                own, near = x[at : min(at + 256, stop - lo)], x[at : at + 256 + window]
+                i, j = np.nonzero(own @ near.T >= least - 1e-9)
+                good = (j > i) & (j - i <= window)
+                i, j = i[good] + at, j[good] + at
+                exact = np.einsum("ij,ij->i", x[i], x[j]) >= least
+                found.append((i[exact], j[exact]))
+            i, j = (np.concatenate(side) for side in zip(*found))
+            row, root = forest(hi - lo, i, j)
+            source.append(row + lo)
+            target.append(root + lo)
+            own_rows.append(np.arange(begin, stop))
+            miss.append(log_miss(keys[lo:hi], window, least, lo == 0, ended and hi == batch.num_rows)[begin - lo : stop - lo])
+        if source:
+            pairs, alone = np.concatenate(source), np.concatenate(own_rows)
+            links = ids.take(pa.array(np.concatenate([pairs, alone])))
+            others = pa.concat_arrays([ids.take(pa.array(np.concatenate(target))), pa.nulls(len(alone), ids.type)])
+            misses = pa.concat_arrays([pa.nulls(len(pairs), pa.float64()), pa.array(np.concatenate(miss))])
+            yield pa.RecordBatch.from_arrays([links, others, misses], names=["src", "dst", "miss"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
+        buffer, done = None, 0
         for batch in batches:
-            if tail is not None:
-                batch = pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
-            seen = 0 if tail is None else tail.num_rows
-            source, target = [], []
-            passes = batch.column(0).to_numpy()
-            bounds = np.flatnonzero(np.r_[True, passes[1:] != passes[:-1], True])
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                x = _matrix(batch.column(3).slice(lo, hi - lo))
-                for at in range(0, hi - lo, 256):
-                    own, near = x[at : at + 256], x[at : at + 256 + window]
-                    i, j = np.nonzero(own @ near.T >= least - 1e-9)
-                    good = (j > i) & (j - i <= window) & (j + at + lo >= seen)
-                    i, j = i[good] + at, j[good] + at
-                    exact = np.einsum("ij,ij->i", x[i], x[j]) >= least
-                    source.append(i[exact] + lo)
-                    target.append(j[exact] + lo)
-            ids = batch.column(2)
-            take = [pa.array(np.concatenate(part)) for part in (source, target)]
-            yield pa.RecordBatch.from_arrays([ids.take(take[0]), ids.take(take[1])], names=["src", "dst"])
-            tail = batch.slice(max(0, batch.num_rows - window))
+            if buffer is not None:
+                batch = pa.Table.from_batches([buffer, batch]).combine_chunks().to_batches()[0]
+            last = max(done, batch.num_rows - window)
+            yield from work(batch, done, last, False)
+            cut = max(0, last - window)
+            buffer, done = batch.slice(cut), last - cut
+        if buffer is not None:
+            yield from work(buffer, done, buffer.num_rows, True)
 
     kind = keyed.schema["id"].dataType.simpleString()
     ordered = keyed.repartitionByRange("pass", "key", "id").sortWithinPartitions("pass", "key", "id")
-    return ordered.mapInArrow(run, f"src {kind}, dst {kind}")
+    return ordered.mapInArrow(run, f"src {kind}, dst {kind}, miss double")
+
+
+def find_links(classes: DataFrame, n: int, least: float) -> DataFrame:
+    """(src, dst): links of (id, vec), ``n`` rows, that connect what is close; rounds until no row may have missed a partner."""
+    active, window, turn, found, size = classes.select("id", "vec"), WINDOW, 0, None, n
+    while size > 1 and window <= WIDEST:
+        passes = passes_for(size, least) if turn == 0 else MORE_PASSES
+        links = materialize(window_links(projection_keys(active, passes, turn), least, window), "vec-links")
+        pairs = links.where("dst IS NOT NULL").select("src", "dst").distinct()
+        found = pairs if found is None else found.unionByName(pairs)
+        missed = links.where("dst IS NULL").groupBy("src").agg(F.sum("miss").alias("miss")).where(F.col("miss") > math.log(MISS))
+        left = materialize(missed.select(F.col("src").alias("id")), "vec-left")
+        size = left.count()
+        active = materialize(active.join(left, "id"), "vec-active") if size else active.limit(0)
+        window, turn = window * WIDEN, turn + 1
+    if size > 1:
+        rest = number_within(active.withColumn("root", F.size("vec")), "root", ["id"], "place").withColumn("copies", F.lit(1))
+        pairs = _in_blocks(rest, _block_forest(least), "src {0}, dst {0}")
+        found = pairs if found is None else found.unionByName(pairs)
+    kind = classes.schema["id"].dataType.simpleString()
+    return found if found is not None else classes.sparkSession.createDataFrame([], f"src {kind}, dst {kind}")
+
+
+def _block_forest(least: float):
+    def run(table: pa.Table) -> pa.Table:
+        block, x = table.column("block").to_numpy(), _matrix(table.column("vec").combine_chunks())
+        first = np.flatnonzero(block == table.column("b1")[0].as_py())
+        second = np.flatnonzero(block == table.column("b2")[0].as_py())
+        i, j = np.nonzero(x[first] @ x[second].T >= least)
+        row, root = forest(len(x), first[i], second[j])
+        ids = table.column("id").combine_chunks()
+        return pa.table({"src": ids.take(pa.array(row)), "dst": ids.take(pa.array(root))})
 
+    return run
 
-def _links_in_blocks(members: DataFrame, least: float) -> DataFrame:
-    """(id, links): links to members of the same component, counting copies. Rows: (root, place, id, vec, copies).
 
-    A component of b blocks is b * (b + 1) / 2 tasks of two blocks each; a task returns a
-    count per vector.
+def _in_blocks(members: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` on every pair of blocks of a component. Rows: (root, place, id, vec, copies).
+
+    A component of b blocks is b * (b + 1) / 2 tasks of two blocks each.
     """
     rows = members.withColumn("block", F.floor(F.col("place") / BLOCK).cast("int"))
     sizes = rows.groupBy("root").agg(F.max("block").alias("last"))
@@ -152,6 +252,12 @@ def _links_in_blocks(members: DataFrame, least: float) -> DataFrame:
         "root", one, F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"), F.col("block").alias("mine")
     )
     paired = paired.select("root", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"), "row.*")
+    kind = members.schema["id"].dataType.simpleString()
+    return paired.groupBy("root", "b1", "b2").applyInArrow(run, schema.format(kind))
+
+
+def _links_in_blocks(members: DataFrame, least: float) -> DataFrame:
+    """(id, links): links to members of the same component, counting copies. A task returns a count per vector."""
 
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block").to_numpy()
@@ -172,9 +278,7 @@ def _links_in_blocks(members: DataFrame, least: float) -> DataFrame:
             links.append(pa.array(counted.astype(np.int64)))
         return pa.table({"id": pa.concat_arrays(ids), "links": pa.concat_arrays(links)})
 
-    kind = members.schema["id"].dataType.simpleString()
-    counted = paired.groupBy("root", "b1", "b2").applyInArrow(run, f"id {kind}, links long")
-    return counted.groupBy("id").agg(F.sum("links").alias("links"))
+    return _in_blocks(members, run, "id {}, links long").groupBy("id").agg(F.sum("links").alias("links"))
 
 
 def link_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -195,9 +299,7 @@ def _link(vectors: DataFrame, least: float, id_col: str, vec_col: str) -> DataFr
         units.groupBy("digest", "vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "vec-classes"
     )
     n = classes.count()
-    keyed = projection_keys(classes, passes_for(n, least))
-    pairs = materialize(window_pairs(keyed, least).distinct(), "vec-pairs")
-    roots = materialize(connected_components(pairs), "vec-roots")
+    roots = materialize(connected_components(find_links(classes, n, least)), "vec-roots")
     joined = materialize(classes.join(roots, F.col("id") == F.col("node")).select("root", "id", "vec", "copies"), "vec-members")
     links = materialize(_links_in_blocks(number_within(joined, "root", ["id"], "place"), least), "vec-links")
     named = classes.join(links, "id", "left").join(roots, F.col("id") == F.col("node"), "left").select(

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from docloom.llm import embedding_dedup as E
 
@@ -59,6 +60,72 @@ def test_window_over_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def dense_table(n, inner, dim=64, planted=150, seed=8):
+    """A third of the rows in one region with this cosine among each other, pairs at 0.92 in it, the rest spread evenly."""
+    rng = np.random.default_rng(seed)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    centre, hot = unit(rng.normal(size=(1, dim))), n // 3
+    aside = unit(rng.normal(size=(hot, dim)) - (rng.normal(size=(hot, dim)) @ centre.T) * centre)
+    x = np.vstack([unit(centre * math.sqrt(inner) + aside * math.sqrt(1 - inner)), unit(rng.normal(size=(n - hot, dim)))])
+    near = unit(rng.normal(size=(planted, dim)))
+    near = unit(near - (near * x[:planted]).sum(1, keepdims=True) * x[:planted])
+    return np.vstack([x, x[:planted] * 0.92 + near * math.sqrt(1 - 0.92**2)])
+
+
+@pytest.mark.parametrize("inner", [0.7, 0.8, 0.85])
+def test_recall_in_a_dense_region(spark, inner):
+    x = dense_table(9000, inner)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in E.link_vectors(frame, 0.9).collect()}
+    pairs = [(i + k, j) for k in range(0, len(x), 1000) for i, j in zip(*np.nonzero(x[k : k + 1000] @ x.T >= 0.9)) if i + k < j]
+    assert len(pairs) >= 150
+    joined = [got[i][1] == got[j][1] for i, j in pairs]
+    assert np.mean(joined) >= 0.99
+    counts = np.bincount(np.array(pairs).ravel(), minlength=len(x))
+    assert np.mean([got[i][0] == counts[i] for i in range(len(x))]) >= 0.995
+
+
+def test_rows_of_the_last_round_are_compared_completely(spark, monkeypatch):
+    monkeypatch.setattr(E, "WIDEST", 1)
+    monkeypatch.setattr(E, "BLOCK", 16)
+    rows = sample(6)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in E.link_vectors(frame, 0.9).collect()}
+    assert got == brute(rows, 0.9)
+
+
+def test_chance_to_miss_is_that_of_random_partners():
+    """Keys of random partners at the threshold fall out of the window about as often as said."""
+    rng, dim, n, window = np.random.default_rng(3), 32, 4000, 24
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    planes = rng.normal(size=(dim, E.KEY_BITS))
+    bits = 1 << np.arange(E.KEY_BITS - 1, -1, -1, dtype=np.int64)
+    keys = np.sort((x @ planes >= 0) @ bits)
+    order = np.argsort((x @ planes >= 0) @ bits, kind="stable")
+    said = np.exp(E.log_miss(keys, window, 0.9, False, False))
+    other = rng.normal(size=(n, dim))
+    other -= (other * x[order]).sum(1, keepdims=True) * x[order]
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    partner = (x[order] * 0.9 + other * math.sqrt(1 - 0.81)) @ planes >= 0
+    gap = np.abs(np.searchsorted(keys, partner @ bits) - np.arange(n))
+    assert abs((gap > window).mean() - said.mean()) < 0.05 and (gap > window).mean() < said.mean() + 0.02
+
+
+def test_forest_connects_what_the_pairs_do():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        i, j = rng.integers(0, 40, size=(2, 30))
+        row, root = E.forest(40, i, j)
+        assert len(set(row.tolist())) == len(row) and (root < row).all()
+        label = np.arange(40)
+        label[row] = root
+        assert (label[i] == label[j]).all() and (label[label] == label).all()
+
+
 def test_passes_grow_with_the_input():
     assert E.passes_for(10, 0.9) < E.passes_for(10**5, 0.9) < E.passes_for(10**9, 0.9) < 1000
 
