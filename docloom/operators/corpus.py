@@ -48,7 +48,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     counted: while they are few they are broadcast and the rows stay where they are.
     """
     names = [f"_k{i}" for i in range(len(keys))]
-    digests = df.select(id_col, *_fingerprint(keys))
+    digests = materialize(df.select(id_col, *_fingerprint(keys)), "digests")
     first = digests.groupBy(*names).agg(F.min(id_col).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
     same = [F.col(f"{n}").eqNullSafe(F.col(f"{n}_of")) for n in names]
     right = first.select(*[F.col(n).alias(f"{n}_of") for n in names], "_first")

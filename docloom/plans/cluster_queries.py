@@ -128,7 +128,7 @@ def gmm_m_step(spark, folder):
 
 @query("lda_cluster")
 def lda_cluster(spark, folder):
-    return cluster.lda(tokens(spark, folder), k=20).assignments.select("doc_id", "cluster_id")
+    return cluster.lda(tokens(spark, folder)).assignments.select("doc_id", "cluster_id")
 
 
 @query("lda_sweep")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,30 +64,41 @@ def text_vectors(
 
 @dataclass
 class TopicModel:
-    """Topics of a clustering with the (doc_id, tokens, cluster_id) rows they rest on."""
+    """Topics of a clustering with the (doc_id, tokens, cluster_id) rows they rest on.
+
+    ``known`` are the clusters, ``top`` and ``taggings`` their ``m`` best terms, found on first use.
+    """
 
     tokens: DataFrame
     topics: DataFrame
-    top: DataFrame
-    taggings: DataFrame
+    known: DataFrame
     vocab: DataFrame
     documents: int
+    m: int
+
+    @cached_property
+    def top(self) -> DataFrame:
+        return materialize(topics.top_terms(self.topics, self.m, self.known, self.vocab), "top-terms")
+
+    @property
+    def taggings(self) -> DataFrame:
+        return topics.taggings(self.top)
 
 
 def describe_clusters(
     tokens: DataFrame, clusters: DataFrame, m: int, max_terms: int = 5000, min_df: int = 5
 ) -> TopicModel:
-    """(doc_id, tokens) and (doc_id, cluster_id) to topics and the ``m`` best tags per cluster."""
-    attached = materialize(
-        topics.attach_clusters(corpus.clean_tokens(tokens.select("doc_id", "tokens")), clusters),
-        "tokens",
-    )
+    """(doc_id, tokens) and (doc_id, cluster_id) to topics and the ``m`` best tags per cluster.
+
+    The tokens are computed and written once, rows without any included: their clusters are known too.
+    """
+    cleaned = tokens.select("doc_id", tx.drop_empty(tx.drop_numeric(F.col("tokens"))).alias("tokens"))
+    stored = materialize(topics.attach_clusters(cleaned, clusters), "tokens")
+    attached = stored.where(F.size("tokens") > 0)
     documents = attached.count()
     vocab = features.build_vocab(features.term_stats(attached), max_terms, min_df)
     table = materialize(topics.cluster_topics(attached, vocab, documents, max_terms), "topics")
-    known = topics.attach_clusters(tokens.select("doc_id"), clusters).select("cluster_id").distinct()
-    top = materialize(topics.top_terms(table, m, known, vocab), "top-terms")
-    return TopicModel(attached, table, top, topics.taggings(top), vocab, documents)
+    return TopicModel(attached, table, stored.select("cluster_id").distinct(), vocab, documents, m)
 
 
 def search_text(query: str, tags: DataFrame, n: int = 5, dim: int = 64) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import corpus, language
+from docloom.operators import corpus, language, lemmas
 from docloom.plans import sql
 from docloom.plans.pipeline import token_table
 from docloom.plans.registry import query, table
-from docloom.runtime import spread
+from docloom.runtime import materialize, spread
 
 # Lemma table of the check: a null lemma keeps the surface form.
 LEMMAS = [("the", "The "), ("and", "und"), ("thes", "the"), ("les", "le"), ("des", "de"), ("her", None), ("ing", "")]
@@ -163,3 +163,53 @@ def detect_language(spark, folder):
     return language.detect_language(papers, model).select(
         "doc_id", "language", F.round("score", 4).alias("score")
     )
+
+
+# Endings that are taken off where what remains is a word of the corpus too
+ENDINGS = ("s", "es", "e", "en", "er", "ing", "tion", "ment")
+_HALF = f"{sql.md5_number('token')} % 2"
+_PAIRS = f"""WITH {sql.TOKENS},
+  voc AS (SELECT DISTINCT unnest(t) AS token FROM tokens),
+  ends(e) AS (VALUES {', '.join(f"('{e}')" for e in ENDINGS)}),
+  cut AS (SELECT token, e, substr(token, 1, length(token) - length(e)) AS stem FROM voc JOIN ends ON suffix(token, e) AND length(token) - length(e) >= 3),
+  stems AS (SELECT token, arg_max(stem, length(e)) AS lemma FROM cut WHERE stem IN (SELECT token FROM voc) GROUP BY token),
+  pairs AS (SELECT token, coalesce(lemma, token) AS lemma FROM voc LEFT JOIN stems USING (token) WHERE {_HALF} = 0),
+  votes AS (SELECT ending, replacement, count(*) AS support FROM (
+              SELECT substr(token, length(lemma) - m + 1) AS ending, substr(lemma, length(lemma) - m + 1) AS replacement
+              FROM pairs, range(0, {lemmas.CONTEXT + 1}) r(m) WHERE m <= length(lemma)) WHERE length(ending) <= {lemmas.LONGEST} GROUP BY ALL),
+  totals AS (SELECT right(token, n) AS ending, count(*) AS total FROM pairs, range(0, {lemmas.LONGEST + 1}) r(n) WHERE n <= length(token) GROUP BY ALL),
+  best AS (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY ending ORDER BY support DESC, replacement) = 1),
+  rules AS (SELECT ending, replacement, support, total FROM best JOIN totals USING (ending)
+            WHERE support >= {lemmas.SUPPORT} AND support >= {lemmas.SHARE} * total)"""
+
+
+def _vocabulary_pairs(spark, folder):
+    """(token, lemma, half): words of the corpus with the words that they are without an ending."""
+    words = tokens(spark, folder).select(F.explode("tokens").alias("token")).distinct()
+    cut = words.select(
+        "token", F.explode(F.array_compact(F.array(*[
+            F.when(F.endswith("token", F.lit(e)) & (F.length("token") >= len(e) + 3), F.struct(F.lit(len(e)).alias("n"), F.substr("token", F.lit(1), F.length("token") - len(e)).alias("stem")))
+            for e in ENDINGS
+        ]))).alias("c")
+    ).select("token", "c.*")
+    stems = cut.join(words.select(F.col("token").alias("stem")), "stem").groupBy("token").agg(F.max_by("stem", "n").alias("lemma"))
+    half = F.conv(F.substring(F.md5(F.col("token").cast("binary")), 1, 8), 16, 10).cast("long") % 2
+    return words.join(stems, "token", "left").select("token", F.coalesce("lemma", "token").alias("lemma"), half.alias("half"))
+
+
+@query("lemma_rules", f"{_PAIRS} SELECT ending, replacement, support, total FROM rules")
+def lemma_rules(spark, folder):
+    """Rules learned from half of the vocabulary."""
+    return lemmas.learn_rules(materialize(_vocabulary_pairs(spark, folder), "pairs").where("half = 0"))
+
+
+@query("learned_lemmas", f"""{_PAIRS},
+  held AS (SELECT token FROM voc WHERE {_HALF} = 1)
+  SELECT token, coalesce(arg_max(left(token, length(token) - length(ending)) || replacement, length(ending)), token) AS lemma
+  FROM held LEFT JOIN rules ON suffix(token, ending) GROUP BY token""")
+def learned_lemmas(spark, folder):
+    """Lemmas of the other half, which the rules have not seen."""
+    pairs = materialize(_vocabulary_pairs(spark, folder), "pairs")
+    rules, exceptions = lemmas.learn(pairs.where("half = 0"))
+    held = pairs.where("half = 1").select("token", F.array("token").alias("tokens"))
+    return lemmas.apply_rules(held, rules, exceptions).select("token", F.get("lemmas", F.lit(0)).alias("lemma"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docloom.operators import corpus, features, search, topics
+from docloom.operators import cluster, corpus, features, fold_in, search, topics
 from docloom.plans import sql
 from docloom.plans.feature_queries import MIN_DF, TERMS, stored_tokens, vectors, vocabulary
 from docloom.plans.pipeline import describe_clusters, search_text
@@ -176,3 +176,55 @@ def _english(check: str) -> str:
 def search_words(spark, folder):
     tags = topics.tag_table(model(spark, folder, "en").taggings)
     return search_text(QUERY_TEXT, tags)
+
+
+STEPS, DOCUMENTS = 2, 5
+
+
+def _folded(spark, folder):
+    """Distributions of all documents over the smoothed topics of the ready clusters."""
+    rows = stored_tokens(spark, folder)
+    terms = [r["term"] for r in vocabulary(rows).select("term", "term_id").orderBy("term_id").collect()]  # at most TERMS
+    attached = topics.attach_clusters(rows.select("doc_id", "tokens"), clusters(spark, folder))
+    ids, found = fold_in.smoothed_topics(attached, terms)
+    return ids, fold_in.distributions(rows, terms, found, STEPS)
+
+
+_FOLDED = f"""WITH {sql.TOKENS}, {sql.vocab()},
+  own AS (SELECT doc_id, term, p.tf FROM postings p JOIN vocab USING (term)),
+  k AS (SELECT DISTINCT cluster_id AS c FROM tokens),
+  cell AS (SELECT c, v.term, 1 + coalesce(n, 0) AS n FROM k CROSS JOIN vocab v LEFT JOIN
+           (SELECT cluster_id, term, sum(tf) AS n FROM own JOIN tokens USING (doc_id) GROUP BY ALL) x ON x.cluster_id = c AND x.term = v.term),
+  phi AS (SELECT c, term, n / sum(n) OVER (PARTITION BY c) AS p FROM cell),
+  t0 AS (SELECT doc_id, c, 1.0 / (SELECT count(*) FROM k) AS w FROM tokens CROSS JOIN k),
+  """ + ", ".join(
+    f"""r{i} AS (SELECT doc_id, c, term, tf, w * p / sum(w * p) OVER (PARTITION BY doc_id, term) AS share
+               FROM own JOIN t{i - 1} USING (doc_id) JOIN phi USING (c, term)),
+  s{i} AS (SELECT doc_id, c, sum(tf * share) AS w FROM r{i} GROUP BY doc_id, c),
+  t{i} AS (SELECT t.doc_id, t.c, coalesce(s.w / sum(s.w) OVER (PARTITION BY t.doc_id), t.w) AS w FROM t{i - 1} t LEFT JOIN s{i} s USING (doc_id, c))"""
+    for i in range(1, STEPS + 1)
+)
+
+
+@query("topic_distribution", f"{_FOLDED} SELECT doc_id, c AS cluster_id, round(w, 6) AS weight FROM t{STEPS}")
+def topic_distribution(spark, folder):
+    ids, found = _folded(spark, folder)
+    rows = found.select("doc_id", F.posexplode("topics").alias("at", "weight"))
+    return rows.select("doc_id", F.element_at(F.lit(ids), F.col("at") + 1).alias("cluster_id"), F.round("weight", 6).alias("weight"))
+
+
+@query("documents_by_topic", f"""{_FOLDED}
+  SELECT c AS cluster_id, doc_id, CAST(row_number() OVER (PARTITION BY c ORDER BY round(w, 9) DESC, doc_id) AS INTEGER) AS rank
+  FROM t{STEPS} QUALIFY rank <= {DOCUMENTS}""")
+def documents_by_topic(spark, folder):
+    """Relevant documents by their weight on a topic instead of the words of a cluster."""
+    ids, found = _folded(spark, folder)
+    ranked = fold_in.documents_of_topics(found, DOCUMENTS)
+    return ranked.select(F.element_at(F.lit(ids), F.col("topic") + 1).alias("cluster_id"), "doc_id", "rank")
+
+
+@query("lda_documents")
+def lda_documents(spark, folder):
+    """The heaviest documents of every fitted topic."""
+    found = cluster.lda(tokens(spark, folder)).assignments
+    return fold_in.documents_of_topics(found.select("doc_id", "topics"), DOCUMENTS)
