@@ -41,23 +41,26 @@ def ngram_join(n: int, num: int, den: int) -> str:
   SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id FROM root LEFT JOIN size USING (id)"""
 
 
-def _bucket(value: str) -> str:
-    shift = f"greatest(length(bin({value})) - 7, 0)"
-    return f"((({value}) >> {shift}) << {shift})"
+def _shift(value: str) -> str:
+    return f"greatest(length(bin({value})) - 7, 0)"
 
 
 def quality() -> str:
-    pairs = ", ".join(
-        f"{{'ratio': '{r}', 'v': {above} * 1000 // greatest({below}, 1)}}" for r, (above, below, _, _) in quality_rules.RATIOS.items()
-    )
-    spread = "greatest({} * (q3 - q1), {})"
+    pairs = ", ".join(f"{{'ratio': '{r}', 'c': {above}, 'd': greatest({below}, 1)}}" for r, (above, below, _) in quality_rules.RATIOS.items())
+    sizes = " + ".join(f"(len(w) >= {n})::INT" for n in quality_rules.SIZES)
+    noise = quality_rules.REACH * 1000
     inside = []
-    for r, (_, _, margin, low) in quality_rules.RATIOS.items():
-        reach = spread.format(quality_rules.REACH, margin)
-        inside.append(f"(r.ratio <> '{r}' OR (v <= q3 + {reach}" + (f" AND v >= q1 - {reach}" if low else "") + "))")
+    for r, (_, _, low) in quality_rules.RATIOS.items():
+        inside.append(f"(r.ratio <> '{r}' OR (c * 1000 <= (q3 + far) * d + {noise}" + (f" AND c * 1000 >= (q1 - far) * d - {noise}" if low else "") + "))")
     within = " AND ".join(inside)
-    level = """SELECT {keys}, ratio, count(*) AS n, list_sort(list(bucket))[ceil(count(*) / 4.0)::INT] AS q1,
-                      list_sort(list(bucket))[ceil(count(*) * 3 / 4.0)::INT] AS q3 FROM bucketed GROUP BY ALL"""
+    names = ("own", "c", "g")
+    pick = {
+        q: "CASE " + " ".join(f"WHEN {t}.n >= {quality_rules.LEAST} THEN {t}.{q}" for t in names) + " END" for q in ("q1", "q3")
+    }
+    spread = "CASE " + " ".join(f"WHEN {t}.n >= {quality_rules.LEAST} AND {t}.spread > 0 THEN {t}.spread" for t in names) + " ELSE 0 END"
+    level = f"""SELECT * EXCLUDE (b3), b3 + (1 << {_shift('b3')}) - 1 AS q3, q3 - q1 AS spread
+                FROM (SELECT {{keys}}, size, ratio, count(*) AS n, list_sort(list(bucket))[ceil(count(*) / 4.0)::INT] AS q1,
+                             list_sort(list(bucket))[ceil(count(*) * 3 / 4.0)::INT] AS b3 FROM bucketed GROUP BY ALL)"""
     return f"""WITH
   w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w,
                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORDS}')) AS lines FROM documents),
@@ -66,16 +69,16 @@ def quality() -> str:
   covered AS (SELECT doc_id, count(DISTINCT p) AS c FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id),
   m AS (SELECT doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
                len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-               coalesce(c, 0) AS n_repeat_words, len(lines) AS n_lines FROM w LEFT JOIN covered USING (doc_id)),
-  ratios AS (SELECT doc_id, lang, source, n_words, unnest([{pairs}], recursive := true) FROM m),
-  bucketed AS (SELECT lang, source, ratio, {_bucket('v')} AS bucket FROM ratios WHERE n_words > 0),
+               coalesce(c, 0) AS n_repeat_words, len(lines) AS n_lines, {sizes} AS size FROM w LEFT JOIN covered USING (doc_id)),
+  ratios AS (SELECT doc_id, lang, source, n_words, size, unnest([{pairs}], recursive := true) FROM m),
+  valued AS (SELECT *, c * 1000 // d AS v FROM ratios WHERE n_words > 0),
+  bucketed AS (SELECT lang, source, size, ratio, (v >> {_shift('v')}) << {_shift('v')} AS bucket FROM valued),
   own AS ({level.format(keys='lang, source')}), coarse AS ({level.format(keys='lang')}), world AS ({level.format(keys="''")}),
-  fence AS (SELECT own.lang, own.source, own.ratio,
-      CASE WHEN own.n >= {quality_rules.LEAST} THEN own.q1 WHEN c.n >= {quality_rules.LEAST} THEN c.q1 ELSE g.q1 END AS q1,
-      CASE WHEN own.n >= {quality_rules.LEAST} THEN own.q3 WHEN c.n >= {quality_rules.LEAST} THEN c.q3 ELSE g.q3 END AS q3
-      FROM own JOIN coarse c ON c.lang IS NOT DISTINCT FROM own.lang AND c.ratio = own.ratio JOIN world g ON g.ratio = own.ratio),
-  verdict AS (SELECT doc_id, bool_and(f.ratio IS NULL OR ({within})) AS good
-              FROM ratios r LEFT JOIN fence f ON f.ratio = r.ratio AND f.lang IS NOT DISTINCT FROM r.lang AND f.source IS NOT DISTINCT FROM r.source
+  fence AS (SELECT own.lang, own.source, own.size, own.ratio, {pick['q1']} AS q1, {pick['q3']} AS q3, {quality_rules.REACH} * ({spread}) AS far
+      FROM own JOIN coarse c ON c.lang IS NOT DISTINCT FROM own.lang AND c.size = own.size AND c.ratio = own.ratio
+      JOIN world g ON g.size = own.size AND g.ratio = own.ratio),
+  verdict AS (SELECT doc_id, bool_and(f.q1 IS NULL OR ({within})) AS good
+              FROM ratios r LEFT JOIN fence f ON f.ratio = r.ratio AND f.size = r.size AND f.lang IS NOT DISTINCT FROM r.lang AND f.source IS NOT DISTINCT FROM r.source
               GROUP BY doc_id),
   failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
   SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good AS kept

@@ -39,36 +39,34 @@ def test_measures():
     assert R.measure(b"q " * 20_000)[4] == 20_000
 
 
-def quantile(values, q):
-    """The lower edge of the bucket in which a share q of the values is reached."""
-    def bucket(v):
-        shift = max(0, v.bit_length() - 7)
-        return v >> shift << shift
+def quartiles(values):
+    """The first value of the bucket in which a quarter is reached, the last of that for three quarters, their distance."""
+    def shift(v):
+        return max(0, v.bit_length() - 7)
 
-    buckets = sorted(map(bucket, values))
-    return next(b for i, b in enumerate(buckets, 1) if 4 * i >= len(buckets) * q)
+    buckets = sorted(v >> shift(v) << shift(v) for v in values)
+    low, high = (next(b for i, b in enumerate(buckets, 1) if 4 * i >= len(buckets) * q) for q in (1, 3))
+    last = high + (1 << shift(high)) - 1
+    return low, last, last - low
 
 
 def brute_judge(rows):
     measured = [(lang, source, brute_measure(t)) for _, t, lang, source in rows]
+    size = lambda m: sum(m[0] >= n for n in R.SIZES)
     ratio = {"word_length": (1, 0), "symbols": (2, 0), "dup_lines": (3, 5)}
     out = []
     for lang, source, m in measured:
         failed = m[0] < 10 or 100 * m[4] > 20 * m[0]
         good = True
+        alike = [x for x in measured if x[2][0] and size(x[2]) == size(m)] if m[0] else []
+        levels = [[x for x in alike if x[:2] == (lang, source)], [x for x in alike if x[0] == lang], alike]
         for name, (a, b) in ratio.items():
-            levels = [
-                [x for x in measured if x[:2] == (lang, source) and x[2][0]], [x for x in measured if x[0] == lang and x[2][0]],
-                [x for x in measured if x[2][0]],
-            ]
-            if not levels[0]:
-                continue
-            group = next((g for g in levels[:2] if len(g) >= R.LEAST), levels[2])
-            values = [x[2][a] * 1000 // max(1, x[2][b]) for x in group]
-            q1, q3 = quantile(values, 1), quantile(values, 3)
-            spread = max(R.REACH * (q3 - q1), R.RATIOS[name][2])
-            own = m[a] * 1000 // max(1, m[b])
-            good &= own <= q3 + spread and (not R.RATIOS[name][3] or own >= q1 - spread)
+            found = [quartiles([x[2][a] * 1000 // max(1, x[2][b]) for x in g]) for g in levels if len(g) >= R.LEAST]
+            if found:
+                far = R.REACH * next((s for _, _, s in found if s), 0)
+                count, over = m[a] * 1000, max(1, m[b])
+                good &= count <= (found[0][1] + far) * over + R.REACH * 1000
+                good &= name != "word_length" or count >= (found[0][0] - far) * over - R.REACH * 1000
         out.append((*m[:5], failed, good and not failed))
     return out
 
@@ -96,6 +94,24 @@ def test_rules_against_brute_force(spark):
     assert R.judge(docs.limit(0)).count() == 0 and R.keep_good(docs.limit(0)).count() == 0
 
 
+def test_fences_follow_the_data(spark):
+    """The same text is an outlier in one source and usual in another; no ratio has a cutoff of its own."""
+    rng = random.Random(6)
+    lines = lambda k: " ".join(rng.choice("abcdefgh") * rng.randint(k, k + 2) for _ in range(200))
+    rows = [(i, lines(3), "en", "short") for i in range(120)] + [(200 + i, lines(12), "en", "long") for i in range(120)]
+    rows += [(400, lines(12), "en", "short"), (401, lines(3), "en", "long")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in R.judge(docs).collect()}
+    assert all(k for i, k in kept.items() if i < 400) and not kept[400] and not kept[401]
+    limits = R.thresholds(R.sketch(R.add_measures(docs))).collect()
+    assert len(limits) == 2 and all(r["word_length_high"] - r["word_length_low"] < 3000 for r in limits)
+
+
+def test_few_texts_have_no_fences(spark):
+    docs = spark.createDataFrame([(1, "word " * 9 + "x" * 5000, "en", "s"), (2, " ".join("abcdefghijkl"), "en", "s")], "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"]: r["kept"] for r in R.judge(docs).collect()} == {1: False, 2: True}  # 1 by its repeated words
+
+
 def test_merged_sketches_equal_the_sketch_of_all(spark):
     docs = spark.createDataFrame(quality_rows(), "doc_id long, text string, lang string, source string")
     measured = R.add_measures(docs)
