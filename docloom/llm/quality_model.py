@@ -12,7 +12,7 @@ look-up; the model that travels to the tasks has a fixed size (4 bytes x ``BUCKE
 
 Edge cases: an empty or null text gets the score of the bias alone; null labels and
 labels without a text are left out; without labels of both classes every score is the smoothed
-share of class 1; repeated rows are scored alike; columns of the input are carried through except
+share of class 1; of a repeated id the smallest text is learned from, and repeated rows are scored alike; columns of the input are carried through except
 ``score``, which is replaced; an empty table gives an empty result.
 """
 
@@ -138,11 +138,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = (
         labels.where("doc_id IS NOT NULL AND label IN (0, 1)")
         .select("doc_id", "label")
+        .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(sample)
     )
-    # at most ``sample`` rows of two numbers
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL").collect()
+    # at most ``sample`` rows of two numbers; copies of an id meet in one aggregate, so no more texts than that are collected
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL")
+    rows = found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     rows = sorted((r["doc_id"], r["label"], r["text"].encode()) for r in rows)
     return train([r[2] for r in rows], [r[1] for r in rows])
 

@@ -163,3 +163,20 @@ def test_odd_rows_and_no_labels(spark):
     none = spark.createDataFrame([], "doc_id long, label int")
     assert {r["score"] for r in M.score(docs, M.fit(docs, none)).collect()} == {0.5}
     assert M.score(docs.limit(0), M.fit(docs, none)).count() == 0
+
+
+def test_repeated_ids_bring_one_text_each(spark, monkeypatch):
+    """However many rows share an id, the driver gets one text per chosen label."""
+    got = []
+    monkeypatch.setattr(M, "train", lambda texts, labels: got.append((texts, labels)))
+    docs = spark.range(5000).selectExpr("id % 2 AS doc_id", "concat('text ', lpad(id, 5, '0')) AS text")
+    labels = spark.createDataFrame([(0, 1), (0, 1), (1, 0), (2, 1)], "doc_id long, label int")
+    M.fit(docs, labels, sample=3)
+    assert got == [([b"text 00000", b"text 00001"], [1, 0])]
+
+
+def test_a_step_lowers_the_loss():
+    """One pass over two texts moves each towards its label, as gradient steps must."""
+    model = M.train([b"good words here", b"bad junk there"] * 20, [1, 0] * 20)
+    score = model.scorer()
+    assert score(b"good words here") > 0.5 > score(b"bad junk there")
