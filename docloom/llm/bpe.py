@@ -4,6 +4,8 @@ Words are merged with a priority queue of merge ranks over a doubly linked list
 an entry whose symbols have changed since it was queued is stale and skipped. Text goes through
 the steps that the file states: special tokens are cut out, then NFC, lower case per
 character, the split into pieces, the byte alphabet. Decoding concatenates vocabulary strings.
+Texts with characters that are newer than Python's Unicode tables take the two middle steps from the library,
+whose tables are others again; merging stays the same.
 
 Words repeat, so every task keeps the encodings of words it has met; the store has a
 fixed bound and is cut by half when it is full, which changes nothing but the time.
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 # White space of the file's normalizer (Unicode White_Space)
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -43,6 +47,12 @@ def byte_alphabet() -> dict[int, str]:
     return table
 
 
+def newer_characters() -> set[str]:
+    """Characters that the ``regex`` module knows and ``unicodedata`` does not."""
+    unknown = "".join([c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn"])
+    return set(regex.findall(r"\P{Cn}", unknown))
+
+
 def merge_word(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     """Merge a word's symbols, lowest rank first and leftmost among equals."""
     n = len(symbols)
@@ -96,11 +106,22 @@ class Codec:
         self.pieces = regex.compile(pattern.replace(r"\s", SPACE)).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
         self.words: dict[str, bytes] = {}
+        self.library = Tokenizer.from_file(path)
+        self.newer = newer_characters()
+        # the first plane by one character class; the few characters beyond it are looked up
+        self.near_newer = re.compile("[" + "".join(c for c in sorted(self.newer) if c <= "\uffff") + "]").search
+        self.beyond = re.compile("[\U00010000-\U0010ffff]+").findall
+
+    def has_newer(self, text: str) -> bool:
+        return self.near_newer(text) is not None or not all(map(self.newer.isdisjoint, self.beyond(text)))
 
     def word(self, piece: str) -> bytes:
         """Ids of one piece, as little-endian unsigned 32-bit integers."""
         alphabet = self.alphabet
-        symbols = [alphabet[b] for b in piece.encode("utf-8")]
+        return self.ids_of([alphabet[b] for b in piece.encode("utf-8")])
+
+    def ids_of(self, symbols: list[str]) -> bytes:
+        """Ids of a piece that is spelt in the byte alphabet."""
         symbols[-1] += self.end
         vocab = self.vocab
         return array("I", [vocab[s] for s in merge_word(symbols, self.ranks)]).tobytes()
@@ -122,6 +143,9 @@ class Codec:
         )
 
     def _plain(self, text: str) -> bytes:
+        if not text.isascii() and self.has_newer(text):
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return b"".join([self.ids_of(list(piece)) for piece, _ in pieces])
         text = self.normalize(text)
         # no piece reaches over white space, so runs without any are looked up whole
         runs = self.pieces(text) if any(c in text for c in EXTRA_SPACE) else text.split()

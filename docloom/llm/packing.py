@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from docloom.llm.bpe import Codec
 from docloom.operators.corpus import number_within
@@ -41,13 +40,8 @@ PARTS = 4
 class LibraryCodec(Codec):
     """Ids by the tokenizers library, one run without white space at a time."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.tokenize = Tokenizer.from_file(path).model.tokenize
-
-    def word(self, piece: str) -> bytes:
-        alphabet = self.alphabet
-        return array("I", [t.id for t in self.tokenize("".join([alphabet[b] for b in piece.encode("utf-8")]))]).tobytes()
+    def ids_of(self, symbols: list[str]) -> bytes:
+        return array("I", [t.id for t in self.library.model.tokenize("".join(symbols))]).tobytes()
 
 
 def cut_documents(

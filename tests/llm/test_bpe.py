@@ -7,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from docloom.llm import bpe
+from docloom.llm.packing import LibraryCodec
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -30,6 +31,21 @@ def test_ids_and_text_equal_the_library():
         assert own.decode(got) == library.decode(want, skip_special_tokens=False)
 
 
+def test_every_character_equals_the_library():
+    """All code points, among letters and digits: those that Python's tables lack one by one, the others in blocks."""
+    library = Tokenizer.from_file(PATH)
+    coders = bpe.Codec(PATH), LibraryCodec(PATH)
+    newer = coders[0].newer
+    assert newer
+    known = [c for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff" and c not in newer]
+    blocks = [known[i : i + 500] for i in range(0, len(known), 500)]
+    for block in [*blocks, *([c] for c in sorted(newer))]:
+        text = " ".join([f"a{c}B1{c}2 {c}" for c in block])
+        want = library.encode(text, add_special_tokens=False).ids
+        for coder in coders[: 1 + (len(block) == 1)]:
+            assert array("I", coder.encode(text)).tolist() == want, block[0]
+
+
 def test_store_of_words_may_overflow(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_WORDS", 3)
     small, own = bpe.Codec(PATH), bpe.Codec(PATH)
