@@ -5,9 +5,11 @@ smoothing) are counted from the URLs that the rules allow and block. A URL witho
 is judged by the difference of its two log-likelihoods per character, against a cut that is
 calibrated on labelled URLs the models have not seen. DataFrame functions only.
 
-Characters are folded to 32 symbols, so the gram table has at most 32 + 32^2 + 32^3 + 32^4
-rows whatever the input: that is the proven bound of the one broadcast. Logarithms are held
-as whole millionths, so sums do not depend on the order of rows.
+Characters are folded to 63 symbols: letters without case, digits, common punctuation, and one for each of
+the larger scripts. A URL is cut into all its grams of four symbols inside its row, in linear time; rows carry a number and
+a gram, never the URL. Shorter grams are the ends of longer ones and are counted from them, and the value of a
+gram of four is worked out once, so positions meet one table, which is broadcast while its counted rows fit.
+Logarithms are held as whole millionths, so sums do not depend on the order of rows.
 
 Edge cases: a null URL or one without ``://`` has an empty host and path, no rule, and is
 scored as the empty text; repeated rows are judged alike; without labelled URLs every score
@@ -24,12 +26,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import LOWER, UPPER, fold_ascii
-from docloom.runtime import materialize
+from docloom.llm.common import fold_ascii
+from docloom.runtime import broadcast_bounded, materialize
 
 ORDER = 4
-SYMBOLS = 32
-PAD = "^"
+PUNCTUATION = "/.?&=_%#+~:@,;!-"  # the hyphen last, as character classes need it
+# capitals are free: they stand for the letters of a script beyond ASCII
+SCRIPTS = {"L": "IsLatin", "G": "IsGreek", "C": "IsCyrillic", "A": "IsArabic", "H": "IsHebrew", "Z": "IsHan", "N": "IsHangul", "K": "IsHiragana"}
+BEYOND, OTHER, PAD = "O", "*", "^"
+SYMBOLS = 26 + 10 + len(PUNCTUATION) + len(SCRIPTS) + 3
 MICRO = 1_000_000
 # (verdict, rule): host suffix, then path prefix
 RULES = (
@@ -61,20 +66,25 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULE
 
 
 def fold(text: Column) -> Column:
-    """Text in the 32 symbols of the models: letters, 0 for digits, / . ? and - for the rest."""
-    low = F.translate(text, UPPER + "123456789&=#%;+", LOWER + "000000000??????")
-    return F.regexp_replace(low, r"(?s)[^a-z0/.?]", "-")
+    """Text in the symbols of the models."""
+    low = F.regexp_replace(fold_ascii(text), rf"[\x00-\x7f&&[^a-z0-9{PUNCTUATION}]]", OTHER)
+    wide = low
+    for symbol, script in SCRIPTS.items():
+        wide = F.regexp_replace(wide, rf"[\p{{{script}}}&&[^\x00-\x7f]]", symbol)
+    wide = F.regexp_replace(wide, r"[^\x00-\x7f]", BEYOND)
+    return F.when(F.octet_length(low) == F.length(low), low).otherwise(wide)
 
 
-def _positions(texts: DataFrame) -> DataFrame:
-    """One row per character (and one for the end) with the padded text and its place."""
-    padded = texts.withColumn("_u_s", F.concat(F.lit(PAD * (ORDER - 1)), fold("_u_text"), F.lit(PAD)))
-    return padded.withColumn("_u_i", F.explode(F.sequence(F.lit(ORDER), F.length("_u_s"))))
+def _positions(texts: DataFrame, *keys: str) -> DataFrame:
+    """(keys, gram): the symbols at and before every character, and the end, of the padded text."""
+    padded = F.concat(F.lit(PAD * (ORDER - 1)), fold(F.col("_u_text")), F.lit(PAD))
+    # a look-ahead finds overlapping grams, in one pass over the text
+    return texts.select(*keys, F.explode(F.regexp_extract_all(padded, F.lit(f"(?=(.{{{ORDER}}}))"), F.lit(1))).alias("gram"))
 
 
-def _gram(length: int, back: int = 0) -> Column:
-    """The ``length`` symbols that end ``back`` places before the current one."""
-    return F.substring("_u_s", F.col("_u_i") - length - back + 1, F.lit(length))
+def _ends(gram: str) -> Column:
+    """The grams of 1 to ``ORDER`` symbols at the end of a longest one."""
+    return F.array(*[F.substring(gram, ORDER - n + 1, n) for n in range(1, ORDER + 1)])
 
 
 def fit(labelled: DataFrame) -> DataFrame:
@@ -84,13 +94,13 @@ def fit(labelled: DataFrame) -> DataFrame:
     one; ``bow`` is the difference of the logarithms of the weights that Witten-Bell gives
     to shorter contexts. Both in millionths.
     """
-    grams = (
-        _positions(labelled)
-        .select("_u_ok", F.explode(F.array(*[_gram(n) for n in range(1, ORDER + 1)])).alias("gram"))
+    longest = (
+        _positions(labelled, "_u_ok")
         .groupBy("gram")
-        .agg(F.sum(F.col("_u_ok").cast("long")).alias("na"), F.sum((~F.col("_u_ok")).cast("long")).alias("nr"))
+        .agg(F.count_if("_u_ok").alias("na"), F.count_if(~F.col("_u_ok")).alias("nr"))
     )
-    grams = materialize(grams, "url-grams")
+    grams = longest.select("na", "nr", F.explode(_ends("gram")).alias("gram")).groupBy("gram")
+    grams = materialize(grams.agg(F.sum("na").alias("na"), F.sum("nr").alias("nr")), "url-grams")
     context = F.expr("substring(gram, 1, length(gram) - 1)")
     contexts = (
         grams.groupBy(context.alias("ctx"))
@@ -135,27 +145,35 @@ def _micro(value: Column) -> Column:
     return F.round(value * MICRO).cast("long")
 
 
-def score_texts(texts: DataFrame, model: DataFrame) -> DataFrame:
-    """Distinct (_u_text) to (_u_text, score): nats per character, positive for accepted-like."""
-    rows = _positions(texts)
-    # at most 32 + 32^2 + 32^3 + 32^4 rows, by the alphabet
-    lr, bow = model.select("gram", "lr"), model.select(F.col("gram").alias("_u_c"), "bow")
-    for n in range(1, ORDER + 1):
-        rows = rows.withColumn(f"_u_g{n}", _gram(n)).join(
-            F.broadcast(lr.select(F.col("gram").alias(f"_u_g{n}"), F.col("lr").alias(f"_u_l{n}"))), f"_u_g{n}", "left"
-        )
-    for n in range(ORDER):
-        rows = rows.withColumn(f"_u_c{n}", _gram(n, 1)).join(
-            F.broadcast(bow.select(F.col("_u_c").alias(f"_u_c{n}"), F.col("bow").alias(f"_u_b{n}"))), f"_u_c{n}", "left"
-        )
+def gram_values(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """(gram) of the longest kind to (gram, v): its log ratio, by the shortened contexts where it was not counted."""
+    parts = grams.select("gram", F.posexplode(_ends("gram")).alias("i", "end"))
+    found = parts.join(model.withColumnRenamed("gram", "end"), "end", "left").groupBy("gram").agg(
+        *[F.max(F.when(F.col("i") == n - 1, F.col("lr"))).alias(f"lr{n}") for n in range(1, ORDER + 1)]
+    )
+    # the contexts: what stands before the last symbol; the shortest is empty
+    contexts = grams.select(
+        "gram", F.posexplode(F.array(*[F.substring("gram", ORDER - n, n) for n in range(ORDER)])).alias("i", "context")
+    )
+    backs = contexts.join(model.withColumnRenamed("gram", "context"), "context", "left").groupBy("gram").agg(
+        *[F.max(F.when(F.col("i") == n, F.col("bow"))).alias(f"bow{n}") for n in range(ORDER)]
+    )
     value, backed = [], F.lit(0)
     for n in range(ORDER, 0, -1):
-        value.append(backed + F.col(f"_u_l{n}"))
-        backed = backed + F.coalesce(f"_u_b{n - 1}", F.lit(0))
+        value.append(backed + F.col(f"lr{n}"))
+        backed = backed + F.coalesce(f"bow{n - 1}", F.lit(0))
+    # a symbol never seen: both models are uniform
+    return found.join(backs, "gram").select("gram", F.coalesce(*value, backed).alias("v"))
+
+
+def score_texts(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """(_u_id, _u_text), each once, to (_u_id, score): nats per character, positive for accepted-like."""
+    rows = _positions(texts, "_u_id")
+    values = materialize(gram_values(rows.select("gram").distinct(), model), "url-values")
     return (
-        rows.withColumn("_u_v", F.coalesce(*value, backed))  # a symbol never seen: both models are uniform
-        .groupBy("_u_text")
-        .agg((F.sum("_u_v") / F.count("*") / MICRO).alias("score"))
+        rows.join(broadcast_bounded(values, values.count()), "gram")
+        .groupBy("_u_id")
+        .agg((F.sum("v") / F.count("*") / MICRO).alias("score"))
     )
 
 
@@ -195,11 +213,14 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, s
     judged = judged.withColumn("_u_text", F.coalesce("_u_text", F.lit("")))
     allowed = F.col("rule").isin([r for r, v in verdicts.items() if v == "allow"])
     # one row per text: a URL that is repeated a million times is read once
-    texts = materialize(judged.groupBy("_u_text").agg(F.max(F.when(F.col("rule").isNotNull(), allowed)).alias("_u_ok")), "url-texts")
+    texts = judged.groupBy("_u_text").agg(F.max(F.when(F.col("rule").isNotNull(), allowed)).alias("_u_ok"))
+    # as many files as cores: each row becomes a hundred
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    texts = materialize(texts.repartition(cores).withColumn("_u_id", F.monotonically_increasing_id()), "url-texts")
     labelled = texts.where(F.col("_u_ok").isNotNull())
     held = F.crc32(F.col("_u_text").cast("binary")) % 5 == 0
     model = fit(labelled.where(~held))
-    scored = materialize(score_texts(texts, model).join(texts, "_u_text"), "url-scores")
+    scored = materialize(score_texts(texts, model).join(texts, "_u_id"), "url-scores")
     cut = calibrate(scored.where(F.col("_u_ok").isNotNull() & held))
     by_rule = F.when(F.col("rule").isNotNull(), F.when(allowed, "allow").otherwise("block"))
     return (

@@ -4,6 +4,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import regex
+
 from docloom.llm import url_filter as U
 
 
@@ -28,10 +30,10 @@ def rule_of(host, path):
 def folded(text):
     out = []
     for c in text:
-        if c.isascii() and c.isalpha():
-            out.append(c.lower())
+        if c.isascii():
+            out.append(c.lower() if c.isalnum() or c in U.PUNCTUATION else U.OTHER)
         else:
-            out.append("0" if c in "0123456789" else "?" if c in "?&=#%;+" else c if c in "/." else "-")
+            out.append(next((k for k, v in U.SCRIPTS.items() if regex.match(rf"\p{{{v}}}", c)), U.BEYOND))
     return "^^^" + "".join(out) + "^"
 
 
@@ -71,7 +73,7 @@ def brute(urls):
 def urls(n=400):
     rng = random.Random(8)
     hosts = ["a.example.org", "EXAMPLE.ORG", "x.com", "shop.Net", "sub.example.com", "org", "notorg", "casino.net", "com"]
-    paths = ["/fr/1", "/de/2", "/es/x", "/en/1x", "/en/2", "", "/", "?q=/fr/", "#f", "/fr", "/é", "/es/x?utm=1", "/de/99/" + "p" * 50]
+    paths = ["/fr/1", "/de/2", "/es/x", "/en/1x", "/en/2", "", "/", "?q=/fr/", "#f", "/fr", "/é", "/κόσμος/мир^ 世界/카", "/👍\u0558", "/es/x?utm=1", "/de/99/" + "p" * 50]
     made = [f"{rng.choice(['http', 'https'])}://{rng.choice(hosts)}{rng.choice(paths)}{rng.randint(0, 300) or ''}" for _ in range(n)]
     return made + [None, "", "no scheme", "://", "a://b://c/fr/", "http://x.com/fr/\nline"] + made[:20]
 
@@ -109,3 +111,10 @@ def test_no_python_on_the_path(spark):
     pages = spark.createDataFrame([(1, "http://x.net/a")], "page_id long, url string")
     plan = U.filter_urls(pages)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Eval|MapIn|Pandas|Arrow", plan)
+
+
+def test_very_long_url(spark):
+    """Linear in the length: a URL of a million characters next to short ones."""
+    rows = [(i, u) for i, u in enumerate(urls())] + [(-1, "http://y.net/" + "a1/é" * 250_000)]
+    out = {r["page_id"]: r for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert len(out) == len(rows) and out[-1]["score"] is not None and out[-1]["rule"] is None
