@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import corpus, features, search, subspace, topics
+from docloom.operators import corpus, features, meaning, search, subspace, topics
 from docloom.operators.language import LanguageModel, detect_language
 from docloom.runtime import materialize
 
@@ -105,3 +105,18 @@ def search_text(query: str, tags: DataFrame, n: int = 5, dim: int = 64) -> DataF
     """(cluster_id, score) for a text query over (tag, cluster_id, line, position)."""
     embedded = search.dedupe_tags(tags).withColumn("vec", features.embed_text(F.col("tag"), dim))
     return search.search(features.embed_text(F.lit(query), dim), embedded, n)
+
+
+def search_meaning(query: str, tags: DataFrame, terms: DataFrame, max_terms: int, n: int = 5, dim: int = 64) -> DataFrame:
+    """(cluster_id, score) for a query by the company its words keep: (tag, ...) and the term vectors of ``meaning.fit``.
+
+    A query without a known word falls back to ``search_text``; tags without one are not found.
+    """
+    asked = tags.sparkSession.range(1).select(F.col("id").alias("doc_id"), tx.tokenize(tx.clean_text(F.lit(query))).alias("tokens"))
+    vector = meaning.embed_tokens(asked, terms, max_terms).first()
+    if vector is None:
+        return search_text(query, tags, n, dim)
+    owners = search.dedupe_tags(tags)
+    spelt = owners.select("tag", tx.tokenize(tx.clean_text(F.col("tag"))).alias("tokens"))
+    embedded = owners.join(meaning.embed_tokens(spelt, terms, max_terms, "tag"), "tag")
+    return search.search(F.lit([float(x) for x in vector["vec"]]), embedded, n)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docloom.operators import cluster, corpus, features, fold_in, search, topics
+from docloom.operators import cluster, corpus, features, fold_in, meaning, search, topics
 from docloom.plans import sql
 from docloom.plans.feature_queries import MIN_DF, TERMS, stored_tokens, vectors, vocabulary
-from docloom.plans.pipeline import describe_clusters, search_text
+from docloom.plans.pipeline import describe_clusters, search_meaning, search_text
 from docloom.plans.registry import query, table
 from docloom.plans.text_queries import documents, tokens
+from docloom.runtime import broadcast_bounded, materialize
 
 TAGS = 10
 QUERY_TEXT = "nation"
@@ -178,6 +179,36 @@ def search_words(spark, folder):
     return search_text(QUERY_TEXT, tags)
 
 
+@query("term_associations", f"""
+  WITH {sql.TOKENS}, {sql.vocab()},
+  placed AS (SELECT doc_id, unnest(t) AS term, unnest(range(0, len(t))) AS i FROM tokens),
+  known AS (SELECT doc_id, i, term FROM placed JOIN vocab USING (term)),
+  pairs AS (SELECT x.term AS term, y.term AS other, count(*) AS n FROM known x JOIN known y
+            ON x.doc_id = y.doc_id AND y.i <> x.i AND abs(y.i - x.i) <= {meaning.WINDOW} GROUP BY ALL),
+  sums AS (SELECT term, sum(n) AS s FROM pairs GROUP BY term),
+  scored AS (SELECT p.term, other, n, ln(n * (SELECT sum(s) FROM sums)::DOUBLE / a.s / b.s) AS ppmi
+             FROM pairs p JOIN sums a ON a.term = p.term JOIN sums b ON b.term = other)
+  SELECT term, other, n, round(ppmi, 6) AS ppmi FROM scored WHERE ppmi > 1e-9""")
+def term_associations(spark, folder):
+    """Which terms stand near each other more often than chance has it?"""
+    rows = stored_tokens(spark, folder)
+    terms = vocabulary(rows)
+    pairs = materialize(meaning.cooccurrences(rows, terms, TERMS), "pairs")
+    found = meaning.ppmi(pairs, TERMS).where("ppmi > 1e-9")
+    names = terms.select(F.col("term_id").cast("long").alias("a"), "term")
+    others = terms.select(F.col("term_id").cast("long").alias("b"), F.col("term").alias("other"))
+    named = found.join(broadcast_bounded(names, TERMS), "a").join(broadcast_bounded(others, TERMS), "b")
+    return named.select("term", "other", "n", F.round("ppmi", 6).alias("ppmi"))
+
+
+@query("search_meaning")
+def search_related(spark, folder):
+    """The clusters whose tags keep the same company as a word, by vectors learned from all documents."""
+    rows = stored_tokens(spark, folder)
+    terms = meaning.fit(rows, vocabulary(rows), TERMS)
+    return search_meaning(QUERY_TEXT, topics.tag_table(model(spark, folder, "en").taggings), terms, TERMS)
+
+
 STEPS, DOCUMENTS = 2, 5
 
 
