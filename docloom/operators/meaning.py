@@ -1,7 +1,7 @@
 """Vectors of terms by the company they keep, and of texts by their terms.
 
 Pairs of vocabulary terms within a window are counted inside the task that reads the text, so what is shuffled
-are partial counts of pairs, at most ``max_terms`` squared of them per batch and far fewer in practice. Positive
+are partial counts of pairs: a task holds a few million of them at most and hands them on when there are more. Positive
 pointwise mutual information, less a shift, makes them a sparse symmetric matrix with a row per term; its
 principal components (``subspace``) are the vectors. A text is the mean of the vectors of its terms with smooth
 inverse frequency weights SMOOTH / (SMOOTH + share of the term).
@@ -27,6 +27,9 @@ from docloom.runtime import BROADCAST_BYTES, broadcast_bounded, materialize
 
 WINDOW = 5
 SMOOTH = 1e-3
+PIECE = 1 << 18
+KEYS = 1 << 22
+ROWS_OUT = 1 << 16
 
 
 def cooccurrences(df: DataFrame, vocab: DataFrame, max_terms: int, window: int = WINDOW, column: str = "tokens") -> DataFrame:
@@ -40,31 +43,49 @@ def cooccurrences(df: DataFrame, vocab: DataFrame, max_terms: int, window: int =
     shared = df.sparkSession.sparkContext.broadcast({r["term"]: r["term_id"] for r in terms})
     width = max(shared.value.values(), default=0) + 1
 
-    def pairs_of(ids: np.ndarray) -> Iterator[np.ndarray]:
-        for apart in range(1, min(window, len(ids) - 1) + 1):
-            a, b = ids[:-apart], ids[apart:]
-            both = (a >= 0) & (b >= 0)
-            a, b = a[both], b[both]
-            yield np.minimum(a, b) * width + np.maximum(a, b)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
+        found, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        waiting, held = [], 0
         for batch in batches:
-            found, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-            for value in batch.column(0):
-                ids = np.array([known.get(t, -1) for t in value.as_py() or ()], np.int64)
-                one = list(pairs_of(ids))
-                if one:
-                    keys, n = np.unique(np.concatenate(one), return_counts=True)
-                    found, counts = np.concatenate([found, keys]), np.concatenate([counts, n])
-                if len(found) > 1 << 20:
-                    found, counts = _summed(found, counts)
-            found, counts = _summed(found, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(found // width), pa.array(found % width), pa.array(counts)], names=["a", "b", "n"])
-
-    def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        distinct, back = np.unique(keys, return_inverse=True)
-        return distinct, np.bincount(back, counts, len(distinct)).astype(np.int64)
+            tokens = batch.column(0)
+            flat = tokens.flatten().dictionary_encode()  # each different token of a batch once
+            places = np.array([known.get(t, -1) for t in flat.dictionary.to_pylist()] + [-1], np.int64)
+            ids = places[flat.indices.fill_null(len(places) - 1).to_numpy(zero_copy_only=False)]
+            texts = np.repeat(np.arange(batch.num_rows), tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            for low in range(0, len(ids), PIECE):
+                high = min(low + PIECE, len(ids))
+                for apart in range(1, window + 1):
+                    last = min(high, len(ids) - apart)
+                    if last <= low:
+                        break
+                    a, b = ids[low:last], ids[low + apart : last + apart]
+                    both = (a >= 0) & (b >= 0) & (texts[low:last] == texts[low + apart : last + apart])
+                    a, b = a[both], b[both]
+                    waiting.append(np.minimum(a, b) * width + np.maximum(a, b))
+                    held += len(a)
+                # sorted again only when as much has come in as is counted already, so a key is sorted a few times in all
+                if held > max(len(found), KEYS):
+                    found, counts = _summed(found, counts, waiting)
+                    waiting, held = [], 0
+                    if len(found) > KEYS:
+                        yield from _rows(found, counts)
+                        found, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        yield from _rows(*_summed(found, counts, waiting))
+
+    def _summed(found: np.ndarray, counts: np.ndarray, waiting: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.sort(np.concatenate([np.empty(0, np.int64), *waiting]))
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+        keys, n = np.concatenate([found, keys[starts]]), np.concatenate([counts, np.diff(np.r_[starts, len(keys)])])
+        order = np.argsort(keys, kind="stable")  # two sorted halves: a merge
+        keys, n = keys[order], n[order]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+        return keys[starts], np.add.reduceat(n, starts) if len(starts) else n
+
+    def _rows(found: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for low in range(0, len(found), ROWS_OUT):
+            keys, n = found[low : low + ROWS_OUT], counts[low : low + ROWS_OUT]
+            yield pa.RecordBatch.from_arrays([pa.array(keys // width), pa.array(keys % width), pa.array(n)], names=["a", "b", "n"])
 
     half = df.select(column).mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     twin = F.array(F.struct("a", "b", "n"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "n"))

@@ -76,3 +76,23 @@ def test_texts_are_weighted_means(spark):
     terms = spark.createDataFrame([("a", [1.0, 0.0], 1.0), ("b", [0.0, 1.0], 0.5)], "term string, vec array<double>, weight double")
     texts = spark.createDataFrame([(1, ["a", "b", "b"]), (2, ["zz"]), (3, []), (4, None)], "doc_id long, tokens array<string>")
     assert [tuple(r) for r in meaning.embed_tokens(texts, terms, 10).collect()] == [(1, [0.5, 0.5])]
+
+
+def test_pairs_over_small_pieces_and_many_hand_overs(spark, monkeypatch):
+    """Counts do not depend on where a task cuts its tokens or hands its pairs on."""
+    monkeypatch.setattr(meaning, "PIECE", 7)
+    monkeypatch.setattr(meaning, "KEYS", 20)
+    monkeypatch.setattr(meaning, "ROWS_OUT", 6)
+    lists = token_lists()[:120]
+    df = frame(spark, lists)
+    vocab = vocab_of(df)
+    ids = {r["term"]: r["term_id"] for r in vocab.collect()}
+    want = Counter()
+    for words in lists:
+        for i, x in enumerate(words):
+            for j, y in enumerate(words):
+                if i != j and abs(i - j) <= meaning.WINDOW and x in ids and y in ids:
+                    want[ids[x], ids[y]] += 1
+    rows = meaning.cooccurrences(df, vocab, 50).collect()
+    assert len(rows) == len(want)
+    assert {(r["a"], r["b"]): r["n"] for r in rows} == dict(want)
