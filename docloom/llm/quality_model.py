@@ -150,16 +150,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``. Map-only."""
-    kept = [f for f in docs.schema if f.name != "score"]
-    at = [f.name for f in kept].index(text_col)
+    """``docs`` with ``score``. Map-only; only the text is sent to Python, and only the score comes back."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "score"]
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = Model(*shared.value).scorer()
-        for batch in batches:
-            found = pa.array([one(t) for t in texts_of(batch.column(at))], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*(f.name for f in kept), "score"])
+        for column in texts:
+            yield pa.array([one(t) for t in texts_of(column)], pa.float64())
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["score double"])
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
+    # not deterministic for the planner: else a filter on the score would have every text scored twice
+    found = F.arrow_udf(run, "double").asNondeterministic()(F.col(f"`{text_col}`"))
+    return docs.select(*kept, found.alias("score"))

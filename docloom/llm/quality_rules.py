@@ -86,21 +86,21 @@ def repeated_words(words: list[bytes]) -> int:
 
 
 def add_measures(docs: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with the measures of the text, and with the text itself if asked for. Map-only."""
+    """``docs`` with the measures of the text, and with the text itself if asked for. Map-only.
+
+    Only the text is sent to Python, and only the measures come back; all other columns stay where they are.
+    """
     gone = MEASURES if keep_text else (text_col, *MEASURES)
-    others = [f for f in docs.schema if f.name not in gone and not f.name.startswith("_q_")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([measure(t) for t in texts_of(batch.column(0))], np.int64).reshape(-1, len(MEASURES))
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[1:] + [pa.array(found[:, k]) for k in range(len(MEASURES))],
-                names=[f.name for f in others] + list(MEASURES),
-            )
-
-    kept = [F.col(f"`{f.name}`") for f in others]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in others] + [f"{m} long" for m in MEASURES])
-    return docs.select(F.col(text_col).alias("_q_text"), *kept).mapInArrow(run, schema)
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in gone and not c.startswith("_q_")]
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            found = np.array([measure(t) for t in texts_of(column)], np.int64).reshape(-1, len(MEASURES))
+            yield pa.StructArray.from_arrays([pa.array(found[:, k]) for k in range(len(MEASURES))], names=list(MEASURES))
+
+    # not deterministic for the planner: else a filter on a measure would have every text measured once more
+    measured = F.arrow_udf(run, ", ".join(f"{m} long" for m in MEASURES)).asNondeterministic()(F.col(f"`{text_col}`"))
+    return docs.select(*others, measured.alias("_q_measures")).select(*others, "_q_measures.*")
 
 
 def _shift(value: Column) -> Column:

@@ -180,3 +180,15 @@ def test_a_step_lowers_the_loss():
     model = M.train([b"good words here", b"bad junk there"] * 20, [1, 0] * 20)
     score = model.scorer()
     assert score(b"good words here") > 0.5 > score(b"bad junk there")
+
+
+def test_texts_are_sent_to_python_once_and_not_back(spark):
+    """Measured or scored, a text stays in the JVM; a filter on the result does not compute it again."""
+    from docloom.llm import quality_model
+
+    docs = spark.createDataFrame([(1, "a b c", "en", "s")], "doc_id long, text string, lang string, source string")
+    model = quality_model.Model(np.zeros(1024, np.float32), 0.0)
+    for out in (R.add_measures(docs, keep_text=True).where("n_words > 1"), quality_model.score(docs, model).where("score > 0.1")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+        assert [r["text"] for r in out.collect()] == ["a b c"]
