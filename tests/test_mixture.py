@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from docloom.functions import kernels
 from docloom.operators import mixture
 
 
@@ -74,3 +75,28 @@ def test_models_take_turns(spark, vectors, blobs, monkeypatch):
     turns = mixture.fit_many(df, [2, 3, 4], max_iter=5, tol=0)
     for k in (2, 3, 4):
         assert turns[k].objective == pytest.approx(whole[k].objective)
+
+
+def test_vanishing_responsibilities_cost_nothing_and_change_nothing():
+    """Far components get no product of a row: 300 components over far rows take the time of their own rows."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 48)) + 40.0 * rng.integers(0, 300, 3000)[:, None]
+    r = np.zeros((3000, 300))
+    r[np.arange(3000), rng.integers(0, 300, 3000)] = 1.0
+    r += 1e-25
+    total = np.zeros((300, 48, 48))
+    kernels.weighted_products(x, r, total)
+    for j in (0, 7, 299):
+        assert np.allclose(total[j], (x * r[:, j : j + 1]).T @ x, rtol=1e-12)
+
+
+@pytest.mark.parametrize("n,k", [(1, 1), (300, 16), (700, 37)])
+def test_responsibilities_in_blocks_equal_single_components(n, k):
+    rng = np.random.default_rng(n)
+    x, means = rng.normal(size=(n, 5)), rng.normal(size=(k, 5))
+    white = np.triu(rng.normal(size=(k, 5, 5))) + 2 * np.eye(5)
+    constants = rng.normal(size=k)
+    likelihood, r = kernels.responsibilities(x, constants, means, white)
+    logs = np.stack([constants[j] - 0.5 * (((x - means[j]) @ white[j]) ** 2).sum(axis=1) for j in range(k)], axis=1)
+    want = np.log(np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)) + logs.max(axis=1)
+    assert np.allclose(likelihood, want) and np.allclose(r, np.exp(logs - want[:, None]))
