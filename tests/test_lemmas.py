@@ -83,3 +83,11 @@ def test_exceptions_go_first_and_odd_rows(spark):
 @pytest.mark.parametrize("a,b,n", [("cities", "city", 3), ("a", "b", 0), ("", "x", 0), ("same", "same", 4), ("ab", "abc", 2)])
 def test_common_prefix(spark, a, b, n):
     assert spark.createDataFrame([(a, b)], "a string, b string").select(lemmas.common_prefix(F.col("a"), F.col("b"))).first()[0] == n
+
+
+def test_vocabulary_pairs_read_the_texts_once(spark):
+    """Words are stored: neither side of the join with stems goes back to the documents."""
+    from docloom.plans import text_queries
+
+    pairs = text_queries._vocabulary_pairs(spark, "/root/testdata/sf0.001")
+    assert not any("documents.parquet" in name for name in pairs.inputFiles())
