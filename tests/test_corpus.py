@@ -137,3 +137,18 @@ def test_paper_table(spark):
     assert sorted(got) == ["p1", "p3"]
     assert got["p1"]["abstract_summary"] == "Not provided." and got["p1"]["authors"] == "A. B"
     assert (got["p1"]["body_word_count"], got["p1"]["body_unique_words"], got["p1"]["abstract_word_count"]) == (3, 2, 0)
+
+
+def test_lemmas_are_looked_up_where_the_tokens_are(spark, monkeypatch):
+    """Both routes give the same texts, of repeated ids too; only the shuffled one makes a row per token."""
+    rows = [(1, ["Went", "x", None]), (1, ["cells"]), (2, []), (3, None), (4, ["it", "cells"])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    lemmas = spark.createDataFrame([("cells", " Cell"), ("it", None), ("x", "the")], "token string, lemma string")
+    for words in (None, ["the"]):
+        near = corpus.lemmatize(df, lemmas, words=words)
+        assert "Generate" not in near._jdf.queryExecution().executedPlan().toString()
+        with monkeypatch.context() as m:
+            m.setattr(corpus, "BROADCAST_BYTES", 0)
+            far = sorted(map(tuple, corpus.lemmatize(df, lemmas, words=words).collect()))
+        assert sorted(map(tuple, near.collect())) == far
+    assert [r[0] for r in far] == [1, 4]
