@@ -1,8 +1,10 @@
 """Fold-in inference for given topics against plain loops."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from docloom.functions import kernels
 from docloom.operators import fold_in
 
 
@@ -54,3 +56,19 @@ def test_smoothed_topics_and_ranking(corpus):
 def test_topics_are_bounded(corpus):
     with pytest.raises(ValueError):
         fold_in.distributions(corpus[1], ["a"], np.broadcast_to(0.0, (10**5, 10**5)))
+
+
+@pytest.mark.parametrize("most", [1, 5, 10**6])
+def test_term_runs_are_whole_rows_by_term(most):
+    rng = np.random.default_rng(2)
+    rows = [None, [], ["odd"]] + [[f"t{rng.integers(0, 9)}" for _ in range(rng.integers(0, 12))] for _ in range(30)] + [["t1", None, "t1"]]
+    place = {f"t{i}": i for i in range(8)}
+    got, pieces = {}, list(kernels.term_runs(pa.array(rows, pa.list_(pa.string())), place, most))
+    for owners, at, counts in pieces:
+        assert len(at) <= most or len(set(owners.tolist())) == 1
+        for row, term, n in zip(owners.tolist(), at.tolist(), counts.tolist()):
+            assert (row, term) not in got
+            got[row, term] = n
+    assert sum(len({*o.tolist()}) for o, _, _ in pieces) == len({row for row, _ in got})
+    want = {(i, place[t]): row.count(t) for i, row in enumerate(rows) if row for t in row if t in place}
+    assert got == want
