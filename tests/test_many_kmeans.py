@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from docloom.functions import kernels
 from docloom.operators import cluster, many_kmeans
 
 
@@ -65,3 +66,19 @@ def test_more_clusters_than_vectors_and_one_cluster(spark, vectors):
 def test_too_many_centres(spark, vectors, blobs):
     with pytest.raises(ValueError):
         many_kmeans.fit_many(vectors(spark, blobs), [10**7])
+
+
+def test_a_table_of_one_part_is_dealt_over_the_cores(spark, vectors, blobs):
+    dealt = many_kmeans._dealt(vectors(spark, blobs).coalesce(1))
+    assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and dealt.count() == len(blobs)
+
+
+def test_nearest_is_exact_in_single_precision():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(700, 5))
+    for scale, offset in ((1.0, 0.0), (1e18, 0.0), (1e-18, 0.0), (1.0, 1e4), (1e-6, 1.0)):
+        y = x * scale + offset
+        c = y[rng.permutation(700)[:60]] + scale * 1e-9
+        c[7] = c[3]
+        gaps = ((y[:, None, :] - c[None]) ** 2).sum(axis=2)
+        assert np.array_equal(kernels.nearest_index(y, c), gaps.argmin(axis=1))
