@@ -3,6 +3,10 @@
 Rows are spread over blocks by a hash of their id; each pair of blocks becomes one
 grouped-map call on at most about two blocks of rows. No candidate pair ever becomes a
 row: a kernel sees two matrices and returns only what the operator needs.
+
+A row travels once for every block it meets. So blocks are not small: there are ``BLOCKS`` of them, enough tasks for
+many cores, and what travels grows with the rows, until a block of vectors reaches ``BLOCK_BYTES``. Only from there
+on blocks get more, and travel grows with the square. Kernels work through a pair of blocks in small pieces.
 """
 
 from __future__ import annotations
@@ -17,6 +21,16 @@ from pyspark.sql import functions as F
 from docloom.functions import kernels
 
 BLOCK_ROWS = 2048
+BLOCKS = 16
+BLOCK_BYTES = 32 * 1024 * 1024
+TRIED = 2000  # rows on which the number of anchors is decided, never a result
+
+
+def rows_of_a_block(df: DataFrame, rows: int, results: int = 0) -> int:
+    """Rows of a block for ``rows`` vectors: ``BLOCK_ROWS`` at least, ``BLOCK_BYTES`` of vectors or of their ``results`` at most."""
+    first = df.select(F.size("vec").alias("d")).first()
+    width = max(1, first["d"] if first else 1, 4 * results)
+    return max(BLOCK_ROWS, min(math.ceil(rows / BLOCKS), BLOCK_BYTES // (8 * width)))
 
 
 def block_count(rows: int, block_rows: int) -> int:
@@ -127,6 +141,16 @@ def anchored(
     if wanted == 1:
         none = F.array().cast("array<int>")
         return df.withColumn("home", F.lit(0)).withColumn("reach", none)
+    if anchors is None and wanted > BLOCKS // 2:
+        # anchors that keep few rows apart only add copies: each row would travel to half of them
+        tried = _placed(df.orderBy(F.xxhash64("id", F.lit(1))).limit(TRIED), df, eps, wanted)
+        if (tried.agg(F.avg(F.size("reach"))).first()[0] or 0.0) > BLOCKS // 2:
+            wanted = BLOCKS // 2
+    return _placed(df, df, eps, wanted)
+
+
+def _placed(rows: DataFrame, df: DataFrame, eps: float, wanted: int) -> DataFrame:
+    """``anchored`` for some rows of ``df``, whose first ``wanted`` by hash are the anchors."""
     picked = df.orderBy(F.xxhash64("id"), "id").limit(wanted).select("vec").collect()
     matrix = df.sparkSession.sparkContext.broadcast(
         kernels.stack(pd.Series([row["vec"] for row in picked]))
@@ -138,7 +162,7 @@ def anchored(
         return pd.DataFrame({"home": home, "reach": reach})
 
     return (
-        df.withColumn("_place", place("vec"))
+        rows.withColumn("_place", place("vec"))
         .withColumn("home", F.col("_place.home"))
         .withColumn("reach", F.col("_place.reach"))
         .drop("_place")
@@ -146,9 +170,10 @@ def anchored(
 
 
 def anchor_blocks(
-    placed: DataFrame, rows: int, anchors: int | None = None, block_rows: int = BLOCK_ROWS
+    placed: DataFrame, rows: int, anchors: int | None = None, block_rows: int | None = None
 ) -> tuple[list[int], list[int]]:
     """Per anchor the number of blocks for its own rows and for all rows that reach it."""
+    block_rows = block_rows or rows_of_a_block(placed, rows)
     wanted = anchor_count(rows, anchors)
     if wanted == 1:
         return [block_count(rows, block_rows)], [block_count(rows, block_rows)]

@@ -15,7 +15,7 @@ from docloom.runtime import broadcast_bounded, materialize
 
 
 def epsilon_join(
-    df: DataFrame, eps: float, anchors: int | None = None, block_rows: int = blocks.BLOCK_ROWS
+    df: DataFrame, eps: float, anchors: int | None = None, block_rows: int | None = None
 ) -> DataFrame:
     """All unordered pairs of (doc_id, vec) rows at most ``eps`` apart: (id_a, id_b, distance)."""
     rows = df.select(F.col("doc_id").alias("id"), "vec")
@@ -23,19 +23,16 @@ def epsilon_join(
     placed = blocks.anchored(rows, eps, total, anchors)
     if blocks.anchor_count(total, anchors) > 1:
         placed = materialize(placed, "anchored")
-    sizes = blocks.anchor_blocks(placed, total, anchors, block_rows)
+    sizes, limits = blocks.anchor_blocks(placed, total, anchors, block_rows), np.array([eps])
 
     def kernel(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        a, b, hit = kernels.pair_hits(homes, members, eps)
-        i, j = np.nonzero(hit)
-        left, right = homes["id"].to_numpy()[i], members["id"].to_numpy()[j]
-        return pd.DataFrame(
-            {
-                "id_a": np.minimum(left, right),
-                "id_b": np.maximum(left, right),
-                "distance": kernels.hit_distances(a, b, i, j),
-            }
-        )
+        a, b, pieces = kernels.level_pairs(homes, members, limits)
+        ids, others, found = homes["id"].to_numpy(), members["id"].to_numpy(), []
+        for i, j, _ in pieces:
+            left, right = ids[i], others[j]
+            columns = {"id_a": np.minimum(left, right), "id_b": np.maximum(left, right)}
+            found.append(pd.DataFrame(columns | {"distance": kernels.hit_distances(a, b, i, j)}))
+        return pd.concat(found)
 
     schema = "id_a long, id_b long, distance double"
     return blocks.neighbour_groups(placed, sizes, kernel, schema)
@@ -46,7 +43,7 @@ def dbscan(
     eps: float = 1.1,
     min_samples: int | None = None,
     anchors: int | None = None,
-    block_rows: int = blocks.BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """(doc_id, vec) to (doc_id, cluster_id).
 
@@ -69,13 +66,16 @@ def dbscan(
     placed = blocks.anchored(merged, eps, rows, anchors)
     if blocks.anchor_count(rows, anchors) > 1:
         placed = materialize(placed, "anchored")
-    sizes = blocks.anchor_blocks(placed, rows, anchors, block_rows)
+    sizes, limits = blocks.anchor_blocks(placed, rows, anchors, block_rows), np.array([eps])
 
     def count_kernel(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        _, _, hit = kernels.pair_hits(homes, members, eps)
-        ids = np.concatenate([homes["id"], members["id"]])
-        weights = hit.astype(np.float64)
-        seen = np.concatenate([weights @ members["w"].to_numpy(float), homes["w"].to_numpy(float) @ weights])
+        _, _, pieces = kernels.level_pairs(homes, members, limits)
+        weight_l, weight_r = homes["w"].to_numpy(float), members["w"].to_numpy(float)
+        seen_l, seen_r = np.zeros(len(homes)), np.zeros(len(members))
+        for i, j, _ in pieces:
+            seen_l += np.bincount(i, weight_r[j], minlength=len(homes))
+            seen_r += np.bincount(j, weight_l[i], minlength=len(members))
+        ids, seen = np.concatenate([homes["id"], members["id"]]), np.concatenate([seen_l, seen_r])
         return pd.DataFrame({"id": ids[seen > 0], "seen": seen[seen > 0].astype(np.int64)})
 
     counts = (
@@ -91,21 +91,18 @@ def dbscan(
     )
 
     def edge_kernel(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        _, _, hit = kernels.pair_hits(homes, members, eps)
+        _, _, pieces = kernels.level_pairs(homes, members, limits)
         left, right = homes["id"].to_numpy(), members["id"].to_numpy()
         core_l, core_r = homes["core"].to_numpy(bool), members["core"].to_numpy(bool)
-        node, root = kernels.bipartite_roots(hit & core_l[:, None] & core_r[None, :], left, right)
-        i, j = np.nonzero(hit & ~core_l[:, None] & core_r[None, :])
-        k, m = np.nonzero(hit & core_l[:, None] & ~core_r[None, :])
-        return pd.DataFrame(
-            {
-                "a": np.concatenate([node, left[i], right[m]]),
-                "b": np.concatenate([root, right[j], left[k]]),
-                "border": np.concatenate(
-                    [np.zeros(len(node), bool), np.ones(len(i) + len(m), bool)]
-                ),
-            }
-        )
+        links, a, b = kernels.Links(left, right), [], []
+        for i, j, _ in pieces:
+            both, only_r, only_l = core_l[i] & core_r[j], ~core_l[i] & core_r[j], core_l[i] & ~core_r[j]
+            links.join(i[both], j[both])
+            a += [left[i[only_r]], right[j[only_l]]]
+            b += [right[j[only_r]], left[i[only_l]]]
+        node, root = links.edges()
+        a, b = np.concatenate([node, *a]), np.concatenate([root, *b])
+        return pd.DataFrame({"a": a, "b": b, "border": np.arange(len(a)) >= len(node)})
 
     edges = materialize(
         blocks.neighbour_groups(flagged, sizes, edge_kernel, "a long, b long, border boolean"),
@@ -139,7 +136,7 @@ def dbscan(
 
 
 def silhouette_exact(
-    df: DataFrame, block_rows: int = blocks.BLOCK_ROWS
+    df: DataFrame, block_rows: int | None = None
 ) -> DataFrame:
     """Mean Euclidean silhouette of (doc_id, vec, cluster_id) as one row (silhouette, clusters).
 
@@ -150,32 +147,26 @@ def silhouette_exact(
     """
     rows = df.select(F.col("doc_id").alias("id"), "vec", F.col("cluster_id").alias("c"))
 
-    def sums(side: pd.DataFrame, gaps: np.ndarray, others: pd.DataFrame) -> pd.DataFrame:
-        names, place = np.unique(others["c"].to_numpy(), return_inverse=True)
-        onehot = np.zeros((len(others), len(names)))
-        onehot[np.arange(len(others)), place] = 1.0
-        total = gaps @ onehot
-        return pd.DataFrame(
-            {
-                "id": np.repeat(side["id"].to_numpy(), len(names)),
-                "c": np.repeat(side["c"].to_numpy(), len(names)),
-                "other": np.tile(names, len(side)),
-                "total": total.ravel(),
-            }
-        )
+    def sums(side: pd.DataFrame, total: np.ndarray, names: np.ndarray) -> pd.DataFrame:
+        repeated = {c: np.repeat(side[c].to_numpy(), len(names)) for c in ("id", "c")}
+        return pd.DataFrame(repeated | {"other": np.tile(names, len(side)), "total": total.ravel()})
 
     def kernel(low: pd.DataFrame, high: pd.DataFrame | None) -> pd.DataFrame:
-        a = kernels.stack(low["vec"])
-        if high is None:
-            return sums(low, kernels.distances(a, a), low)
-        if len(low) == 0 or len(high) == 0:
+        sides = [side.sort_values("c", kind="stable") for side in (low, low if high is None else high)]
+        if not all(map(len, sides)):
             return pd.DataFrame({"id": [], "c": [], "other": [], "total": []})
-        gaps = kernels.distances(a, kernels.stack(high["vec"]))
-        return pd.concat([sums(low, gaps, high), sums(high, gaps.T, low)])
+        matrices = [kernels.stack(side["vec"]) for side in sides]
+        (names_a, a), (names_b, b) = (np.unique(side["c"].to_numpy(), return_inverse=True) for side in sides)
+        to_b, to_a = kernels.cluster_sums(*matrices, a, b)
+        found = sums(sides[0], to_b, names_b)
+        return found if high is None else pd.concat([found, sums(sides[1], to_a, names_a)])
 
+    n = rows.count()
+    if block_rows is None:
+        block_rows = blocks.rows_of_a_block(rows, n, rows.select("c").distinct().count())
     per_cluster = (
         blocks.triangle(
-            rows, kernel, "id long, c int, other int, total double", rows.count(), block_rows
+            rows, kernel, "id long, c int, other int, total double", n, block_rows
         )
         .groupBy("id", "c", "other")
         .agg(F.sum("total").alias("total"))
@@ -201,20 +192,17 @@ def silhouette_exact(
     )
 
 
-def pairwise_mean_distance(df: DataFrame, block_rows: int = blocks.BLOCK_ROWS) -> DataFrame:
+def pairwise_mean_distance(df: DataFrame, block_rows: int | None = None) -> DataFrame:
     """Mean Euclidean distance over all ordered pairs of (doc_id, vec), self pairs included."""
     rows = df.select(F.col("doc_id").alias("id"), "vec")
 
     def kernel(low: pd.DataFrame, high: pd.DataFrame | None) -> pd.DataFrame:
         a = kernels.stack(low["vec"])
-        if high is None:
-            return pd.DataFrame({"total": [kernels.distances(a, a).sum()]})
-        if len(low) == 0 or len(high) == 0:
-            return pd.DataFrame({"total": [0.0]})
-        return pd.DataFrame({"total": [2.0 * kernels.distances(a, kernels.stack(high["vec"])).sum()]})
+        b, times = (a, 1.0) if high is None else (kernels.stack(high["vec"]), 2.0)
+        return pd.DataFrame({"total": [times * sum(gaps.sum() for _, _, gaps in kernels.distance_tiles(a, b))]})
 
     n = rows.count()
-    totals = blocks.triangle(rows, kernel, "total double", n, block_rows)
+    totals = blocks.triangle(rows, kernel, "total double", n, block_rows or blocks.rows_of_a_block(rows, n))
     return totals.agg((F.sum("total") / F.lit(float(n) * n)).alias("mean_distance"))
 
 

@@ -51,7 +51,7 @@ def density_forest(
     eps_values: Sequence[float],
     min_samples: int | None = None,
     anchors: int | None = None,
-    block_rows: int = blocks.BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DensityForest:
     """Clusters of (doc_id, vec) at each radius, by the rules and the numbering of ``density.dbscan``."""
     eps = sorted({float(e) for e in eps_values})
@@ -68,15 +68,16 @@ def density_forest(
     sizes = blocks.anchor_blocks(placed, rows, anchors, block_rows)
 
     def count_kernel(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        level = kernels.pair_levels(homes, members, limits)
-        ids = np.concatenate([homes["id"], members["id"]])
-        columns = {"id": ids}
-        for k in range(never):
-            hit = (level <= k).astype(np.float64)
-            seen = np.concatenate([hit @ members["w"].to_numpy(float), homes["w"].to_numpy(float) @ hit])
-            columns[f"s{k}"] = seen.astype(np.int64)
-        found = pd.DataFrame(columns)
-        return found[found[f"s{never - 1}"] > 0]
+        _, _, pieces = kernels.level_pairs(homes, members, limits)
+        weight_l, weight_r = homes["w"].to_numpy(float), members["w"].to_numpy(float)
+        seen_l, seen_r = np.zeros(len(homes) * never), np.zeros(len(members) * never)
+        for i, j, level in pieces:
+            seen_l += np.bincount(i * never + level, weight_r[j], minlength=len(seen_l))
+            seen_r += np.bincount(j * never + level, weight_l[i], minlength=len(seen_r))
+        seen = np.concatenate([seen_l, seen_r]).reshape(-1, never).cumsum(axis=1).astype(np.int64)
+        met = seen[:, -1] > 0
+        ids = np.concatenate([homes["id"], members["id"]])[met]
+        return pd.DataFrame({"id": ids} | {f"s{k}": seen[met, k] for k in range(never)})
 
     names = [f"s{k}" for k in range(never)]
     counts = blocks.neighbour_groups(placed, sizes, count_kernel, ", ".join(["id long", *(f"{n} long" for n in names)]))
@@ -87,22 +88,19 @@ def density_forest(
     points = materialize(placed.join(counts, "id", "left").withColumn("core", core).drop(*names), "points")
 
     def edge_kernel(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        level = kernels.pair_levels(homes, members, limits)
+        _, _, pieces = kernels.level_pairs(homes, members, limits)
         left, right = homes["id"].to_numpy(), members["id"].to_numpy()
         core_l, core_r = homes["core"].to_numpy(), members["core"].to_numpy()
-        reach = np.maximum(np.maximum(level, core_l[:, None]), core_r[None, :])
-        node, root, at = kernels.level_forest(reach, left, right, never)
-        to_right, to_left = np.maximum(level, core_r[None, :]), np.maximum(level, core_l[:, None])
-        i, j = np.nonzero(to_right < core_l[:, None])
-        k, m = np.nonzero(to_left < core_r[None, :])
-        return pd.DataFrame(
-            {
-                "a": np.concatenate([node, left[i], right[m]]),
-                "b": np.concatenate([root, right[j], left[k]]),
-                "level": np.concatenate([at, to_right[i, j], to_left[k, m]]),
-                "until": np.concatenate([np.full(len(node), -1), core_l[i] - 1, core_r[m] - 1]),
-            }
-        )
+        links, border = kernels.LevelLinks(left, right, never), []
+        for i, j, level in pieces:
+            to_right, to_left = np.maximum(level, core_r[j]), np.maximum(level, core_l[i])
+            links.join(i, j, np.maximum(to_right, to_left))
+            k, m = np.flatnonzero(to_right < core_l[i]), np.flatnonzero(to_left < core_r[j])
+            border.append((left[i[k]], right[j[k]], to_right[k], core_l[i[k]] - 1))
+            border.append((right[j[m]], left[i[m]], to_left[m], core_r[j[m]] - 1))
+        node, root, at = links.forest()
+        border.append((node, root, at, np.full(len(node), -1)))
+        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(("a", "b", "level", "until"), zip(*border))})
 
     edges = blocks.neighbour_groups(points, sizes, edge_kernel, "a long, b long, level int, until int")
     edges = materialize(edges, "forest-edges")
@@ -155,7 +153,7 @@ def dbscan_at(df: DataFrame, forest: DensityForest) -> DataFrame:
     return rows.select("doc_id", F.element_at(F.lit(forest.eps), F.col("level") + 1).alias("eps"), "cluster_id")
 
 
-def silhouettes(labelled: DataFrame, block_rows: int = blocks.BLOCK_ROWS) -> DataFrame:
+def silhouettes(labelled: DataFrame, block_rows: int | None = None) -> DataFrame:
     """(level, silhouette, clusters) of (doc_id, vec, labels) with one label per level: Euclidean, exact.
 
     Noise counts as a cluster; null with fewer than two clusters. Quadratic by definition; the distances of a
@@ -163,28 +161,38 @@ def silhouettes(labelled: DataFrame, block_rows: int = blocks.BLOCK_ROWS) -> Dat
     """
     rows = labelled.select(F.col("doc_id").alias("id"), "vec", "labels")
 
-    def sums(side: pd.DataFrame, gaps: np.ndarray, others: pd.DataFrame) -> list[pd.DataFrame]:
-        mine, theirs, parts = np.stack(side["labels"].to_numpy()), np.stack(others["labels"].to_numpy()), []
-        for level in range(theirs.shape[1]):
-            names, place = np.unique(theirs[:, level], return_inverse=True)
-            onehot = np.zeros((len(others), len(names)))
-            onehot[np.arange(len(others)), place] = 1.0
-            columns = {"id": np.repeat(side["id"].to_numpy(), len(names)), "level": level}
-            columns |= {"c": np.repeat(mine[:, level], len(names)), "other": np.tile(names, len(side)), "total": (gaps @ onehot).ravel()}
+    def grouped(side: pd.DataFrame):
+        """A side in the order of its groups, rows of equal labels: (rows, matrix, labels of rows, of groups, group of each row)."""
+        codes, place = np.unique(np.stack(side["labels"].to_numpy()), axis=0, return_inverse=True)
+        order = np.argsort(place.ravel(), kind="stable")
+        side, place = side.iloc[order], place.ravel()[order]
+        return side["id"].to_numpy(), kernels.stack(side["vec"]), codes[place], codes, place
+
+    def sums(ids: np.ndarray, mine: np.ndarray, total: np.ndarray, codes: np.ndarray) -> list[pd.DataFrame]:
+        parts = []
+        for level in range(codes.shape[1]):
+            names, place = np.unique(codes[:, level], return_inverse=True)
+            onehot = (place[:, None] == np.arange(len(names))).astype(float)
+            columns = {"id": np.repeat(ids, len(names)), "level": level}
+            columns |= {"c": np.repeat(mine[:, level], len(names)), "other": np.tile(names, len(ids)), "total": (total @ onehot).ravel()}
             parts.append(pd.DataFrame(columns))
         return parts
 
     def kernel(low: pd.DataFrame, high: pd.DataFrame | None) -> pd.DataFrame:
-        a = kernels.stack(low["vec"])
-        if high is None:
-            return pd.concat(sums(low, kernels.distances(a, a), low))
-        if len(low) == 0 or len(high) == 0:
+        if len(low) == 0 or (high is not None and len(high) == 0):
             return pd.DataFrame({c: [] for c in ("id", "level", "c", "other", "total")})
-        gaps = kernels.distances(a, kernels.stack(high["vec"]))
-        return pd.concat([*sums(low, gaps, high), *sums(high, gaps.T, low)])
-
+        ids_a, a, mine_a, codes_a, group_a = grouped(low)
+        ids_b, b, mine_b, codes_b, group_b = grouped(low if high is None else high)
+        to_b, to_a = kernels.cluster_sums(a, b, group_a, group_b)
+        found = sums(ids_a, mine_a, to_b, codes_b)
+        return pd.concat(found if high is None else [*found, *sums(ids_b, mine_b, to_a, codes_a)])
+
+    n = rows.count()
+    if block_rows is None:
+        levels = rows.select(F.posexplode("labels")).distinct().count()
+        block_rows = blocks.rows_of_a_block(rows, n, max(levels, rows.select("labels").distinct().count()))
     schema = "id long, level int, c int, other int, total double"
-    pairs = blocks.triangle(rows, kernel, schema, rows.count(), block_rows)
+    pairs = blocks.triangle(rows, kernel, schema, n, block_rows)
     per_cluster = pairs.groupBy("id", "level", "c", "other").agg(F.sum("total").alias("total"))
     sizes = rows.select(F.posexplode("labels").alias("level", "other")).groupBy("level", "other").agg(F.count("*").alias("n"))
     own = F.col("c") == F.col("other")
@@ -204,7 +212,7 @@ def silhouettes(labelled: DataFrame, block_rows: int = blocks.BLOCK_ROWS) -> Dat
 
 
 def dbscan_sweep(
-    df: DataFrame, eps_values: Sequence[float], min_samples: int | None = None, block_rows: int = blocks.BLOCK_ROWS
+    df: DataFrame, eps_values: Sequence[float], min_samples: int | None = None, block_rows: int | None = None
 ) -> DataFrame:
     """(eps, n_clusters, silhouette, best, seconds) per radius; ``n_clusters`` counts noise as a cluster.
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from docloom.functions import kernels
-from docloom.operators import components, density, density_forest
+from docloom.operators import blocks, components, density, density_forest
 
 CUTS = [(None, 2048), (1, 7), (5, 9), (12, 40)]
 
@@ -175,3 +175,39 @@ def test_components(spark):
     linked = {n for a, b in edges if a != b for n in (a, b)}
     assert got == {n: find(n) for n in linked}
     assert components.connected_components(df.where("src < 0")).count() == 0
+
+
+def test_a_row_travels_no_more_often_in_a_larger_table(spark, vectors, cloud):
+    df = vectors(spark, cloud)
+    assert blocks.rows_of_a_block(df, 1000) == blocks.BLOCK_ROWS
+    for rows in (10**5, 6 * 10**5):
+        assert blocks.block_count(rows, blocks.rows_of_a_block(df, rows)) <= blocks.BLOCKS
+    # blocks are bounded in bytes, of vectors and of results
+    assert blocks.rows_of_a_block(df, 10**9) <= blocks.BLOCK_BYTES // 8
+    assert blocks.rows_of_a_block(df, 10**9, 10**6) == blocks.BLOCK_ROWS
+
+
+def test_links_in_pieces_and_sums_in_tiles(monkeypatch):
+    monkeypatch.setattr(kernels, "TILE", 7)
+    rng = np.random.default_rng(8)
+    left, right = np.arange(40), np.arange(20, 70)
+    i, j, level = rng.integers(0, 40, 30), rng.integers(0, 50, 30), rng.integers(0, 3, 30)
+    links = kernels.LevelLinks(left, right, 3)
+    for k in range(0, 30, 4):
+        links.join(i[k : k + 4], j[k : k + 4], level[k : k + 4])
+    node, root, at = links.forest()
+    for most in range(3):
+        parts = []
+        for u, v in ((left[i[level <= most]], right[j[level <= most]]), (node[at <= most], root[at <= most])):
+            name = np.arange(70)
+            for _ in range(70):
+                for a, b in zip(u, v):
+                    name[a] = name[b] = min(name[a], name[b])
+            parts.append(name)
+        assert np.array_equal(*parts)
+    a, b = rng.normal(size=(20, 3)), rng.normal(size=(31, 3))
+    ga, gb = np.sort(rng.integers(0, 4, 20)), np.sort(rng.integers(0, 5, 31))
+    ga[-1], gb[-1] = 3, 4
+    far = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+    to_b, to_a = kernels.cluster_sums(a, b, ga, gb)
+    assert np.allclose(to_b, far @ (gb[:, None] == np.arange(5))) and np.allclose(to_a, far.T @ (ga[:, None] == np.arange(4)))
