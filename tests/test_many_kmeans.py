@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
 
 from docloom.functions import kernels
 from docloom.operators import cluster, many_kmeans
@@ -82,3 +83,28 @@ def test_nearest_is_exact_in_single_precision():
         c[7] = c[3]
         gaps = ((y[:, None, :] - c[None]) ** 2).sum(axis=2)
         assert np.array_equal(kernels.nearest_index(y, c), gaps.argmin(axis=1))
+
+
+def test_a_step_is_one_stage_and_both_routes_agree(spark, vectors, blobs, monkeypatch):
+    """A fit of one k takes many steps, and each must be one small job; the route of large sums has the same result."""
+    df, asked = vectors(spark, blobs), []
+    plain = many_kmeans._shuffled
+    monkeypatch.setattr(many_kmeans, "_shuffled", lambda *a: asked.append(1) or plain(*a))
+    direct = cluster.kmeans(df, k=12)
+    assert not asked
+    monkeypatch.setattr(many_kmeans, "DIRECT_BYTES", 0)
+    shuffled = cluster.kmeans(df, k=12)
+    assert asked
+    assert np.allclose(direct.centres, shuffled.centres) and direct.measures["wss"] == pytest.approx(shuffled.measures["wss"])
+    assert sorted(direct.assignments.collect()) == sorted(shuffled.assignments.collect())
+
+
+def test_kmeans_is_the_fit_of_spark_ml(spark, vectors, blobs):
+    df = vectors(spark, blobs)
+    data = cluster.pinned(df, partitions=3)
+    model = KMeans(k=20, seed=1, maxIter=5000).fit(data)
+    got = cluster.kmeans(df, k=20, partitions=3)
+    assert np.allclose(got.centres, [c.tolist() for c in model.clusterCenters()])
+    wanted = {r["doc_id"]: r["prediction"] for r in model.transform(data).collect()}
+    assert {r["doc_id"]: r["cluster_id"] for r in got.assignments.collect()} == wanted
+    data.unpersist()
