@@ -24,6 +24,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 import regex
@@ -89,29 +90,52 @@ def merge_word(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[st
     return [s for s in symbols if s is not None]
 
 
+class NewerCharacter(Exception):
+    """A run has a character that only the library's tables know."""
+
+
+class Words(dict):
+    """run without white space -> its ids, found on first sight."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, run: str) -> bytes:
+        found = self[run] = self.find(run)
+        return found
+
+
 class Codec:
-    """Encoder and decoder of one tokenizer file (tokenizers' JSON: BPE with word ends)."""
+    """Encoder and decoder of one tokenizer file (tokenizers' JSON: BPE with word ends).
+
+    ``newer`` are ``newer_characters()``, which take as long to find as some megabytes to encode: once for all tasks.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, newer: set[str] | None = None):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
+        self.merges = model["merges"]
         self.end = model["end_of_word_suffix"] or ""
         self.strings = {i: s for s, i in (self.vocab | self.special).items()}
         self.alphabet = byte_alphabet()
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(pattern.replace(r"\s", SPACE)).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
-        self.words: dict[str, bytes] = {}
+        self.words = Words(self._run)
         self.library = Tokenizer.from_file(path)
-        self.newer = newer_characters()
+        self.newer = newer_characters() if newer is None else newer
         # the first plane by one character class; the few characters beyond it are looked up
         self.near_newer = re.compile("[" + "".join(c for c in sorted(self.newer) if c <= "\uffff") + "]").search
         self.beyond = re.compile("[\U00010000-\U0010ffff]+").findall
 
+    @cached_property
+    def ranks(self) -> dict[tuple[str, str], int]:
+        return {tuple(pair): rank for rank, pair in enumerate(self.merges)}
+
     def has_newer(self, text: str) -> bool:
         return self.near_newer(text) is not None or not all(map(self.newer.isdisjoint, self.beyond(text)))
 
@@ -126,6 +150,13 @@ class Codec:
         vocab = self.vocab
         return array("I", [vocab[s] for s in merge_word(symbols, self.ranks)]).tobytes()
 
+    def _run(self, run: str) -> bytes:
+        """Ids of a run without white space."""
+        if not run.isascii() and self.has_newer(run):
+            raise NewerCharacter  # never stored, so that every text with it comes here
+        words = self.words
+        return b"".join([words[p] if p in words else self.word(p) for p in self.pieces(run)])
+
     def normalize(self, text: str) -> str:
         if not text.isascii():
             # per character, so a sigma that ends a word stays a plain one
@@ -143,16 +174,16 @@ class Codec:
         )
 
     def _plain(self, text: str) -> bytes:
-        if not text.isascii() and self.has_newer(text):
-            pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-            return b"".join([self.ids_of(list(piece)) for piece, _ in pieces])
-        text = self.normalize(text)
+        # characters that Python's tables lack pass through its normalization, so the runs still have them
+        plain = self.normalize(text)
         # no piece reaches over white space, so runs without any are looked up whole
-        runs = self.pieces(text) if any(c in text for c in EXTRA_SPACE) else text.split()
+        runs = self.pieces(plain) if any(c in plain for c in EXTRA_SPACE) else plain.split()
         words = self.words
-        for run in set(runs).difference(words):
-            words[run] = b"".join([words[p] if p in words else self.word(p) for p in self.pieces(run)])
-        out = b"".join([words[r] for r in runs])
+        try:
+            out = b"".join([words[r] for r in runs])
+        except NewerCharacter:
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return b"".join([self.ids_of(list(piece)) for piece, _ in pieces])
         if len(words) > MAX_WORDS:
             for run in list(words)[: MAX_WORDS // 2]:
                 del words[run]
@@ -165,9 +196,10 @@ class Codec:
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) to (id, ids binary): four bytes an id, little-endian. Map-only."""
+    newer = newer_characters()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Codec(path)
+        coder = Codec(path, newer)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
@@ -183,9 +215,10 @@ def digest_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
 
     Ids and decoded text live for one row at a time; ids of a repeated piece decode once.
     """
+    newer = newer_characters()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Codec(path)
+        coder = Codec(path, newer)
         for batch in batches:
             n, ids_hash, text_hash = [], [], []
             for text in batch.column(1):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.bpe import Codec
+from docloom.llm.bpe import Codec, newer_characters
 from docloom.operators.corpus import number_within
 from docloom.runtime import broadcast_bounded, materialize
 
@@ -49,8 +49,10 @@ def cut_documents(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document. Map-only."""
 
+    newer = newer_characters()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = LibraryCodec(path), array("I", [end_id]).tobytes()
+        coder, end = LibraryCodec(path, newer), array("I", [end_id]).tobytes()
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)

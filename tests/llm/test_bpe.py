@@ -53,6 +53,20 @@ def test_store_of_words_may_overflow(monkeypatch):
         assert small.encode(text) == own.encode(text)
 
 
+def test_tasks_get_the_newer_characters_and_each_run_is_found_once(monkeypatch):
+    own = bpe.Codec(PATH)
+    monkeypatch.setattr(bpe, "newer_characters", lambda: pytest.fail("looked for again"))
+    for kind in (bpe.Codec, LibraryCodec):
+        coder, found = kind(PATH, own.newer), []
+        plain = coder.words.find
+        coder.words.find = lambda run: found.append(run) or plain(run)
+        odd = min(own.newer)
+        for text in [*texts(), f"same {odd} words", "same words", f"same {odd} words", *texts()]:
+            assert coder.encode(text) == own.encode(text)
+        stored = [run for run in found if not own.has_newer(run)]
+        assert len(stored) == len(set(stored)) and set(stored) == set(coder.words)
+
+
 def test_stale_entries_are_skipped():
     ranks = {("a", "b"): 0, ("b", "a"): 1, ("ab", "ab"): 2, ("ab", "a"): 3}
     assert bpe.merge_word(list("ababa"), ranks) == ["abab", "a"]
