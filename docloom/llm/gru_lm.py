@@ -57,6 +57,7 @@ RATE = 0.01
 LOCAL = 200_000
 END = b""
 READ_WINDOW, READ_TOKENS, READ_ROWS = 64, 3_000_000, 32_768
+CACHED = 2048  # states whose class gradients are taken at once, so that they stay in the cache
 LN10 = math.log(10)
 
 
@@ -106,7 +107,7 @@ class Network:
     def step(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The state after reading ``ids``; features are rows and texts are columns."""
         u = self._turn @ h
-        g = self._columns.take(ids, axis=1)
+        g = _columns_at(self._columns, ids)
         last = g[2 * SIZE :]
         g, inner = g[: 2 * SIZE], u[2 * SIZE :]
         g += u[: 2 * SIZE]
@@ -143,7 +144,7 @@ class Network:
         order = np.flatnonzero(head)
         order = order[np.argsort(classes[order].astype(np.int16), kind="stable")]
         bounds = np.searchsorted(classes[order], np.arange(HEAD // WIDTH + 1))
-        inner, places = h.take(order, axis=1), targets[order] % WIDTH
+        inner, places = _columns_at(h, order), targets[order] % WIDTH
         more = np.empty(len(order), h.dtype)
         for c in range(HEAD // WIDTH):
             at = slice(bounds[c], bounds[c + 1])
@@ -196,7 +197,7 @@ class Network:
         targets = block[block >= 0]  # step by step, as everything below
         ids = np.concatenate([previous[: counts[0]], *(block[t - 1, : counts[t]] for t in range(1, width))])
         # features are rows and lanes are columns, so that every operation runs along whole rows of lanes
-        x, kind = np.ascontiguousarray(self.inputs[ids].T), self.recur.dtype
+        x, kind = _columns_at(np.ascontiguousarray(self.inputs.T), ids), self.recur.dtype
         before, after, cand, kept = (np.empty((SIZE, ends[-1]), kind) for _ in range(4))
         gates, h, turn = np.empty((2 * SIZE, ends[-1]), kind), state.T, np.ascontiguousarray(self.recur.T)
         for t, at in enumerate(spans):
@@ -228,33 +229,49 @@ class Network:
             inner[: 2 * SIZE, at] = d_input[: 2 * SIZE, at]
             inner[2 * SIZE :, at] = dn * r[:, at]
             carried = d * z[:, at] + self.recur @ inner[:, at]
-        d_inputs = np.zeros_like(self.inputs)
-        sort = np.argsort(ids.astype(np.int16), kind="stable")
-        starts = np.flatnonzero(np.r_[True, np.diff(ids[sort]) > 0])
-        d_inputs[ids[sort][starts]] = np.add.reduceat(d_input[:, sort], starts, axis=1).T
+        d_inputs, ids = np.empty_like(self.inputs), ids.astype(np.intp)
+        for row, values in enumerate(d_input):
+            d_inputs[:, row] = np.bincount(ids, values, START + 1)
         return loss, [d_inputs, before @ inner.T, d_class, d_class_bias, d_word, d_word_bias], h.T
 
     def _output_gradients(self, h: np.ndarray, targets: np.ndarray):
         """Loss and gradients of the softmax layers; the columns of ``h`` are states."""
         head = targets < HEAD
         classes = np.where(head, targets // WIDTH, targets - HEAD + HEAD // WIDTH)
-        p, loss = _softmax_loss(self.to_class.T @ h + self.class_bias[:, None], classes)
-        d_h = self.to_class @ p
+        loss, d_h, d_class, d_class_bias = 0.0, np.empty_like(h), np.zeros_like(self.to_class), np.zeros_like(self.class_bias)
+        for low in range(0, len(targets), CACHED):
+            own = h[:, low : low + CACHED]
+            logits = self.to_class.T @ own
+            logits += self.class_bias[:, None]
+            p, more = _softmax_loss(logits, classes[low : low + CACHED])
+            loss += more
+            d_h[:, low : low + CACHED] = self.to_class @ p
+            d_class += own @ p.T
+            d_class_bias += p.sum(1)
         d_word, d_word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
         order = np.flatnonzero(head)
         order = order[np.argsort(classes[order].astype(np.int16), kind="stable")]
         bounds = np.searchsorted(classes[order], np.arange(HEAD // WIDTH + 1))
-        inner, places = h[:, order], targets[order] % WIDTH
-        back = np.empty_like(inner)
+        inner, places = _columns_at(h, order), targets[order] % WIDTH
+        back = np.zeros((SIZE, len(order) + 1), h.dtype)  # the last column is for all that are not in the head
         for c in range(HEAD // WIDTH):
             at = slice(bounds[c], bounds[c + 1])
             if at.start < at.stop:
-                q, more = _softmax_loss(self.to_word[c].T @ inner[:, at] + self.word_bias[c][:, None], places[at])
+                logits = self.to_word[c].T @ inner[:, at]
+                logits += self.word_bias[c][:, None]
+                q, more = _softmax_loss(logits, places[at])
                 loss += more
                 d_word[c], d_word_bias[c] = inner[:, at] @ q.T, q.sum(1)
                 back[:, at] = self.to_word[c] @ q
-        d_h[:, order] += back
-        return loss, d_h, h @ p.T, p.sum(1), d_word, d_word_bias
+        place = np.full(len(targets), len(order))
+        place[order] = np.arange(len(order))
+        d_h += _columns_at(back, place)
+        return loss, d_h, d_class, d_class_bias, d_word, d_word_bias
+
+
+def _columns_at(a: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``a[:, places]``; all places exist, so they need no check, which takes longer than the copy."""
+    return a.take(places, axis=1, mode="clip")
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:
@@ -266,12 +283,13 @@ def _log_sum(logits: np.ndarray) -> np.ndarray:
 
 def _softmax_loss(logits: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, float]:
     """Gradient (in place of the logits) and loss; columns are cases."""
-    at = np.arange(logits.shape[1])
+    at = targets * logits.shape[1] + np.arange(logits.shape[1])
     logits -= logits.max(0)
     p = np.exp(logits, out=logits)
     p /= p.sum(0)
-    loss = -float(np.log(np.maximum(p[targets, at], 1e-30)).sum())
-    p[targets, at] -= 1
+    hit = p.ravel()[at]
+    loss = -float(np.log(np.maximum(hit, 1e-30)).sum())
+    p.ravel()[at] = hit - 1
     return p, loss
 
 
@@ -440,9 +458,11 @@ def fit(texts: DataFrame, words: Lexicon, rounds: int = ROUNDS) -> Network:
     known = {w: k for k, w in enumerate(words.words[:HEAD])}
 
     def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = Stored(lambda w: known[w] if w in known else HEAD + tail_class(w)).__getitem__
+        place, tails = known.get, Stored(lambda end: HEAD + tail_class(end))  # endings are few, words are not
         for batch in batches:
-            ids = [np.fromiter(map(place, tokens_of(t)), np.int16) for t in texts_of(batch.column(1))]
+            ids = []
+            for text in texts_of(batch.column(1)):
+                ids.append(np.array([tails[w[-3:]] if (k := place(w)) is None else k for w in tokens_of(text)], np.int16))
             offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             values = np.concatenate([np.empty(0, np.int16), *ids])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, values)], names=["deal", "ids"])

@@ -63,6 +63,18 @@ def test_gradients():
             assert math.isclose((sides[0] - sides[1]) / 2e-5, g.ravel()[at], rel_tol=0.05, abs_tol=5e-3), (k, at)
 
 
+def test_gradients_in_pieces_equal_those_at_once(monkeypatch):
+    rng, net = np.random.default_rng(3), network(5)
+    block = rng.integers(0, G.START, (9, 40))
+    block[4:, 30:] = -1
+    args = np.zeros((40, G.SIZE), np.float32), np.full(40, G.START), block
+    loss, whole, state = net.gradients(*args)
+    monkeypatch.setattr(G, "CACHED", 7)
+    loss_in_pieces, pieces, same = net.gradients(*args)
+    assert math.isclose(loss, loss_in_pieces, rel_tol=1e-5) and np.array_equal(state, same)
+    assert all(np.allclose(a, b, rtol=1e-3, atol=1e-4) for a, b in zip(whole, pieces))
+
+
 def test_training_helps():
     rng = np.random.default_rng(5)
     texts = [np.array(([1, 2, 3] if k % 2 else [40, 41, 530]) * int(rng.integers(5, 40))) for k in range(150)]
