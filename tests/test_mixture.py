@@ -1,5 +1,7 @@
 """Gaussian mixtures against a plain NumPy expectation-maximisation."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -100,3 +102,48 @@ def test_responsibilities_in_blocks_equal_single_components(n, k):
     logs = np.stack([constants[j] - 0.5 * (((x - means[j]) @ white[j]) ** 2).sum(axis=1) for j in range(k)], axis=1)
     want = np.log(np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)) + logs.max(axis=1)
     assert np.allclose(likelihood, want) and np.allclose(r, np.exp(logs - want[:, None]))
+
+
+def test_sweep_scores_are_those_of_the_fits_without_scans(spark, vectors, blobs, monkeypatch):
+    """Few rows: every k is fitted in a task of its own; beyond the bound by scans, with the same scores."""
+    df, scans, plain = vectors(spark, blobs), [], mixture._sums
+    fits = mixture.fit_many(df, [1, 4, 7, 900], tol=0.01, max_iter=20)
+    monkeypatch.setattr(mixture, "_sums", lambda *a: scans.append(1) or plain(*a))
+    found = mixture.gmm_sweep(df, [1, 4, 7, 900], tol=0.01, max_iter=20).collect()
+    assert len(scans) == 1  # the pooled covariance
+    assert [r["k"] for r in found] == [1, 4, 7, 900]
+    for r in found:
+        assert r["log_likelihood"] == pytest.approx(fits[r["k"]].log_likelihood, rel=1e-9)
+        assert r["iterations"] == len(fits[r["k"]].objective) - 1
+    monkeypatch.setattr(mixture, "LOCAL_BYTES", 1)
+    again = mixture.gmm_sweep(df, [1, 4, 7], tol=0.01, max_iter=20).collect()
+    assert len(scans) > 10 and [r["log_likelihood"] for r in again] == pytest.approx([r["log_likelihood"] for r in found[:3]])
+
+
+@pytest.mark.parametrize("far,spread", [(0.0, 1.0), (1e3, 1.0), (1e5, 1.0), (1e3, 1e-4)])
+def test_products_of_pairs_lose_no_digits_that_count(far, spread):
+    rng = np.random.default_rng(2)
+    means = far + rng.normal(size=(20, 6)) * (1.0 if spread == 1.0 else 50.0)
+    x = means[rng.integers(0, 20, 400)] + spread * rng.normal(size=(400, 6))
+    covariances = spread**2 * np.array([np.cov(rng.normal(size=(30, 6)).T) + np.eye(6) for _ in range(20)])
+    one = mixture.Mixture(np.full(20, 0.05), means, covariances)
+    likelihood, r = kernels.responsibilities(x, *one.factors())
+    logs = np.stack([np.log(0.05) + log_density(x, m, c) for m, c in zip(means, covariances)], 1)
+    want = np.logaddexp.reduce(logs, axis=1)
+    assert np.allclose(likelihood, want, atol=1e-6) and np.allclose(r, np.exp(logs - want[:, None]), atol=1e-6)
+
+
+def test_dense_weights_share_one_product():
+    """Components that overlap: the products of all components take less than half the time of one product for each."""
+    rng = np.random.default_rng(4)
+    x, r = rng.normal(size=(2048, 64)), rng.dirichlet(np.full(150, 0.2), 2048)
+    r = np.maximum(r, 1e-15)
+    best, want = [np.inf, np.inf], np.zeros((150, 64, 64))
+    for _ in range(3):
+        total, started = np.zeros((150, 64, 64)), time.process_time()
+        kernels.weighted_products(x, r, total)
+        best[0], started = min(best[0], time.process_time() - started), time.process_time()
+        for j in range(150):
+            want[j] = (x * r[:, j, None]).T @ x
+        best[1] = min(best[1], time.process_time() - started)
+    assert np.allclose(total, want) and best[0] < best[1] / 2
