@@ -147,3 +147,24 @@ def test_dense_weights_share_one_product():
             want[j] = (x * r[:, j, None]).T @ x
         best[1] = min(best[1], time.process_time() - started)
     assert np.allclose(total, want) and best[0] < best[1] / 2
+
+
+def test_one_pass_with_shared_products_equals_two(spark, vectors, blobs):
+    """Stored matrices give their sums to the driver; components beyond the reach of products of pairs are whitened."""
+    rng = np.random.default_rng(8)
+    for far, narrow in ((0.0, 1.0), (1e4, 1.0), (0.0, 1e-4)):
+        x = blobs + far
+        covariances = narrow**2 * np.array([np.cov(rng.normal(size=(20, 5)).T) + np.eye(5) for _ in range(6)])
+        one = mixture.Mixture(np.full(6, 1 / 6), x[:6].copy(), covariances)
+        likelihood, r = kernels.responsibilities(x, *one.factors())
+        middle = one.means.mean(axis=0)
+        total, sums = kernels.expectations([x[:100], x[100:]], *one.factors(), middle)
+        products = np.zeros((6, 5, 5))
+        kernels.weighted_products(x - middle, r, products)
+        assert total == pytest.approx(likelihood.sum()) and np.allclose(sums[:, 0], r.sum(axis=0))
+        assert np.allclose(kernels.unfold(sums[:, 1:-5], 5), products, rtol=1e-6, atol=1e-6)
+        assert np.allclose(sums[:, -5:], r.T @ (x - middle), atol=1e-6)
+        df = vectors(spark, x)
+        scanned, direct = mixture._sums(df, {3: one}), mixture._sums(df, {3: one}, mixture.matrices(df))
+        assert scanned[1][3] == pytest.approx(direct[1][3]) == pytest.approx(total)
+        assert all(np.allclose(a, b) for a, b in zip(scanned[0][3], direct[0][3]))
